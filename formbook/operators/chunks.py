@@ -17,11 +17,16 @@ ROWS_PER_CHUNK = 500_000
 NO_DATE = 8_000_000_000_000_000  # microseconds; null dates sort last
 
 
-def _instant(date: str) -> Column:
-    """Microseconds since 1970 of a zone-free timestamp, whatever the session time zone."""
+def _instant(date: str, late: str | None) -> Column:
+    """Microseconds since 1970 of a zone-free timestamp, whatever the session time zone.
+
+    With ``late``, two steps per microsecond: rows where it holds come second.
+    """
     since = F.col(date) - F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    micros = since.cast("interval second").cast("decimal(18,6)") * 1_000_000
-    return F.coalesce(micros.cast("long"), F.lit(NO_DATE))
+    micros = (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("long")
+    if late:
+        micros = micros * 2 + F.col(late).cast("long")
+    return F.coalesce(micros, F.lit(NO_DATE))
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,7 @@ class TimeChunks:
     crowded: dict[int, list[int]] = field(default_factory=dict)
     date: str = "date"
     id: str = "match_id"
+    late: str | None = None
 
     def __bool__(self) -> bool:
         return bool(self.instants)
@@ -47,7 +53,7 @@ class TimeChunks:
             return df.withColumn("chunk", F.lit(0).cast("long"))
         edges = [float("-inf"), *map(float, self.instants), float("inf")]
         cutter = Bucketizer(splits=edges, inputCol="_instant", outputCol="_bucket")
-        df = cutter.transform(df.withColumn("_instant", _instant(self.date).cast("double")))
+        df = cutter.transform(df.withColumn("_instant", _instant(self.date, self.late).cast("double")))
         part = F.lit(0)
         if self.crowded:
             # One row per crowded instant, fewer than there are cut points.
@@ -56,21 +62,28 @@ class TimeChunks:
                 "_instant double, _ids array<bigint>",
             )
             df = df.join(F.broadcast(dense), "_instant", "left")
-            part = F.coalesce(F.size(F.filter("_ids", lambda x: x <= F.col(self.id))), F.lit(0))
-            part = F.when(F.col("_ids").isNotNull(), part).otherwise(0)
+            below = F.size(F.filter("_ids", lambda x: x <= F.col(self.id)))
+            part = F.when(F.col("_ids").isNotNull(), below).otherwise(0)
         width = 1 + max(map(len, self.crowded.values()), default=0)
         chunk = F.col("_bucket").cast("long") * width + part
         return df.withColumn("chunk", chunk).drop("_instant", "_bucket", "_ids")
 
 
 def time_chunks(
-    df: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, date: str = "date", id: str = "match_id"
+    df: DataFrame,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    date: str = "date",
+    id: str = "match_id",
+    late: str | None = None,
 ) -> TimeChunks:
-    """Measure ``df`` and choose cut points; none if it fits one chunk."""
-    keys = df.select(_instant(date).alias("at"), F.col(id).cast("long").alias("id"))
+    """Measure ``df`` and choose cut points; none if it fits one chunk.
+
+    Order within one instant is by ``late`` (false first), then by ``id``.
+    """
+    keys = df.select(_instant(date, late).alias("at"), F.col(id).cast("long").alias("id"))
     rows = keys.count()
     if rows <= rows_per_chunk:
-        return TimeChunks(rows, date=date, id=id)
+        return TimeChunks(rows, date=date, id=id, late=late)
     n = -(-rows // rows_per_chunk)
     accuracy = max(10_000, 20 * n)
     shares = [i / n for i in range(1, n)]
@@ -88,7 +101,7 @@ def time_chunks(
         )
         crowded = {r["at"]: sorted(set(r["ids"])) for r in found}
     instants = sorted({*cuts, *(at + 1 for at in busy)})
-    return TimeChunks(rows, instants, crowded, date, id)
+    return TimeChunks(rows, instants, crowded, date, id, late)
 
 
 def with_position(df: DataFrame, chunks: TimeChunks) -> DataFrame:

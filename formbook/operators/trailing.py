@@ -20,14 +20,20 @@ def full_window(value: Column, column: str, window, size: int = WINDOW) -> Colum
 
 
 def with_history(
-    rows: DataFrame, keys: list[str], payload: list[str], live: Column | None = None, size: int = WINDOW
+    rows: DataFrame,
+    keys: list[str],
+    payload: list[str],
+    by: list[str],
+    live: Column | None = None,
+    size: int = WINDOW,
 ) -> DataFrame:
     """Put the last ``size`` rows of earlier chunks in front of each chunk.
 
     Adds ``is_history``. For every (chunk, keys) present in ``rows`` the rows
     of the same keys that precede the chunk are copied into it, so a frame of
     up to ``size`` preceding rows is exact within the chunk. Only rows that
-    satisfy ``live`` are copied. Each (chunk, keys) contributes ``size`` rows
+    satisfy ``live`` are copied. They are partitioned like ``rows``, hashed on
+    ``by``, so the union needs no further shuffle. Each (chunk, keys) contributes ``size`` rows
     at most to the step that runs per key alone.
     """
     order = match_order()
@@ -56,7 +62,7 @@ def with_history(
         .filter(F.col("_kind") == 0)
         .select("chunk", *keys, F.explode("_items").alias("_item"))
         .select("chunk", *keys, "_item.*", F.lit(True).alias("is_history"))
-        .repartition("chunk")
+        .repartition(*by)
     )
     current = rows.withColumn("is_history", F.lit(False))
     return current.unionByName(history, allowMissingColumns=True)

@@ -80,7 +80,7 @@ def trailing(rows: DataFrame, form: Form) -> DataFrame:
     rows = rows.withColumns(inputs)
     part = part_keys(rows)
     if part:
-        rows = with_history(rows, form.keys, list(inputs))
+        rows = with_history(rows, form.keys, list(inputs), by=part)
     window = (
         Window.partitionBy(*part, *form.keys).orderBy(*match_order()).rowsBetween(-WINDOW, -1)
     )
