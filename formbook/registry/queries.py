@@ -350,9 +350,9 @@ def best_run(spark, folder):
 
 
 def best_run_with_artifact(spark, folder):
-    """Among the first twenty runs, only those with a key divisible by three kept their model."""
+    """Among the first twenty runs, only those that reached a stage kept their model."""
     runs = views.model_runs(spark, folder)
-    return rn.best_run(runs.withColumn("artifact_path", F.when(F.col("run_id") % 3 == 0, F.lit("model"))))
+    return rn.best_run(runs.withColumn("artifact_path", F.when(F.col("stage").isNotNull(), F.lit("model"))))
 
 
 def best_registered_run(spark, folder):
@@ -505,12 +505,9 @@ QUERIES: dict[str, Query] = {
     "run_artifact_path": run_artifact_path,
     # features
     "team_timeline": team_timeline,
-    "rolling_form": _stage("rolling_averages", ft.rolling_spec().needed),
-    "points_last5": _stage("points_last5", ft.points_spec().needed),
-    "venue_form": _stage(
-        "derived_features",
-        [n for pair in ft.venue_spec().names.values() for n in pair] + ["home_venue_advantage"],
-    ),
+    "rolling_form": _stage("rolling_averages", FEATURES[:10]),
+    "points_last5": _stage("points_last5", FEATURES[10:12]),
+    "venue_form": _stage("derived_features", FEATURES[12:18] + ["home_venue_advantage"]),
     "derived_features": _stage("derived_features", FEATURES[18:25] + ["home_advantage"]),
     "match_features": match_features,
     "match_features_chunked": match_features_chunked,
