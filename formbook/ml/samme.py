@@ -203,18 +203,19 @@ class SammeClassifier:
     def fit(self, df: DataFrame) -> SammeModel:
         """Fit on assembled rows (``features``, ``label``)."""
         shared_dir(df.sparkSession)
-        counts = {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-        total = sum(counts.values())
-        balance = F.lit(1.0)
-        for label, n in counts.items():
-            balance = F.when(F.col("label") == label, total / (len(counts) * n)).otherwise(balance)
-        rows = df.select("features", "label", F.lit(1.0 / total).alias("w")).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        trees, alphas, errors = [], [], []
+        # Weights start equal; a common factor changes neither trees nor errors.
+        rows = df.select("features", "label", F.lit(1.0).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
+        trees, alphas, errors, old = [], [], [], None
         try:
+            counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("w").alias("n")).collect()}
+            total = sum(counts.values())
+            balance = F.lit(1.0)
+            for label, n in counts.items():
+                balance = F.when(F.col("label") == label, total / (len(counts) * n)).otherwise(balance)
             for i in range(self.params.n_estimators):
                 tree = self._tree(i).fit(rows.withColumn("fit_weight", F.col("w") * balance))
+                if old is not None:
+                    old.unpersist()  # the fit has filled its successor
                 judged = _predict_only(tree, "vote").transform(rows)
                 miss = F.col("vote") != F.col("label")
                 mass, missed = judged.agg(
@@ -231,17 +232,16 @@ class SammeClassifier:
                 errors.append(error)
                 if error <= 0 or i + 1 == self.params.n_estimators:
                     break
-                norm = (mass - missed) + missed * math.exp(alpha)
-                raised = F.col("w") * F.when(miss, math.exp(alpha)).otherwise(1.0) / norm
+                mean = ((mass - missed) + missed * math.exp(alpha)) / total
+                raised = F.col("w") * F.when(miss, math.exp(alpha)).otherwise(1.0) / mean
                 weighted = judged.select("features", "label", raised.alias("w"))
                 if (i + 1) % self.checkpoint_every == 0:
                     weighted = weighted.checkpoint(eager=False)
-                weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
-                weighted.count()
-                rows.unpersist()
-                rows = weighted
+                old, rows = rows, weighted.persist(StorageLevel.MEMORY_AND_DISK)
         finally:
             rows.unpersist()
+            if old is not None:
+                old.unpersist()
         if not trees:
             raise WorseThanChance(f"weighted error {error:.4f} with {K} classes")
         return SammeModel(trees, alphas, errors, self.params, self.features)

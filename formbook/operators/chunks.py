@@ -14,6 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_CHUNK = 500_000
+MAX_CHUNKS = 20_000  # bounds the cut points held by the driver; chunks grow beyond that
 NO_DATE = 8_000_000_000_000_000  # microseconds; null dates sort last
 
 
@@ -84,7 +85,7 @@ def time_chunks(
     rows = keys.count()
     if rows <= rows_per_chunk:
         return TimeChunks(rows, date=date, id=id, late=late)
-    n = -(-rows // rows_per_chunk)
+    n = min(-(-rows // rows_per_chunk), MAX_CHUNKS)
     accuracy = max(10_000, 20 * n)
     shares = [i / n for i in range(1, n)]
     cuts = Counter(keys.select(F.percentile_approx("at", shares, accuracy)).first()[0])
@@ -106,22 +107,21 @@ def time_chunks(
 
 def with_position(df: DataFrame, chunks: TimeChunks) -> DataFrame:
     """Add ``position``, the 0-based ordinal by (date, id), and ``total`` rows."""
+    order = [F.col(chunks.date).asc_nulls_last(), F.col(chunks.id)]
+    if not chunks:
+        # One chunk holds all rows, as measured.
+        df = df.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long") - 1)
+        return df.withColumn("total", F.lit(chunks.rows).cast("long"))
     df = chunks.assign(df)
     before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per chunk, rows / rows_per_chunk in all.
-    offsets = (
-        df.groupBy("chunk")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "chunk",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(Window.partitionBy()).alias("total"),
-        )
-    )
-    inside = Window.partitionBy("chunk").orderBy(F.col(chunks.date).asc_nulls_last(), chunks.id)
+    # One row per chunk: a small multiple of MAX_CHUNKS at most.
+    sizes = df.groupBy("chunk").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("chunk").orderBy(*order)
     return (
         df.withColumn("_row", F.row_number().over(inside))
         .join(F.broadcast(offsets), "chunk")
         .withColumn("position", F.col("_offset") + F.col("_row") - 1)
+        .withColumn("total", F.lit(chunks.rows).cast("long"))
         .drop("chunk", "_row", "_offset")
     )

@@ -2,9 +2,10 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from formbook.functions.columns import flag
 from formbook.operators.chunks import ROWS_PER_CHUNK, time_chunks
 from formbook.operators.timeline import TEAM_STATS, team_rows
-from formbook.operators.trailing import match_order, part_keys, with_history
+from formbook.operators.trailing import full_sum, history_rows, match_order, part_keys
 from formbook.schemas import WINDOW
 
 AVERAGED = ["goals", "goals_conceded", "xg", "ppda", "deep_completions"]
@@ -60,17 +61,11 @@ def venue_form_latest(matches: DataFrame) -> DataFrame:
     )
 
 
-def _sum(items: Column, name: str) -> Column:
-    """Sum over the listed rows, null if any value is."""
-    return F.aggregate(items, F.lit(0.0), lambda a, x: a + x[name].cast("double"))
-
-
 def _lines(matches: DataFrame, fixtures: DataFrame) -> DataFrame:
     """Matches and fixtures on one team timeline; ``known`` marks the matches.
 
-    A fixture is put on both sides of its team's timeline, ``own`` on the side
-    it is played. Matches older than every fixture matter only as the newest
-    five per team and side, and that limit is applied before the shuffle.
+    Matches older than every fixture matter only as the newest five per team
+    and side, and that limit is applied before the shuffle.
     """
     first, last = fixtures.agg(F.min("date")).scalar(), fixtures.agg(F.max("date")).scalar()
     rows = team_rows(matches.filter(F.col("date") < last))
@@ -84,11 +79,7 @@ def _lines(matches: DataFrame, fixtures: DataFrame) -> DataFrame:
     )
     recent = rows.filter(F.col("date") >= first).withColumn("old", F.lit(False))
     matched = old.unionByName(recent).withColumn("known", F.lit(True))
-    places = [
-        F.struct(F.lit(s).alias("side"), F.col(f"{own}_team").alias("team"), F.lit(s == own).alias("own"))
-        for own in ("home", "away")
-        for s in ("home", "away")
-    ]
+    places = [F.struct(F.lit(s).alias("side"), F.col(f"{s}_team").alias("team")) for s in ("home", "away")]
     asked = fixtures.select(
         F.col("fixture_id").alias("match_id"), "date", F.explode(F.array(*places)).alias("t")
     ).select("match_id", "date", "t.*", F.lit(False).alias("old"), F.lit(False).alias("known"))
@@ -110,46 +101,60 @@ def form_before(
     lines = _lines(matches, fixtures)
     # Rows older than every fixture are few per team; only the others can crowd a task.
     cuts = time_chunks(lines.filter(~F.col("old")), rows_per_chunk, late="known")
+    known = F.col("known")
     if cuts:
         by = ["chunk", "team"]
         lines = cuts.assign(lines).repartition(*by)
-        lines = with_history(lines, ["team", "side"], ["known", *stats], by, live=F.col("known"))
+        # Overall form needs the history of both sides wherever a team appears.
+        sides = F.explode(F.array(F.lit("home"), F.lit("away"))).alias("side")
+        starts = lines.select("chunk", "team").distinct().select("chunk", "team", sides)
+        history = history_rows(lines.filter(known), starts, ["team", "side"], ["known", *stats])
+        lines = lines.unionByName(history.repartition(*by), allowMissingColumns=True)
     else:
         lines = lines.repartition("team")
     part = part_keys(lines)
-    item = F.struct(*stats)
+    scored, let_in = F.col("goals"), F.col("goals_conceded")
+    lines = lines.withColumns({"win": flag(scored > let_in), "draw": flag(scored == let_in)})
 
-    def state(*keys: str) -> Column:
-        """Newest five known rows up to here."""
-        five = Window.partitionBy(*part, *keys, "known").orderBy(*match_order()).rowsBetween(1 - WINDOW, 0)
-        return F.when(F.col("known"), F.collect_list(item).over(five))
+    def newest_five(*keys: str):
+        """The newest five matches up to and including this one."""
+        return Window.partitionBy(*part, *keys, "known").orderBy(*match_order()).rowsBetween(1 - WINDOW, 0)
 
-    def newest(column: str, *keys: str) -> Column:
+    def last_state(column: str, *keys: str) -> Column:
+        """State after the newest match before this row; at one instant, fixtures come first."""
         sofar = (
             Window.partitionBy(*part, *keys)
-            .orderBy(F.col("date").asc_nulls_last(), F.col("known").asc(), F.col("match_id"))
+            .orderBy(F.col("date").asc_nulls_last(), known.asc(), F.col("match_id"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return F.last(column, ignorenulls=True).over(sofar)
 
-    lines = lines.withColumns({"_all": state("team"), "_venue": state("team", "side")})
+    overall, venue = newest_five("team"), newest_five("team", "side")
     lines = lines.withColumns(
-        {"_all": newest("_all", "team"), "_venue": newest("_venue", "team", "side")}
+        {
+            "found": F.count(F.lit(1)).over(overall),
+            **{f"sum_{s}": full_sum(s, overall) for s in stats},
+            "found_at_venue": F.count(F.lit(1)).over(venue),
+            "wins": full_sum("win", venue),
+            "draws": full_sum("draw", venue),
+        }
     )
-    items, at_venue = F.col("_all"), F.col("_venue")
-    full, venue_full = F.size(items) == WINDOW, F.size(at_venue) == WINDOW
-
-    def results(test) -> Column:
-        won = lambda x: F.coalesce(test(x["goals"], x["goals_conceded"]), F.lit(False))
-        return F.when(venue_full, F.size(F.filter(at_venue, won)).cast("long"))
-
-    wins, draws = results(lambda a, b: a > b), results(lambda a, b: a == b)
-    return lines.filter(F.col("own")).select(
+    state = F.struct("found", *[f"sum_{s}" for s in stats])
+    at_venue = F.struct("found_at_venue", "wins", "draws")
+    lines = lines.select(
+        *part, "match_id", "date", "side", "team", "known",
+        F.when(known, state).alias("state"), F.when(known, at_venue).alias("at_venue"),
+    )
+    lines = lines.withColumns(
+        {"state": last_state("state", "team"), "at_venue": last_state("at_venue", "team", "side")}
+    )
+    wins, draws = F.col("at_venue.wins"), F.col("at_venue.draws")
+    return lines.filter(~known).select(
         F.col("match_id").alias("fixture_id"), "side", "team", "date",
-        F.coalesce(F.size(items), F.lit(0)).alias("found"),
-        F.coalesce(F.size(at_venue), F.lit(0)).alias("found_at_venue"),
-        *[F.when(full, _sum(items, s) / WINDOW).alias(f"{s}_avg") for s in AVERAGED],
-        F.when(full, _sum(items, "points")).alias("points_sum"),
+        F.coalesce("state.found", F.lit(0)).alias("found"),
+        F.coalesce("at_venue.found_at_venue", F.lit(0)).alias("found_at_venue"),
+        *[(F.col(f"state.sum_{s}") / WINDOW).alias(f"{s}_avg") for s in AVERAGED],
+        F.col("state.sum_points").cast("double").alias("points_sum"),
         wins.alias("wins"),
         draws.alias("draws"),
         (WINDOW - wins - draws).alias("losses"),

@@ -14,30 +14,20 @@ def part_keys(df: DataFrame) -> list[str]:
     return ["chunk"] if "chunk" in df.columns else []
 
 
-def full_window(value: Column, column: str, window, size: int = WINDOW) -> Column:
-    """``value`` if all ``size`` entries of the window are known, else null."""
-    return F.when(F.count(column).over(window) == size, value.over(window))
+def full_sum(column: str, window, size: int = WINDOW) -> Column:
+    """Sum over the window if all of its ``size`` entries are known, else null."""
+    return F.when(F.count(column).over(window) == size, F.sum(column).over(window))
 
 
-def with_history(
-    rows: DataFrame,
-    keys: list[str],
-    payload: list[str],
-    by: list[str],
-    live: Column | None = None,
-    size: int = WINDOW,
+def history_rows(
+    known: DataFrame, starts: DataFrame, keys: list[str], payload: list[str], size: int = WINDOW
 ) -> DataFrame:
-    """Put the last ``size`` rows of earlier chunks in front of each chunk.
+    """For every (chunk, keys) in ``starts``, the last ``size`` known rows of earlier chunks.
 
-    Adds ``is_history``. For every (chunk, keys) present in ``rows`` the rows
-    of the same keys that precede the chunk are copied into it, so a frame of
-    up to ``size`` preceding rows is exact within the chunk. Only rows that
-    satisfy ``live`` are copied. They are partitioned like ``rows``, hashed on
-    ``by``, so the union needs no further shuffle. Each (chunk, keys) contributes ``size`` rows
-    at most to the step that runs per key alone.
+    Each (chunk, keys) adds ``size`` rows at most to the step that runs per
+    key alone, however many rows the key has.
     """
     order = match_order()
-    known = rows if live is None else rows.filter(live)
     newest = Window.partitionBy("chunk", *keys).orderBy(
         F.col("date").desc_nulls_first(), F.col("match_id").desc()
     )
@@ -50,19 +40,28 @@ def with_history(
         .select("chunk", *keys, F.lit(1).alias("_kind"), "date", "match_id",
                 F.collect_list(item).over(upto).alias("_items"))
     )
-    starts = rows.select("chunk", *keys).distinct().withColumn("_kind", F.lit(0))
+    starts = starts.select("chunk", *keys, F.lit(0).alias("_kind"))
     sofar = (
         Window.partitionBy(*keys)
         .orderBy("chunk", "_kind", *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    history = (
+    return (
         tails.unionByName(starts, allowMissingColumns=True)
         .withColumn("_items", F.last("_items", ignorenulls=True).over(sofar))
         .filter(F.col("_kind") == 0)
         .select("chunk", *keys, F.explode("_items").alias("_item"))
-        .select("chunk", *keys, "_item.*", F.lit(True).alias("is_history"))
-        .repartition(*by)
+        .select("chunk", *keys, "_item.*")
     )
+
+
+def with_history(rows: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
+    """Put the last rows of earlier chunks in front of each chunk, marked ``is_history``.
+
+    Trailing frames are then exact within a chunk. ``rows`` and the history
+    are both hashed on the chunk, so their union needs no further shuffle.
+    """
+    starts = rows.select("chunk", *keys).distinct()
+    history = history_rows(rows, starts, keys, payload).withColumn("is_history", F.lit(True))
     current = rows.withColumn("is_history", F.lit(False))
-    return current.unionByName(history, allowMissingColumns=True)
+    return current.unionByName(history.repartition("chunk"), allowMissingColumns=True)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from formbook.functions.columns import flag, require, result_of
 from formbook.operators.chunks import ROWS_PER_CHUNK, TimeChunks, time_chunks
 from formbook.operators.timeline import match_rows, team_rows
-from formbook.operators.trailing import full_window, match_order, part_keys, with_history
+from formbook.operators.trailing import full_sum, match_order, part_keys, with_history
 from formbook.schemas import REQUIRED_COLUMNS, WINDOW
 from formbook.session import cut
 
@@ -23,7 +23,7 @@ class Form:
     keys: list[str]
     stats: dict[str, tuple[str, str]]
     derive: dict[str, Column]  # window input per output, from the stats
-    aggregate: str
+    mean: bool  # mean of the window rather than sum
     names: dict[str, tuple[str, str]]  # output -> (home name, away name)
     needed: list[str] = field(default_factory=list)  # null in any of these drops the match
 
@@ -37,7 +37,7 @@ def rolling_spec() -> Form:
         keys=["team"],
         stats={s: (f"home_{s}", f"away_{s}") for s in _AVERAGED},
         derive={f"{s}_avg_last5": F.col(s) for s in _AVERAGED},
-        aggregate="avg",
+        mean=True,
         names=names,
         needed=[n for pair in names.values() for n in pair],
     )
@@ -49,7 +49,7 @@ def points_spec() -> Form:
         keys=["team"],
         stats={"points": ("home_points", "away_points")},
         derive={"points_last5": F.col("points")},
-        aggregate="sum",
+        mean=False,
         names=names,
         needed=list(names["points_last5"]),
     )
@@ -65,7 +65,7 @@ def venue_spec() -> Form:
             "draws": flag(scored == let_in),
             "losses": flag(scored < let_in),
         },
-        aggregate="sum",
+        mean=False,
         names={
             n: (f"home_team_home_{n}_last5", f"away_team_away_{n}_last5")
             for n in ("wins", "draws", "losses")
@@ -80,14 +80,13 @@ def trailing(rows: DataFrame, form: Form) -> DataFrame:
     rows = rows.withColumns(inputs)
     part = part_keys(rows)
     if part:
-        rows = with_history(rows, form.keys, list(inputs), by=part)
+        rows = with_history(rows, form.keys, list(inputs))
     window = (
         Window.partitionBy(*part, *form.keys).orderBy(*match_order()).rowsBetween(-WINDOW, -1)
     )
-    aggregate = {"avg": F.avg, "sum": F.sum}[form.aggregate]
-    rows = rows.withColumns(
-        {out: full_window(aggregate(f"_{out}"), f"_{out}", window) for out in form.derive}
-    )
+    rows = rows.withColumns({out: full_sum(f"_{out}", window) for out in form.derive})
+    if form.mean:
+        rows = rows.withColumns({out: F.col(out) / WINDOW for out in form.derive})
     if part:
         rows = rows.filter(~F.col("is_history")).drop("is_history")
     return rows.drop(*inputs)
@@ -167,12 +166,12 @@ def feature_stages(
     }
     df = basic_features(matches)
     if chunks:
-        df = cut(chunks.assign(df).repartition("chunk"))
+        df = chunks.assign(df)
     stages = {"feature_engineering": df}
     if mode == "single_pass":
         if chunks:
             for form in forms.values():
-                df = cut(add_form(df, form))
+                df = cut(add_form(df.repartition("chunk"), form))
         else:
             df = add_form(df, *forms.values())
     for name, form in forms.items():

@@ -90,5 +90,6 @@ def save_gameweek(
 
 
 def predictions_by_date(table: DataFrame) -> DataFrame:
-    """Saved predictions in date order."""
-    return table.orderBy(F.col("match_date").asc())
+    """Saved predictions in date order; the other columns split a busy date over tasks."""
+    rest = [c for c in table.columns if c != "match_date" and table.schema[c].dataType.typeName() != "map"]
+    return table.orderBy("match_date", *rest)

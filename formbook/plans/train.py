@@ -8,16 +8,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, assemble
 from formbook.ml.tuning import SearchSpace, best_params, cv_scores, trial_table
-from formbook.operators.metrics import classification_metrics, macro_f1
+from formbook.operators.metrics import averaged_metrics, classification_report
+from formbook.operators.runs import promotion_decision
 from formbook.operators.split import cutoff_for, temporal_split
 from formbook.plans.features import match_features
-from formbook.schemas import CLASSES, CV_FOLDS, FEATURES, SEARCH_DRAWS, SEED, TEST_WEEKS
+from formbook.schemas import CLASSES, CV_FOLDS, FEATURES, RUN_SCHEMA, SEARCH_DRAWS, SEED, TEST_WEEKS
+from formbook.sources.tables import read_tables
+
+
+RUNS_TABLE = "model_runs"
+EXPERIMENT = "match_result"
 
 
 @dataclass
 class Trained:
-    """What a training run leaves behind."""
+    """What a training run leaves behind. ``release`` frees the persisted features."""
 
+    featured: DataFrame
     model: SammeModel
     params: SammeParams
     scores: DataFrame
@@ -30,6 +37,9 @@ class Trained:
         """Test rows with their predictions."""
         return self.model.transform(assemble(self.test))
 
+    def release(self) -> None:
+        self.featured.unpersist()
+
 
 def run_training(
     matches: DataFrame,
@@ -47,15 +57,13 @@ def run_training(
     table = trial_table(scores)
     params = best_params(table, seed)
     model = SammeClassifier(params).fit(assemble(train))
-    return Trained(model, params, scores, table, train, test, as_of)
+    return Trained(featured, model, params, scores, table, train, test, as_of)
 
 
 def evaluation(run: Trained) -> DataFrame:
     """Test metrics of the run, one row."""
-    judged = run.judged()
-    return classification_metrics(judged, "result", "predicted_label").join(
-        macro_f1(judged, "result", "predicted_label")
-    )
+    names = ["accuracy", "precision", "recall", "f1_score", "macro_f1"]
+    return averaged_metrics(run.judged(), names, "result", "predicted_label")
 
 
 def parameter_record(spark: SparkSession, run: Trained) -> DataFrame:
@@ -100,3 +108,54 @@ def prediction_sample(judged: DataFrame, n: int = 50) -> DataFrame:
         F.col("prediction").cast("int").alias("y_pred_encoded"),
         F.col("predicted_label").alias("y_pred_label"),
     )
+
+
+def write_evaluation(spark: SparkSession, run: Trained, folder: str) -> None:
+    """Report, importances, input features and a sample of test predictions, as CSV and text."""
+    judged = run.judged()
+    report = classification_report(judged, "result", "predicted_label")
+    for name, df in (
+        ("classification_report", report),
+        ("feature_importances", importance_table(spark, run.model)),
+        ("test_sample_predictions", prediction_sample(judged)),
+    ):
+        df.coalesce(1).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
+    names = spark.createDataFrame([(f,) for f in run.model.features], "value string")
+    names.coalesce(1).write.mode("overwrite").text(f"{folder}/input_features")
+
+
+def recorded_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The run table; empty before the first run."""
+    return read_tables(spark, {RUNS_TABLE: RUN_SCHEMA}, root)[RUNS_TABLE]
+
+
+def train_job(spark: SparkSession, matches: DataFrame, as_of: dt.datetime, root: str, **options) -> DataFrame:
+    """Train, evaluate, record the run, and promote the model if it beats the one in production.
+
+    Models lie below ``root``/models by stage. The result is a one-row status.
+    """
+    run = run_training(matches, as_of, **options)
+    rows = {n: df.count() for n, df in (("train_rows", run.train), ("test_rows", run.test))}
+    metrics = evaluation(run).first().asDict()
+    run_id = recorded_runs(spark, root).count() + 1
+    folder = f"{root}/runs/{run_id}"
+    write_evaluation(spark, run, folder)
+    parameter_record(spark, run).coalesce(1).write.mode("overwrite").csv(f"{folder}/parameters", header=True)
+    run.model.save(spark, f"{root}/models/Staging")
+
+    def record(stage: str) -> DataFrame:
+        row = (
+            EXPERIMENT, run_id, "FINISHED", metrics["accuracy"], metrics["macro_f1"], as_of,
+            cutoff_for(as_of), stage, run_id,
+        )
+        return spark.createDataFrame([row], RUN_SCHEMA)
+
+    known = recorded_runs(spark, root).unionByName(record("Staging"))
+    promote = promotion_decision(known.filter(F.col("experiment") == EXPERIMENT)).first()["promote"]
+    record("Staging").write.mode("append").parquet(f"{root}/{RUNS_TABLE}")
+    if promote:
+        run.model.save(spark, f"{root}/models/Production")
+        record("Production").write.mode("append").parquet(f"{root}/{RUNS_TABLE}")
+    run.release()
+    summary = {"status": "SUCCESS", "run_id": run_id, **rows, **metrics, "promoted": promote}
+    return spark.createDataFrame([tuple(summary.values())], list(summary))

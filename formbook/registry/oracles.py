@@ -1,7 +1,7 @@
 """Oracle SQL (DuckDB) for the registered queries that SQL can express."""
 
 from formbook.schemas import (
-    CLASSES, DROPPABLE_COLUMNS, FEATURES, PLAYER_STATS, RAW_STAT_COLUMNS, REQUIRED_COLUMNS, TEAM_STATS,
+    CLASSES, FEATURES, PLAYER_STATS, RAW_STAT_COLUMNS, REQUIRED_COLUMNS, TEAM_STATS,
 )
 
 # --- views ---------------------------------------------------------------------------------
@@ -255,7 +255,7 @@ at_venue AS (
   FROM ({_last('season', 'home')} UNION ALL {_last('season', 'away')}) GROUP BY side, team)"""
 
 
-def _form_columns(whole_points: bool) -> str:
+def _form_columns() -> str:
     out = []
     for side, t in (("home", "h"), ("away", "a")):
         out += [f"{t}.{s}_avg AS {side}_{s}_avg_last5" for s in AVERAGED]
@@ -279,11 +279,11 @@ FROM (SELECT *, {DIFFERENCES}, 1 AS home_advantage,
     CASE WHEN home_team IS NULL OR away_team IS NULL THEN 'SKIPPED'
       WHEN home_points_last5 IS NULL OR away_points_last5 IS NULL OR home_team_home_wins_last5 IS NULL
         OR away_team_away_wins_last5 IS NULL THEN 'ERROR' ELSE 'OK' END AS status
-  FROM (SELECT u.*, {_form_columns(True)}, hv.win_rate AS home_venue_advantage
+  FROM (SELECT u.*, {_form_columns()}, hv.win_rate AS home_venue_advantage
     FROM upcoming u LEFT JOIN latest h ON h.team = u.home_team LEFT JOIN latest a ON a.team = u.away_team
     LEFT JOIN at_venue hv ON hv.team = u.home_team AND hv.side = 'home'
     LEFT JOIN at_venue av ON av.team = u.away_team AND av.side = 'away'))""",
-    LATEST.replace("2000-08-01", "2000-08-01"),
+    LATEST,
     SCHEDULE,
 )
 
@@ -305,7 +305,7 @@ asked AS (SELECT * FROM mapped WHERE home_team IS NOT NULL AND away_team IS NOT
 known AS (
   SELECT f.fixture_id,
     least(coalesce(h.found, 0), coalesce(a.found, 0), coalesce(hv.found_at_venue, 0), coalesce(av.found_at_venue, 0)) AS found,
-    {_form_columns(False)}
+    {_form_columns()}
   FROM asked f
   ASOF LEFT JOIN state h ON h.team = f.home_team AND f.date > h.date
   ASOF LEFT JOIN state a ON a.team = f.away_team AND f.date > a.date
@@ -458,6 +458,10 @@ ORACLES: dict[str, str] = {
         """SELECT CAST(json_object('match_id', match_id, 'date', strftime(date, '%Y-%m-%d'), 'home_team', home_team,
         'away_team', away_team, 'home_goals', home_goals, 'away_goals', away_goals, 'status', lower(status)) AS VARCHAR) AS record FROM matches"""
     ),
+    "etl_summary": _on_matches(
+        """SELECT 'SUCCESS' AS status, count(*) AS loaded_records, CAST(count(DISTINCT season) AS INTEGER) AS seasons_read,
+        CAST(max(season) + 1 AS VARCHAR) AS failed_seasons FROM matches"""
+    ),
     "drop_columns": _all("matches"),
     "column_contract": _on_matches(_contract()),
     "match_result": _on_matches("SELECT match_id, home_goals, away_goals, result FROM basic", BASIC),
@@ -578,6 +582,14 @@ ORACLES: dict[str, str] = {
         "SELECT result AS label, count(*) AS n, round((SELECT count(*) FROM basic) / (3.0 * count(*)), 6) AS weight FROM basic GROUP BY result",
         BASIC,
     ),
+    "assembled": _on_matches(
+        " UNION ALL ".join(
+            f"SELECT match_id, CASE result WHEN 'Draw' THEN 0 WHEN 'Lose' THEN 1 ELSE 2 END AS label,"
+            f" {i} AS position, round(CAST({c} AS DOUBLE), 6) + 0.0 AS value FROM featured"
+            for i, c in enumerate(FEATURES)
+        ),
+        _features(True),
+    ),
     "samme_round": _samme("y_pred_weak"),
     "samme_round_at_chance": _samme("y_pred"),
 }

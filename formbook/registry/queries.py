@@ -6,6 +6,7 @@ Doubles are rounded to six places, as in the oracle SQL.
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from formbook.functions.columns import label_index
@@ -149,12 +150,11 @@ def season_of_match(spark, folder):
 
 
 def matches_by_season(spark, folder):
-    return rounded(views.matches(spark, folder).filter(in_season(F.col("date"), SEASON)))
+    return rounded(seasons.matches_by_season(views.matches(spark, folder), SEASON))
 
 
 def matches_by_team(spark, folder):
-    plays = (F.col("home_team") == TEAM) | (F.col("away_team") == TEAM)
-    return rounded(views.matches(spark, folder).filter(plays))
+    return rounded(seasons.matches_by_team(views.matches(spark, folder), TEAM))
 
 
 def null_rows_dropped(spark, folder):
@@ -408,10 +408,10 @@ def _importances(spark, folder):
 
 
 def assembled(spark, folder):
-    from pyspark.ml.functions import vector_to_array
-
+    """The feature vectors, one row per entry."""
     df = assemble(ft.match_features(views.matches(spark, folder)))
-    return df.select("match_id", "label", vector_to_array("features").alias("features"))
+    entries = F.posexplode(vector_to_array("features")).alias("position", "value")
+    return rounded(df.select("match_id", F.col("label").cast("int").alias("label"), entries))
 
 
 def samme_fit(spark, folder):
@@ -449,11 +449,11 @@ def _saved(name: str) -> Query:
 
 
 def prediction_sample(spark, folder):
-    """First 50 judged test rows, through a CSV file with a header."""
-    sample = tr.prediction_sample(_trained(spark, folder).judged())
-    path = new_path(spark, "sample")
-    sample.coalesce(1).write.csv(path, header=True)
-    return spark.read.schema(sample.schema).csv(path, header=True)
+    """First 50 judged test rows, from the evaluation files of the run."""
+    run, path = _trained(spark, folder), new_path(spark, "evaluation")
+    tr.write_evaluation(spark, run, path)
+    schema = tr.prediction_sample(run.judged()).schema
+    return spark.read.schema(schema).csv(f"{path}/test_sample_predictions", header=True)
 
 
 def model_roundtrip(spark, folder):
@@ -470,9 +470,9 @@ def model_roundtrip(spark, folder):
 
 
 def train_job_summary(spark, folder):
-    run = _trained(spark, folder)
-    rows = {n: df.agg(F.count(F.lit(1))).scalar() for n, df in (("train_rows", run.train), ("test_rows", run.test))}
-    return tr.evaluation(run).withColumns({"status": F.lit("SUCCESS"), **rows})
+    return tr.train_job(
+        spark, views.matches(spark, folder), SPLIT_AS_OF, new_path(spark, "training"), space=SPACE, trials=1, folds=2
+    )
 
 
 QUERIES: dict[str, Query] = {

@@ -155,6 +155,20 @@ PREDICTION_SCHEMA = T.StructType(
     ]
 )
 
+RUN_SCHEMA = T.StructType(
+    [
+        T.StructField("experiment", T.StringType()),
+        T.StructField("run_id", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("metric", T.DoubleType()),
+        T.StructField("macro_f1", T.DoubleType()),
+        T.StructField("as_of", T.TimestampNTZType()),
+        T.StructField("test_from", T.TimestampNTZType()),
+        T.StructField("stage", T.StringType()),
+        T.StructField("version", T.LongType()),
+    ]
+)
+
 
 class ContractError(ValueError):
     """A frame lacks a column its consumer needs."""

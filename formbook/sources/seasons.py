@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from formbook.functions.columns import nan_to_null
-from formbook.functions.season import season_label, season_of
+from formbook.functions.season import in_season, season_label, season_of
 from formbook.schemas import DROPPABLE_COLUMNS
 
 
@@ -50,6 +50,21 @@ def season_coverage(matches: DataFrame, base: int, as_of: dt.datetime) -> DataFr
     )
 
 
+def matches_by_season(matches: DataFrame, season: int) -> DataFrame:
+    """Matches of one season.
+
+    The date range reaches the file scan; on a table partitioned by season
+    the second predicate leaves only that partition to read.
+    """
+    rows = matches.filter(in_season(F.col("date"), season))
+    return rows.filter(F.col("season") == season) if "season" in matches.columns else rows
+
+
+def matches_by_team(matches: DataFrame, team: str) -> DataFrame:
+    """Matches of one team, home or away."""
+    return matches.filter((F.col("home_team") == team) | (F.col("away_team") == team))
+
+
 def drop_columns(df: DataFrame, columns: list[str] = DROPPABLE_COLUMNS) -> DataFrame:
     """Drop the listed columns that are present."""
     return df.drop(*columns)

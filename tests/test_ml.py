@@ -130,3 +130,24 @@ def test_gameweek_scores(frame, spark):
     assert flat.count() == 3 and {"prob_draw", "prob_lose", "prob_win"} <= set(flat.columns)
     top = top_importances(importance_table(spark, model)).collect()
     assert len(top) == 8 and top[0]["importance"] >= top[-1]["importance"]
+
+
+def test_train_job_promotes_only_a_better_model(spark, small, tmp_path):
+    from datetime import datetime
+
+    from formbook.plans.train import recorded_runs, train_job
+    from formbook.sources import views
+
+    space = SearchSpace(n_estimators=(1, 2), max_depth=(5, 6), max_features=(None,))
+    matches = views.matches(spark, small).dropna(subset=["home_goals"])
+    first, second = (
+        train_job(spark, matches, datetime(2001, 8, 1), str(tmp_path), space=space, trials=1, folds=2).first()
+        for _ in range(2)
+    )
+    assert first["promoted"] and not second["promoted"]  # the second one only equals it
+    assert (first["run_id"], second["run_id"]) == (1, 2)
+    stages = [(r["run_id"], r["stage"]) for r in recorded_runs(spark, str(tmp_path)).orderBy("run_id", "stage").collect()]
+    assert stages == [(1, "Production"), (1, "Staging"), (2, "Staging")]
+    report = spark.read.csv(f"{tmp_path}/runs/2/classification_report", header=True)
+    assert {"Draw", "Lose", "Win", "accuracy", "macro avg", "weighted avg"} == {r["label"] for r in report.collect()}
+    assert SammeModel.load(spark, f"{tmp_path}/models/Production").features == FEATURES
