@@ -114,18 +114,18 @@ class SammeModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``scores``, ``probabilities`` (arrays in class order), ``prediction`` and ``predicted_label``."""
         columns = df.columns
-        votes = []
-        for i, tree in enumerate(self.trees):
-            df = _predict_only(tree, f"_vote{i}").transform(df)
-            votes.append(F.col(f"_vote{i}"))
+        names = [f"_vote{i}" for i in range(len(self.trees))]
+        for name, tree in zip(names, self.trees):
+            df = _predict_only(tree, name).transform(df)
+        df = df.select(*columns, F.array(*names).alias("_votes"))
         total = sum(self.alphas) or 1.0
-        scores = []
-        for k in range(K):
-            score = F.lit(0.0)
-            for vote, alpha in zip(votes, self.alphas):
-                score = score + F.when(vote == k, alpha).otherwise(-alpha / (K - 1))
-            scores.append(score / total)
-        df = df.select(*columns, F.array(*scores).alias("scores"))
+        says = F.array(*[F.lit(a / total) for a in self.alphas])
+
+        def score(k: int) -> Column:
+            parts = F.zip_with("_votes", says, lambda v, a: F.when(v == k, a).otherwise(-a / (K - 1)))
+            return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+
+        df = df.select(*columns, F.array(*[score(k) for k in range(K)]).alias("scores"))
         raised = F.transform("scores", lambda s: F.exp(s / (K - 1)))
         df = df.withColumn("_raised", raised)
         norm = F.aggregate("_raised", F.lit(0.0), lambda a, x: a + x)

@@ -54,8 +54,11 @@ def column_contract(df: DataFrame, required: list[str] = REQUIRED_COLUMNS) -> Da
 
 
 def quality_report(matches: DataFrame) -> DataFrame:
-    """Count of offending rows per check: unknown, negative and NaN values, unplayed
-    matches, and self-matches in one pass; repeated keys by grouping."""
+    """Number of offending rows per check.
+
+    Unknown, negative and NaN values, unplayed matches and self-matches take
+    one pass; repeated (date, team) keys take one grouping.
+    """
     checks: dict[str, Column] = {}
     kinds = {f.name: f.dataType for f in matches.schema}
     for c in REQUIRED_COLUMNS:
@@ -72,20 +75,20 @@ def quality_report(matches: DataFrame) -> DataFrame:
     )
     lines = [F.struct(F.lit(n).alias("check"), F.col(c).alias("bad_rows")) for c, n in names.items()]
     report = counts.select(F.explode(F.array(*lines)).alias("l")).select("l.*")
-    for side in ("home", "away"):
-        extra = join_key_duplicates(matches, side).agg(
-            F.lit(f"duplicate:date,{side}_team").alias("check"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"),
-        )
-        report = report.unionByName(extra)
-    return report
+    sides = ("home", "away")
+    repeated = join_key_duplicates(matches).agg(
+        *[F.coalesce(F.sum(F.when(F.col("side") == s, F.col("rows"))), F.lit(0)).alias(s) for s in sides]
+    )
+    lines = [
+        F.struct(F.lit(f"duplicate:date,{s}_team").alias("check"), F.col(s).alias("bad_rows")) for s in sides
+    ]
+    return report.unionByName(repeated.select(F.explode(F.array(*lines)).alias("l")).select("l.*"))
 
 
-def join_key_duplicates(matches: DataFrame, side: str | None = None) -> DataFrame:
+def join_key_duplicates(matches: DataFrame) -> DataFrame:
     """(date, team) keys that occur more than once on a side."""
-    sides = [side] if side else ["home", "away"]
     keys = F.array(
-        *[F.struct(F.lit(s).alias("side"), F.col(f"{s}_team").alias("team")) for s in sides]
+        *[F.struct(F.lit(s).alias("side"), F.col(f"{s}_team").alias("team")) for s in ("home", "away")]
     )
     return (
         matches.select("date", F.explode(keys).alias("k"))
