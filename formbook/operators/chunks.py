@@ -2,8 +2,8 @@
 
 Trailing windows and ordinals are sequential per team, or over the whole
 table. A busy team would put its entire history into one task, so large
-tables are first cut along (date, id) into chunks of about ``rows_per_chunk``
-rows. The cut points come from one approximate-quantile pass and only decide
+tables are first cut along (date, id) into chunks of ``rows_per_chunk`` rows at
+most, about. The cut points come from one approximate-quantile pass and only decide
 how the work is split, never what is computed.
 """
 
@@ -77,7 +77,7 @@ def time_chunks(
     id: str = "match_id",
     late: str | None = None,
 ) -> TimeChunks:
-    """Measure ``df`` and choose cut points; none if it fits one chunk.
+    """Measure ``df`` and choose cut points; none up to ``rows_per_chunk`` rows.
 
     Order within one instant is by ``late`` (false first), then by ``id``.
     """
@@ -85,7 +85,9 @@ def time_chunks(
     rows = keys.count()
     if rows <= rows_per_chunk:
         return TimeChunks(rows, date=date, id=id, late=late)
-    n = min(-(-rows // rows_per_chunk), MAX_CHUNKS)
+    # Several chunks per task, so that hashing them over the tasks comes out even.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(max(-(-rows // rows_per_chunk), 4 * tasks), rows, MAX_CHUNKS)
     accuracy = max(10_000, 20 * n)
     shares = [i / n for i in range(1, n)]
     cuts = Counter(keys.select(F.percentile_approx("at", shares, accuracy)).first()[0])

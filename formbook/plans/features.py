@@ -153,8 +153,7 @@ def feature_stages(
     """Match rows after each stage, by stage name.
 
     Tables of more than ``rows_per_chunk`` matches are cut into time chunks;
-    the survivors of each stage are then checkpointed, since the next stage
-    reads them twice.
+    what a further stage reads is then checkpointed, since it is read twice.
     """
     if mode not in ("cascaded", "single_pass"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -164,21 +163,26 @@ def feature_stages(
         "points_last5": points_spec(),
         "venue_form_rolling": venue_spec(),
     }
+    last = "venue_form_rolling"
+
+    def formed(df: DataFrame, *specs: Form) -> DataFrame:
+        return add_form(df.repartition("chunk") if chunks else df, *specs)
+
     df = basic_features(matches)
     if chunks:
         df = chunks.assign(df)
     stages = {"feature_engineering": df}
-    if mode == "single_pass":
-        if chunks:
-            for form in forms.values():
-                df = cut(add_form(df.repartition("chunk"), form))
-        else:
-            df = add_form(df, *forms.values())
+    if mode == "single_pass" and not chunks:
+        df = formed(df, *forms.values())
+    for name, form in forms.items():
+        if mode == "single_pass" and chunks:
+            df = formed(df, form)
+            df = df if name == last else cut(df)
     for name, form in forms.items():
         if mode == "cascaded":
-            df = add_form(df.repartition("chunk") if chunks else df, form)
+            df = formed(df, form)
         df = df.dropna(subset=form.needed)
-        if mode == "cascaded" and chunks:
+        if mode == "cascaded" and chunks and name != last:
             df = cut(df)
         stages[name] = df
     df = difference_features(_venue_advantage(df))
