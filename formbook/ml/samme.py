@@ -222,7 +222,7 @@ class SammeClassifier:
                     F.sum("w"), F.sum(F.when(miss, F.col("w")).otherwise(0.0))
                 ).first()
                 error = missed / mass
-                if error >= 1.0 - 1.0 / K:
+                if error >= 1.0 - 1.0 / K - 1e-12:  # no better than chance, up to rounding
                     break
                 alpha = 1.0
                 if error > 0:

@@ -104,12 +104,12 @@ def form_before(
     known = F.col("known")
     if cuts:
         by = ["chunk", "team"]
-        lines = cuts.assign(lines).repartition(*by)
+        lines = cuts.assign(lines)
         # Overall form needs the history of both sides wherever a team appears.
         sides = F.explode(F.array(F.lit("home"), F.lit("away"))).alias("side")
         starts = lines.select("chunk", "team").distinct().select("chunk", "team", sides)
-        history = history_rows(lines.filter(known), starts, ["team", "side"], ["known", *stats])
-        lines = lines.unionByName(history.repartition(*by), allowMissingColumns=True)
+        history = history_rows(lines.filter(known), ["team", "side"], ["known", *stats], starts)
+        lines = lines.repartition(*by).unionByName(history.repartition(*by), allowMissingColumns=True)
     else:
         lines = lines.repartition("team")
     part = part_keys(lines)

@@ -20,48 +20,55 @@ def full_sum(column: str, window, size: int = WINDOW) -> Column:
 
 
 def history_rows(
-    known: DataFrame, starts: DataFrame, keys: list[str], payload: list[str], size: int = WINDOW
+    known: DataFrame,
+    keys: list[str],
+    payload: list[str],
+    starts: DataFrame | None = None,
+    size: int = WINDOW,
 ) -> DataFrame:
-    """For every (chunk, keys) in ``starts``, the last ``size`` known rows of earlier chunks.
+    """For every chunk, the last ``size`` known rows of each key from earlier chunks.
 
-    Each (chunk, keys) adds ``size`` rows at most to the step that runs per
-    key alone, however many rows the key has.
+    Put in front of a chunk's own rows they make its trailing frames exact.
+    Only the newest ``size`` rows per (chunk, keys) are shuffled, and these
+    alone meet per key, however many rows the key has. ``starts`` lists the
+    (chunk, keys) that need history; by default those that hold known rows.
     """
     order = match_order()
     newest = Window.partitionBy("chunk", *keys).orderBy(
         F.col("date").desc_nulls_first(), F.col("match_id").desc()
     )
     item = F.struct("date", "match_id", *payload)
-    upto = Window.partitionBy(*keys).orderBy("chunk", *order).rowsBetween(1 - size, 0)
     tails = (
         known.select("chunk", "date", "match_id", *keys, *payload)
         .withColumn("_age", F.row_number().over(newest))
         .filter(F.col("_age") <= size)
-        .select("chunk", *keys, F.lit(1).alias("_kind"), "date", "match_id",
-                F.collect_list(item).over(upto).alias("_items"))
     )
-    starts = starts.select("chunk", *keys, F.lit(0).alias("_kind"))
-    sofar = (
-        Window.partitionBy(*keys)
-        .orderBy("chunk", "_kind", *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if starts is None:
+        # A chunk's first tail row follows the last rows before the chunk.
+        line = Window.partitionBy(*keys).orderBy("chunk", *order)
+        before = F.collect_list(item).over(line.rowsBetween(-size, -1))
+        previous = F.lag("chunk").over(line)
+        at_start = tails.withColumns({"_items": before, "_previous": previous}).filter(
+            F.col("_previous") < F.col("chunk")
+        )
+    else:
+        # Each start takes over the state left by the tail rows of earlier chunks.
+        upto = Window.partitionBy(*keys).orderBy("chunk", *order).rowsBetween(1 - size, 0)
+        sofar = (
+            Window.partitionBy(*keys)
+            .orderBy("chunk", "_kind", *order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        states = tails.select(
+            "chunk", *keys, F.lit(1).alias("_kind"), "date", "match_id",
+            F.collect_list(item).over(upto).alias("_items"),
+        )
+        starts = starts.select("chunk", *keys, F.lit(0).alias("_kind"))
+        at_start = (
+            states.unionByName(starts, allowMissingColumns=True)
+            .withColumn("_items", F.last("_items", ignorenulls=True).over(sofar))
+            .filter(F.col("_kind") == 0)
+        )
+    return at_start.select("chunk", *keys, F.explode("_items").alias("_item")).select(
+        "chunk", *keys, "_item.*"
     )
-    return (
-        tails.unionByName(starts, allowMissingColumns=True)
-        .withColumn("_items", F.last("_items", ignorenulls=True).over(sofar))
-        .filter(F.col("_kind") == 0)
-        .select("chunk", *keys, F.explode("_items").alias("_item"))
-        .select("chunk", *keys, "_item.*")
-    )
-
-
-def with_history(rows: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
-    """Put the last rows of earlier chunks in front of each chunk, marked ``is_history``.
-
-    Trailing frames are then exact within a chunk. ``rows`` and the history
-    are both hashed on the chunk, so their union needs no further shuffle.
-    """
-    starts = rows.select("chunk", *keys).distinct()
-    history = history_rows(rows, starts, keys, payload).withColumn("is_history", F.lit(True))
-    current = rows.withColumn("is_history", F.lit(False))
-    return current.unionByName(history.repartition("chunk"), allowMissingColumns=True)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from formbook.functions.columns import flag, require, result_of
 from formbook.operators.chunks import ROWS_PER_CHUNK, TimeChunks, time_chunks
 from formbook.operators.timeline import match_rows, team_rows
-from formbook.operators.trailing import full_sum, match_order, part_keys, with_history
+from formbook.operators.trailing import full_sum, history_rows, match_order, part_keys
 from formbook.schemas import REQUIRED_COLUMNS, WINDOW
 from formbook.session import cut
 
@@ -74,13 +74,21 @@ def venue_spec() -> Form:
     )
 
 
-def trailing(rows: DataFrame, form: Form) -> DataFrame:
-    """Add the outputs of ``form`` to team rows."""
+def trailing(rows: DataFrame, form: Form, source: DataFrame | None = None) -> DataFrame:
+    """Add the outputs of ``form`` to team rows.
+
+    Rows cut into chunks come hashed on the chunk, and ``source`` holds the
+    same rows before that shuffle; history is reduced there first. Both parts
+    of the union are then hashed alike, so it needs no further shuffle.
+    """
     inputs = {f"_{out}": value for out, value in form.derive.items()}
     rows = rows.withColumns(inputs)
     part = part_keys(rows)
     if part:
-        rows = with_history(rows, form.keys, list(inputs))
+        past = history_rows(source.withColumns(inputs), form.keys, list(inputs)).repartition("chunk")
+        rows = rows.withColumn("is_history", F.lit(False)).unionByName(
+            past.withColumn("is_history", F.lit(True)), allowMissingColumns=True
+        )
     window = (
         Window.partitionBy(*part, *form.keys).orderBy(*match_order()).rowsBetween(-WINDOW, -1)
     )
@@ -93,12 +101,20 @@ def trailing(rows: DataFrame, form: Form) -> DataFrame:
 
 
 def add_form(matches: DataFrame, *forms: Form) -> DataFrame:
-    """Both teams' trailing form on the match row; no row is dropped."""
+    """Both teams' trailing form on the match row; no row is dropped.
+
+    With a ``chunk`` column, the one shuffle is by chunk: it serves the windows
+    of all teams and brings a match's two rows together again.
+    """
     part = part_keys(matches)
     stats = {s: pair for form in forms for s, pair in form.stats.items()}
-    rows = team_rows(matches, stats, keep=[*part, "match_id", "date"], carry=True)
+
+    def split(df: DataFrame) -> DataFrame:
+        return team_rows(df, stats, keep=[*part, "match_id", "date"], carry=True)
+
+    rows = split(matches.repartition(*part)) if part else split(matches)
     for form in forms:
-        rows = trailing(rows, form)
+        rows = trailing(rows, form, split(matches) if part else None)
     return match_rows(rows, {o: n for form in forms for o, n in form.names.items()}, part)
 
 
@@ -164,23 +180,17 @@ def feature_stages(
         "venue_form_rolling": venue_spec(),
     }
     last = "venue_form_rolling"
-
-    def formed(df: DataFrame, *specs: Form) -> DataFrame:
-        return add_form(df.repartition("chunk") if chunks else df, *specs)
-
     df = basic_features(matches)
     if chunks:
         df = chunks.assign(df)
     stages = {"feature_engineering": df}
-    if mode == "single_pass" and not chunks:
-        df = formed(df, *forms.values())
-    for name, form in forms.items():
-        if mode == "single_pass" and chunks:
-            df = formed(df, form)
-            df = df if name == last else cut(df)
+    if mode == "single_pass":
+        for group in [[f] for f in forms.values()] if chunks else [list(forms.values())]:
+            df = add_form(df, *group)
+            df = cut(df) if chunks and group != [forms[last]] else df
     for name, form in forms.items():
         if mode == "cascaded":
-            df = formed(df, form)
+            df = add_form(df, form)
         df = df.dropna(subset=form.needed)
         if mode == "cascaded" and chunks and name != last:
             df = cut(df)

@@ -137,7 +137,8 @@ def train_job(spark: SparkSession, matches: DataFrame, as_of: dt.datetime, root:
     run = run_training(matches, as_of, **options)
     rows = {n: df.count() for n, df in (("train_rows", run.train), ("test_rows", run.test))}
     metrics = evaluation(run).first().asDict()
-    run_id = recorded_runs(spark, root).count() + 1
+    newest = recorded_runs(spark, root).agg(F.max("run_id")).first()[0]
+    run_id = (newest or 0) + 1
     folder = f"{root}/runs/{run_id}"
     write_evaluation(spark, run, folder)
     parameter_record(spark, run).coalesce(1).write.mode("overwrite").csv(f"{folder}/parameters", header=True)
