@@ -12,6 +12,7 @@ def local_session(name: str, cores: str = os.environ.get("BENCH_CPUS", "8")) ->
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
