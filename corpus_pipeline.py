@@ -1,11 +1,51 @@
-"""Corpus pipeline: operators chained from raw documents to tokens."""
+"""Corpus pipeline: from raw documents to tokens, one operator per stage."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from formbook.llm import bpe, mixing, simhash, suffix, toxicity
 from formbook.llm.common import staged, table
+from formbook.llm.queries import tokenizer_file
 
-STAGES = []
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the threshold; the model is fitted on labels that are not held out."""
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    scored = toxicity.scored(docs.withColumn("score", F.lit(0.0)), model)
+    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group linked by SimHash: 3-word shingles, 3 bits."""
+    return simhash.deduplicated(docs, shingle=3, max_bits=3)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings of 200 or more that occur elsewhere as well."""
+    cut = suffix.remove_repeats(docs, length=200, as_text=True)
+    cut = cut.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("text").cast("long"))
+    return cut.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, the last time in part."""
+    mixed = mixing.mixed_documents(docs)
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their token ids."""
+    return bpe.encoded(docs, tokenizer_file()).select(*docs.columns, "n_tokens", "ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("suffix_array_dedup", drop_repeats),
+    ("source_mixing", mix_sources),
+    ("bpe_encoding", encode),
+]
+
+#: Fitted models, hashes and merges have no SQL form; the tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -1,14 +1,36 @@
 """Shared pieces: reading the given tables, staging, and clash-free columns."""
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from formbook.session import new_path
 
+_shipped: set[str] = set()
+
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` would; once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="formbook-code-"), "formbook.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)  # Spark serves it from the driver
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

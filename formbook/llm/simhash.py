@@ -52,7 +52,7 @@ def _majority(hashes: list[list[int]]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``id`` and ``fp``, the 64-bit fingerprint as a long.
+    """``id``, ``hash`` (the text's xxhash64) and ``fp``, the 64-bit fingerprint as a long.
 
     Words are runs outside ``[\\x20\\x09-\\x0D]`` of the text with A-Z lower-cased. Fewer words than
     ``shingle`` make one shingle; null, empty and blank texts have fingerprint zero.
@@ -60,16 +60,18 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
 
     def scan(batches):
         for batch in batches:
-            texts = as_bytes(batch.column(1))
+            texts = as_bytes(batch.column(2))
             sizes = pa.compute.binary_length(texts).to_numpy(zero_copy_only=False)
             for a, b in groups_of(sizes):
                 rows = texts.slice(a, b - a).to_pylist()
                 fp = _majority([_shingle_hashes(t, shingle) for t in rows]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(fp)], ["id", "fp"])
+                kept = [batch.column(i).slice(a, b - a) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(fp)], ["id", "hash", "fp"])
 
-    frame = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    body = F.col(text).cast("string")
+    frame = docs.select(F.col(id).alias("id"), F.xxhash64(body).alias("hash"), body.alias("text"))
     kind = frame.schema["id"].dataType.simpleString()
-    return frame.mapInArrow(scan, f"id {kind}, fp long")
+    return frame.mapInArrow(scan, f"id {kind}, hash long, fp long")
 
 
 def block_masks(width: int, blocks: int, max_bits: int, within: int = -1) -> list[int]:
@@ -130,9 +132,9 @@ def near_duplicates(
     blocks: int = BLOCKS,
     crowded: int = CROWDED,
 ) -> DataFrame:
-    """One row per document: ``id``, ``fp`` and ``component``, the smallest id it is linked to.
+    """One row per document: ``id, hash, fp, root`` and ``component``, the smallest id it is linked to.
 
-    Links are transitive. Documents without an id keep their row and give a component no id; a component
+    Links are transitive; ``root`` is the component's smallest fingerprint. Documents without an id keep their row and give a component no id; a component
     without any id has null. Extra columns are ignored.
     """
     fps = staged(fingerprints(docs, id, text, shingle), "fingerprints")
@@ -141,8 +143,21 @@ def near_duplicates(
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    member = rooted.select("fp", "root").join(least, "root").select("fp", "component")
-    return fps.join(member, "fp").select("id", "fp", "component")
+    member = rooted.select("fp", "root").join(least, "root")
+    return fps.join(member, "fp").select("id", "hash", "fp", "root", "component")
+
+
+def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of every group: that of the smallest id, null ids last, then of the smallest text hash.
+
+    Rows equal in id and text are one document. All columns stay.
+    """
+    found = near_duplicates(docs, id, text, **options)
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "hash")).alias("kept"))
+    kept = least.select(F.col("kept.id").alias("_id"), F.col("kept.hash").alias("_hash"))
+    keyed = docs.withColumn("_key", F.xxhash64(F.col(text).cast("string")))
+    same = F.col(id).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([id, "_key"]).drop("_key")
 
 
 def hex_fingerprint(fp: Column) -> Column:

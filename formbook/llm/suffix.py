@@ -181,7 +181,7 @@ def _key(text: Column) -> list[Column]:
 def repeated_ranges(
     texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
-    """``t1, t2, ranges``: byte ranges of each text of ``t1, t2, text`` that lie in repeats.
+    """``t1, t2, ranges``: byte ranges of the texts (``t1, t2, text`` among the columns) that lie in repeats.
 
     Every row counts, so equal texts are repeats of each other. ``ranges`` may overlap.
     """
@@ -218,7 +218,7 @@ def repeated_ranges(
         for batch in batches:
             rows = ([], [], [], [], [], [], [])
             size = 0
-            for t1, t2, text, want in zip(*(c.to_pylist() for c in batch.columns)):
+            for t1, t2, text, want in zip(*(batch.column(c).to_pylist() for c in ("t1", "t2", "text", "wanted"))):
                 text = text.encode()
                 for x in want:
                     piece = text[x["at"] : x["at"] + x["n"] + length - 1]
@@ -232,11 +232,10 @@ def repeated_ranges(
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), CUT)
 
     CUT = ["m", "d1", "d2", "t1", "t2", "at", "piece"]
-    both = texts.select("t1", "t2", "text").join(wanted, ["t1", "t2"])
+    # All columns go along, so that this shuffle of the texts is the one the caller joins on.
+    both = texts.join(wanted, ["t1", "t2"])
     pieces = both.mapInArrow(cut, "m long, d1 long, d2 long, t1 long, t2 long, at long, piece binary")
-    pieces = staged(pieces, "located")
     distinct = pieces.groupBy("m", "d1", "d2").agg(F.count(F.lit(1)).alias("c"), F.first("piece").alias("piece"))
-    distinct = staged(distinct, "pieces")
     sizes = distinct.groupBy("m").agg(F.sum(F.length("piece")).alias("bytes"))
     key, found = ["m", "d1", "d2"], f"m long, d1 long, d2 long, ranges {RANGES}"
 
@@ -286,7 +285,6 @@ def repeated_ranges(
     crowded = opened.join(seen, ["w1", "w2"]).groupBy(*key).agg(F.collect_list(span).alias("ranges"))
 
     verdict = twice.unionByName(compared).unionByName(crowded)
-    verdict = staged(verdict, "verdict")
     owned = pieces.select("t1", "t2", "at", *key).distinct()
     shift = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")))
     placed = owned.join(verdict, key).select("t1", "t2", F.explode(shift).alias("r"))
@@ -314,7 +312,7 @@ def remove_repeats(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     packed = packed.select("row", "text", *_key(F.col("text")))
-    ranges = repeated_ranges(packed.select("t1", "t2", "text"), length, gram, group_bytes)
+    ranges = repeated_ranges(packed, length, gram, group_bytes)
 
     def apply(batches):
         for batch in batches:
