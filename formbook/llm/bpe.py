@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from formbook.llm.scan import slices
+
 LEXICON_WORDS = 30_000
 COUNTED = 200_000  # different words a task counts before it passes them on
 MEMO = 200_000  # different words a task remembers
@@ -206,7 +208,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
         def out():
             return pa.RecordBatch.from_arrays([pa.array(list(counter)), pa.array(list(counter.values()))], ["word", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for body in batch.column(0).to_pylist():
                 for _, words in tokenizer.parts(body or ""):
                     counter.update(words)
@@ -242,7 +244,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
         tokens = tokenizer.tokens
         memo: dict[str, tuple[list[int], str]] = {}
         special = {s: ([i], s) for s, i in tokenizer.special.items()}
-        for batch in batches:
+        for batch in slices(batches):
             flat, ends, texts = array("i"), [0], []
             for body in batch.column("_text").to_pylist():
                 decoded = []

@@ -93,6 +93,13 @@ def as_bytes(column: pa.Array) -> pa.Array:
     return column.cast(pa.binary()).fill_null(b"")
 
 
+def slices(batches, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices, so that a task holds few rows as Python objects."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def groups_of(sizes: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` bytes; a larger row comes alone."""
     start, held = 0, 0

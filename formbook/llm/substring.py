@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from formbook.llm.common import staged
-from formbook.llm.scan import as_bytes, rolling, span_hashes, word_spans
+from formbook.llm.scan import as_bytes, rolling, slices, span_hashes, word_spans
 
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)  # every residue is a difference of two cover members
@@ -89,7 +89,7 @@ def _gather(batches, rows_of: Callable, buckets: int) -> Iterator[pa.RecordBatch
     ``rows_of`` gives the document keys of a batch and, per document, ``h1, h2, pos``.
     """
     keys, parts, held = [], [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for key, found in rows_of(batch):
             if found is None or not len(found[0]):
                 continue
@@ -210,7 +210,7 @@ def remove_repeated_windows(
     later = _resolve(extended, buckets, earliest=True)
 
     def apply(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = ([], [], [])
             for data, at in zip(as_bytes(batch.column("text")).to_pylist(), batch.column("at").to_pylist()):
                 words = data.split()

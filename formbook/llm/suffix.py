@@ -11,16 +11,15 @@ are resolved window by window through 128-bit digests instead, in a grouping tha
 combines before the shuffle.
 """
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from formbook.llm.common import staged
-from formbook.llm.scan import as_bytes, byte_values, rolling, sliding_min
+from formbook.llm.scan import as_bytes, byte_values, rolling, slices, sliding_min
 
 LENGTH = 200
 GRAM = 40
@@ -28,6 +27,7 @@ SLICE = 1 << 20  # window starts hashed at once
 BATCH_BYTES = 512 << 10  # one suffix array
 GROUP_BYTES = 2 << 20  # segments of one hash; above, windows are compared by digest
 ROWS = 20_000  # rows in an output batch
+PLACE_BITS = 21  # of a place for the number of windows, at most SLICE; the rest is the first window's start
 
 
 def segments(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,11 +100,11 @@ def common_prefixes(order: np.ndarray, levels: list[tuple[int, np.ndarray]]) ->
     return np.concatenate([[0], got])
 
 
-def maximal_repeats(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Length and all occurrences of every maximal repeat of ``length`` bytes or more.
+def maximal_repeats(texts: list[bytes], length: int) -> tuple[np.ndarray, Iterator[tuple[int, int, int]]]:
+    """The suffix array, and length and range in it of every maximal repeat of ``length`` bytes or more.
 
-    Occurrences are positions in the texts joined with one separator each. Repeats do not cross
-    texts. The start of a text counts as different from every left byte.
+    The range holds all occurrences: positions in the texts joined with one separator each. Inner ranges come
+    before outer ones. Repeats do not cross texts. The start of a text counts as different from every left byte.
     """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes + 1) - 1
@@ -112,7 +112,11 @@ def maximal_repeats(texts: list[bytes], length: int) -> Iterator[tuple[int, np.n
     joined[ends] = np.arange(len(texts))  # separators differ, so no common prefix crosses them
     order, levels = suffix_array(joined, int(sizes.max()))
     left = np.where(order > 0, joined[order - 1], -1)
-    prefix = common_prefixes(order, levels)
+    return order, _intervals(common_prefixes(order, levels), left, length)
+
+
+def _intervals(prefix: np.ndarray, left: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
+    """Stack scan of the common prefixes for intervals with different bytes on the left."""
     inside = prefix >= length
     # Runs of suffixes sharing ``length`` bytes; only those with different left bytes hold maximal repeats.
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
@@ -122,7 +126,7 @@ def maximal_repeats(texts: list[bytes], length: int) -> Iterator[tuple[int, np.n
         if differs[last] == differs[first]:
             continue
         if last == first + 1:
-            yield int(prefix[last]), order[first : last + 1]
+            yield int(prefix[last]), first, last + 1
             continue
         stack: list[tuple[int, int]] = []  # common prefix, first suffix of each open interval
         for i, shared in enumerate([*prefix[first + 1 : last + 1].tolist(), 0], first + 1):
@@ -130,7 +134,7 @@ def maximal_repeats(texts: list[bytes], length: int) -> Iterator[tuple[int, np.n
             while stack and stack[-1][0] > shared:
                 depth, start = stack.pop()
                 if differs[i - 1] != differs[start]:
-                    yield depth, order[start:i]
+                    yield depth, start, i
             if shared and (not stack or stack[-1][0] < shared):
                 stack.append((shared, start))
 
@@ -147,23 +151,29 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _covered(texts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
     """Ranges of each text that lie in a repeat."""
-    a, b = [], []
-    for size, at in maximal_repeats(texts, length):
-        a.append(at)
-        b.append(at + size)
+    order, repeats = maximal_repeats(texts, length)
+    reach = np.zeros(len(order), np.int64)  # longest repeat at each place of the suffix array
+    done: list[tuple[int, int]] = []  # disjoint ranges that inner repeats have filled
+    for size, lo, hi in repeats:
+        end = hi
+        while done and done[-1][0] >= lo:
+            a, b = done.pop()
+            reach[b:end] = size
+            end = a
+        reach[lo:end] = size
+        done.append((lo, hi))
     out: list[list[tuple[int, int]]] = [[] for _ in texts]
-    if a:
+    if done:
         begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])[:-1]])
-        starts, ends = merged(np.concatenate(a), np.concatenate(b))
+        starts, ends = merged(at := order[reach > 0], at + reach[reach > 0])
         owner = np.searchsorted(begin, starts, "right") - 1
         for i, s, e in zip(owner.tolist(), (starts - begin[owner]).tolist(), (ends - begin[owner]).tolist()):
             out[i].append((s, e))
     return out
 
 
-def _digest(data: bytes) -> tuple[int, int]:
-    x = xxhash.xxh3_128_intdigest(data)
-    return (x >> 64) - (1 << 63), (x & (1 << 64) - 1) - (1 << 63)
+def _digest(data: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
 RANGES = "array<struct<a:long,b:long>>"
@@ -174,121 +184,151 @@ def _pairs(ranges: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array([[{"a": a, "b": b} for a, b in x] for x in ranges], _ranges)
 
 
-def _key(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
-
-
 def repeated_ranges(
     texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
-    """``t1, t2, ranges``: byte ranges of the texts (``t1, t2, text`` among the columns) that lie in repeats.
+    """``t1, ranges``: byte ranges of the texts (``t1, text`` among the columns) that lie in repeats.
 
-    Every row counts, so equal texts are repeats of each other. ``ranges`` may overlap.
+    Every row counts, so equal texts are repeats of each other. ``ranges`` (``place, d, a, b``) may overlap. Texts meet on
+    ``t1``, their xxhash64; of texts that share it by chance, ``d`` tells which one a range belongs to.
     """
 
     def hashes(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for text in as_bytes(batch.column(0)):
                 least = selected(text.as_py(), length, gram)
                 if len(least):
                     yield pa.RecordBatch.from_arrays([pa.array(least)], ["m"])
 
     def locate(batches):
-        for batch in batches:
-            t1, t2 = (batch.column(i).to_numpy() for i in (0, 1))
+        for batch in slices(batches):
             held, n = [], 0
-            for i, text in enumerate(as_bytes(batch.column(2))):
-                least, at, windows = segments(text.as_py(), length, gram)
-                held.append((least, np.full(len(at), t1[i]), np.full(len(at), t2[i]), at, windows))
+            for t1, text in zip(batch.column(0).to_numpy(), as_bytes(batch.column(1)).to_pylist()):
+                least, at, windows = segments(text, length, gram)
+                ends = (at + windows + length - 1).tolist()
+                d = np.array([_digest(text[a:b]) for a, b in zip(at.tolist(), ends)], np.int64)
+                held.append((least, d, np.full(len(at), t1), at << PLACE_BITS | windows))
                 n += len(at)
                 if n >= ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], NAMES)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], AT)
                     held, n = [], 0
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], AT)
 
-    NAMES = ["m", "t1", "t2", "at", "n"]
+    AT = ["m", "d", "t1", "place"]
     again = texts.select("text").mapInArrow(hashes, "m long").groupBy("m").agg(F.count(F.lit(1)).alias("c"))
-    located = texts.select("t1", "t2", "text").mapInArrow(locate, "m long, t1 long, t2 long, at long, n long")
-    located = located.join(again.filter("c > 1").select("m"), "m", "left_semi")
-    wanted = located.groupBy("t1", "t2").agg(F.collect_set(F.struct("at", "n", "m")).alias("wanted"))
-    wanted = staged(wanted, "wanted")
-
-    def cut(batches):
-        for batch in batches:
-            rows = ([], [], [], [], [], [], [])
-            size = 0
-            for t1, t2, text, want in zip(*(batch.column(c).to_pylist() for c in ("t1", "t2", "text", "wanted"))):
-                text = text.encode()
+    located = texts.select("t1", "text").mapInArrow(locate, "m long, d long, t1 long, place long")
+    # Equal pieces have the same ``m`` and the same digest ``d``.
+    places = staged(located.join(again.filter("c > 1").select("m"), "m", "left_semi"), "places")
+    key, found = ["m", "d"], f"m long, d long, ranges {RANGES}"
+    size = (F.expr(f"place & {(1 << PLACE_BITS) - 1}L") + length - 1).alias("size")
+    owner = F.min(F.struct("t1", "place", size)).alias("owner")
+    distinct = places.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), owner).repartition("m")
+    groups = distinct.groupBy("m").agg(F.count(F.lit(1)).alias("k"), F.sum("owner.size").alias("bytes"))
+    distinct = staged(distinct.join(groups, "m"), "distinct")
+
+    # A piece seen twice repeats as a whole; it is compared with others only where there are others.
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("owner.size").alias("b")))
+    twice = distinct.filter("c > 1").select(*key, whole.alias("ranges"))
+    crowded = (F.col("bytes") > group_bytes).alias("crowded")
+    asked = distinct.filter("k > 1 or c = 1").groupBy("owner.t1").agg(
+        F.collect_list(F.struct("owner.place", "owner.size", *key, "c", crowded)).alias("asked")
+    )
+
+    def fetch(batches):
+        """Bytes of one piece of each kind."""
+        last = None
+        for batch in slices(batches):
+            rows, size = tuple([] for _ in PIECE), 0
+            for t1, text, want in zip(*(batch.column(c).to_pylist() for c in ("t1", "text", "asked"))):
+                if (t1, len(text)) == last:  # equal texts come together after the join, mostly
+                    continue
+                last, text = (t1, len(text)), text.encode()
                 for x in want:
-                    piece = text[x["at"] : x["at"] + x["n"] + length - 1]
-                    for column, value in zip(rows, (x["m"], *_digest(piece), t1, t2, x["at"], piece)):
+                    at = x["place"] >> PLACE_BITS
+                    piece = text[at : at + x["size"]]
+                    if _digest(piece) != x["d"]:  # another text with this ``t1``
+                        continue
+                    for column, value in zip(rows, (x["m"], x["d"], piece, x["c"], x["crowded"])):
                         column.append(value)
                     size += len(piece)
                 if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), CUT)
-                    rows, size = ([], [], [], [], [], [], []), 0
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), PIECE)
+                    rows, size = tuple([] for _ in PIECE), 0
             if size:
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), CUT)
-
-    CUT = ["m", "d1", "d2", "t1", "t2", "at", "piece"]
-    # All columns go along, so that this shuffle of the texts is the one the caller joins on.
-    both = texts.join(wanted, ["t1", "t2"])
-    pieces = both.mapInArrow(cut, "m long, d1 long, d2 long, t1 long, t2 long, at long, piece binary")
-    distinct = pieces.groupBy("m", "d1", "d2").agg(F.count(F.lit(1)).alias("c"), F.first("piece").alias("piece"))
-    sizes = distinct.groupBy("m").agg(F.sum(F.length("piece")).alias("bytes"))
-    key, found = ["m", "d1", "d2"], f"m long, d1 long, d2 long, ranges {RANGES}"
-
-    # A piece seen twice repeats as a whole; the others are compared within their group.
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.length("piece").cast("long").alias("b")))
-    twice = distinct.filter("c > 1").select(*key, whole.alias("ranges"))
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), PIECE)
+
+    PIECE = ["m", "d", "piece", "c", "crowded"]
+    kinds = "m long, d long, piece binary, c long, crowded boolean"
+    # All columns go along, so that this shuffle of the texts is the one the caller's join reads, too.
+    # Should rows of equal text bring a piece twice, one is kept after the shuffle by group.
+    pieces = texts.join(asked, "t1").mapInArrow(fetch, kinds)
+    usual = pieces.filter("not crowded").repartition("m").sortWithinPartitions(*key)
 
     def scan(batches):
         held: list[tuple] = []
-        size = 0
+        size = 0  # bytes
 
         def done(rows):
-            ranges = _covered([r[3] for r in rows], length)
-            keep = [i for i, r in enumerate(rows) if ranges[i] and r[4] == 1]
-            columns = [pa.array([rows[i][c] for i in keep], pa.int64()) for c in range(3)]
+            ranges = _covered([r[2] for r in rows], length)
+            keep = [i for i, r in enumerate(rows) if ranges[i] and r[3] == 1]
+            columns = [pa.array([rows[i][c] for i in keep], pa.int64()) for c in range(2)]
             return pa.RecordBatch.from_arrays([*columns, _pairs([ranges[i] for i in keep])], [*key, "ranges"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:2] == held[-1][:2]:
+                    continue
                 if size > BATCH_BYTES and row[0] != held[-1][0]:
                     yield done(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[2])
         if held:
             yield done(held)
 
-    usual = distinct.join(sizes.filter(F.col("bytes") <= group_bytes).select("m"), "m", "left_semi")
-    usual = usual.select(*key, "piece", "c").repartition("m").sortWithinPartitions("m")
     compared = usual.mapInArrow(scan, found)
 
     def windows(batches):
-        for batch in batches:
-            for m, d1, d2, piece in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in slices(batches):
+            for m, d, piece in zip(*(c.to_pylist() for c in batch.columns)):
                 for lo in range(0, len(piece) - length + 1, ROWS):
                     part = np.frombuffer(piece, np.uint8)[lo : lo + ROWS + length - 1]
                     w = [rolling(byte_values(part, i), length, i).view(np.int64) for i in (0, 1)]
                     n = len(w[0])
-                    same = [pa.array(np.full(n, x)) for x in (m, d1, d2)]
+                    same = [pa.array(np.full(n, x)) for x in (m, d)]
                     at = pa.array(np.arange(lo, lo + n))
                     yield pa.RecordBatch.from_arrays([*same, pa.array(w[0]), pa.array(w[1]), at], [*key, "w1", "w2", "at"])
 
-    crowd = distinct.join(sizes.filter(F.col("bytes") > group_bytes).select("m"), "m", "left_semi")
-    opened = crowd.select(*key, "piece").mapInArrow(windows, "m long, d1 long, d2 long, w1 long, w2 long, at long")
+    opened = pieces.filter("crowded").select(*key, "piece").mapInArrow(
+        windows, "m long, d long, w1 long, w2 long, at long"
+    ).distinct()
     seen = opened.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     span = F.struct(F.col("at").alias("a"), (F.col("at") + length).alias("b"))
-    crowded = opened.join(seen, ["w1", "w2"]).groupBy(*key).agg(F.collect_list(span).alias("ranges"))
+    packed = opened.join(seen, ["w1", "w2"]).groupBy(*key).agg(F.collect_list(span).alias("ranges"))
 
-    verdict = twice.unionByName(compared).unionByName(crowded)
-    owned = pieces.select("t1", "t2", "at", *key).distinct()
-    shift = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")))
-    placed = owned.join(verdict, key).select("t1", "t2", F.explode(shift).alias("r"))
-    return placed.groupBy("t1", "t2").agg(F.collect_set("r").alias("ranges"))
+    verdict = twice.unionByName(compared).unionByName(packed)
+    shift = F.transform(
+        "ranges",
+        lambda r: F.struct("place", "d", (r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")),
+    )
+    at = F.expr(f"shiftright(place, {PLACE_BITS})")
+    placed = places.join(verdict, key).withColumn("at", at).select("t1", F.explode(shift).alias("r"))
+    return placed.groupBy("t1").agg(F.collect_set("r").alias("ranges"))
+
+
+def _own(text: bytes, ranges: list[dict] | None, length: int) -> list[tuple[int, int]]:
+    """The ranges that belong to ``text``, told by the digests of their pieces."""
+    known: dict[tuple[int, int], bool] = {}
+    out = []
+    for r in ranges or ():
+        at, n = r["place"] >> PLACE_BITS, r["place"] & (1 << PLACE_BITS) - 1
+        mine = known.get((r["place"], r["d"]))
+        if mine is None:
+            mine = known[r["place"], r["d"]] = _digest(text[at : at + n + length - 1]) == r["d"]
+        if mine:
+            out.append((r["a"], r["b"]))
+    return out
 
 
 def remove_repeats(
@@ -311,14 +351,14 @@ def remove_repeats(
         F.struct(*rest).alias("row") if rest else F.struct(F.lit(0)).alias("row"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    packed = packed.select("row", "text", *_key(F.col("text")))
+    packed = packed.select("row", "text", F.xxhash64("text").alias("t1"))
     ranges = repeated_ranges(packed, length, gram, group_bytes)
 
     def apply(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = ([], [], [], [])
             for data, spans in zip(as_bytes(batch.column("text")).to_pylist(), batch.column("ranges").to_pylist()):
-                flat = np.array([(r["a"], r["b"]) for r in spans or ()], np.int64).reshape(-1, 2)
+                flat = np.array(_own(data, spans, length), np.int64).reshape(-1, 2)
                 starts, ends = merged(flat[:, 0], flat[:, 1])
                 edges = [0, *np.column_stack([starts, ends]).ravel().tolist(), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
@@ -329,7 +369,7 @@ def remove_repeats(
             new = [pa.array(x, t) for x, t in zip(out, types)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *new], ["row", *added])
 
-    joined = packed.join(ranges, ["t1", "t2"], "left").select("row", "text", "ranges")
+    joined = packed.join(ranges, "t1", "left").select("row", "text", "ranges")
     kind = packed.schema["row"].dataType.simpleString()
     last = "string" if as_text else "binary"
     done = joined.mapInArrow(apply, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept {last}")

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from formbook.llm.scan import slices
+
 TRAIN_DOCS = 20_000  # labelled documents used for fitting, chosen by hash
 FEATURES = 4_000  # words and word beginnings in the model
 MIN_DOCS = 4  # training documents a feature must occur in
@@ -108,7 +110,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_doc
         return NoisyOr({}, 30.0 if n and toxic == n else -30.0)
 
     def occurring(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for body, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = {f for w in set(_WORD.findall(body.lower())) for f in features(w)}
                 if found:
@@ -126,7 +128,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_doc
     index = {f: i for i, f in enumerate(names)}
 
     def sparse(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for body in batch.column(0).to_pylist():
                 found = [
@@ -152,7 +154,7 @@ def scored(docs: DataFrame, model: NoisyOr, text: str = "text") -> DataFrame:
 
     def score(batches):
         memo: dict[str, tuple] = {}
-        for batch in batches:
+        for batch in slices(batches):
             out = [shared.value.score(t or "", memo) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.float64())], ["_row", "score"])
 
@@ -169,7 +171,7 @@ def offending(docs: DataFrame, model: NoisyOr, id: str = "doc_id", text: str = "
 
     def locate(batches):
         memo: dict[str, tuple] = {}
-        for batch in batches:
+        for batch in slices(batches):
             out = [shared.value.offending(t or "", memo, least) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["id", "sentences"])
 

@@ -42,12 +42,19 @@ def test_against_brute_force(docs, seed, group_bytes):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
 
 
+def all_repeats(texts, length):
+    order, found = suffix.maximal_repeats(texts, length)
+    return {(n, tuple(sorted(order[lo:hi].tolist()))) for n, lo, hi in found}
+
+
 def test_maximal_repeats_have_all_occurrences():
-    got = {(n, tuple(sorted(at.tolist()))) for n, at in suffix.maximal_repeats([b"xabcabcy", b"zabcw"], 2)}
-    assert got == {(3, (1, 4, 10))}
+    assert all_repeats([b"xabcabcy", b"zabcw"], 2) == {(3, (1, 4, 10))}
     text = b"mississippi"
-    got = {(n, tuple(sorted(at.tolist()))) for n, at in suffix.maximal_repeats([text], 1)}
-    assert got == {(1, (1, 4, 7, 10)), (4, (1, 4)), (1, (2, 3, 5, 6)), (1, (8, 9))}
+    assert all_repeats([text], 1) == {(1, (1, 4, 7, 10)), (4, (1, 4)), (1, (2, 3, 5, 6)), (1, (8, 9))}
+
+
+def test_periodic_text_takes_linear_time():
+    assert suffix._covered([b"ab" * 20_000], 200) == [[(0, 40_000)]]
 
 
 def test_empty_and_other_columns(spark, docs):
