@@ -9,7 +9,6 @@ import json
 import mmap
 import re
 import struct
-import sys
 import tempfile
 import unicodedata
 from array import array
@@ -41,19 +40,6 @@ def _byte_chars() -> list[str]:
 BYTE_CHARS = _byte_chars()
 
 
-def _unassigned() -> re.Pattern:
-    """Code points that this Python's Unicode does not know; libraries differ on them."""
-    ranges, start = [], None
-    for c in range(sys.maxunicode + 2):
-        unknown = c <= sys.maxunicode and unicodedata.category(chr(c)) == "Cn"
-        if unknown and start is None:
-            start = c
-        elif not unknown and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-            start = None
-    return re.compile(f"[{''.join(ranges)}]")
-
-
 @dataclass
 class Tokenizer:
     """The pieces of a tokenizer file: pattern, special tokens, vocabulary and merges."""
@@ -77,16 +63,18 @@ class Tokenizer:
         self.merges = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
-        self._unassigned = None
+        self._assigned: set[str] = set()
         self._exact = None
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text without special tokens, normalised."""
         if not text.isascii():
-            if self._unassigned is None:
-                self._unassigned = _unassigned().search
-            if self._unassigned(text):
-                return self._library_pieces(text)
+            fresh = set(text) - self._assigned
+            if fresh:
+                # Libraries differ on code points that this Python's Unicode does not know.
+                if any(unicodedata.category(c) == "Cn" for c in fresh):
+                    return self._library_pieces(text)
+                self._assigned |= fresh
             text = unicodedata.normalize("NFC", text)
             if _LOWER_ALONE in text:
                 return self.words("".join(c.lower() for c in text))
