@@ -46,7 +46,10 @@ def time_series_folds(
     blocks 1, 2, ...; fold k trains on every row before its block, that is on
     rows with a smaller ``fold``. Rows before the first block have fold 0.
     """
-    df = with_position(df, time_chunks(df, rows_per_chunk))
+    chunks = time_chunks(df, rows_per_chunk)
+    if 0 < chunks.rows <= folds:
+        raise ValueError(f"{chunks.rows} rows cannot fill {folds} folds and a first training block")
+    df = with_position(df, chunks)
     size = F.floor(F.col("total") / (folds + 1))
     start = F.col("total") - folds * size
     block = F.floor((F.col("position") - start) / size) + 1

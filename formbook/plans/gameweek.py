@@ -81,7 +81,9 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 def save_gameweek(
     predictions: DataFrame, importances: DataFrame, as_of: dt.datetime, root: str | None = None
 ) -> dict[str, DataFrame]:
-    """Replace the prediction and importance tables."""
+    """Replace the prediction and importance tables; a week without valid predictions leaves them as they are."""
+    if predictions_flat(predictions).isEmpty():
+        return {}
     stamped = top_importances(importances).withColumn("created_at", ntz(as_of))
     return {
         "gameweek_predictions": replace_table(predictions_flat(predictions), "gameweek_predictions", root),

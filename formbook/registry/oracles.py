@@ -450,7 +450,7 @@ ORACLES: dict[str, str] = {
     "scan_matches": _all("matches"),
     "replace_table": _all("matches"),
     "analytics_snapshot": _boards(),
-    "predictions_by_date": f"WITH {SCHEDULE} SELECT home_name, away_name, strftime(date, '%Y-%m-%d') AS match_date, fixture_id FROM schedule WHERE date > TIMESTAMP '2001-07-01' ORDER BY match_date",
+    "predictions_by_date": f"WITH {SCHEDULE} SELECT home_name, away_name, strftime(date, '%Y-%m-%d') AS match_date, fixture_id FROM schedule ORDER BY match_date",
     "landed_matches_json": _on_matches(
         "SELECT match_id, date, status, matchday, home_team, away_team, home_goals, away_goals FROM matches"
     ),

@@ -102,8 +102,8 @@ def analytics(spark, folder):
 
 
 def predictions_by_date(spark, folder):
-    """Saved rows of the coming fixtures, read back in date order."""
-    rows = fx.with_match_key(views.schedule(spark, folder).filter(F.col("date") > F.lit(FIXTURES_AS_OF.isoformat()).cast("timestamp_ntz")))
+    """Saved rows of the whole schedule, read back in date order."""
+    rows = fx.with_match_key(views.schedule(spark, folder))
     saved = tables.replace_table(
         rows.select("home_name", "away_name", "match_date", "fixture_id"),
         "gameweek_predictions", new_path(spark, "warehouse"),

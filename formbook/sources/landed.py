@@ -32,11 +32,14 @@ LANDED_SCHEMA = T.StructType(
 )
 
 
-def read_landed_matches(spark: SparkSession, path: str) -> DataFrame:
-    """One row per match out of documents with a ``matches`` list."""
+def read_landed_matches(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One row per match out of documents with a ``matches`` list.
+
+    A document per line, or with ``multi_line`` per file. A malformed document fails the read.
+    """
     return (
         spark.read.schema(LANDED_SCHEMA)
-        .json(path)
+        .json(path, mode="FAILFAST", multiLine=multi_line)
         .select(F.explode("matches").alias("m"))
         .select(
             F.col("m.id").alias("match_id"),

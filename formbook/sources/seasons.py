@@ -3,7 +3,8 @@
 import datetime as dt
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from formbook.functions.columns import nan_to_null
@@ -24,7 +25,7 @@ def read_seasons(spark: SparkSession, paths: dict[int, str]) -> tuple[DataFrame,
     for season, path in sorted(paths.items()):
         try:
             df = spark.read.parquet(path)
-        except AnalysisException:
+        except (PySparkException, Py4JJavaError):  # missing, unreadable or corrupt
             failed.append(season)
             continue
         frames.append(df.withColumn("season", F.lit(season)))

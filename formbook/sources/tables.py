@@ -15,6 +15,8 @@ def scan_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
     try:
         df = spark.read.parquet(f"{root}/{name.lower()}") if root else spark.table(name.lower())
     except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
         raise MissingTable(name) from error
     return nan_to_null(df)
 

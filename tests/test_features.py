@@ -161,3 +161,22 @@ def test_contract(make):
         basic_features(make([]).drop("home_ppda"))
     with pytest.raises(ValueError, match="mode"):
         match_features(make([]), "other")
+
+
+@pytest.mark.parametrize("rows_per_chunk", [1, 5, 50, 1_000])
+def test_order_of_null_far_and_crowded_dates(make, rows_per_chunk):
+    """Half the rows at one far instant, others null, before 1970 and beyond 2255."""
+    import datetime as dt
+
+    days = [dt.datetime(9999, 12, 31), None, dt.datetime(1890, 5, 1), dt.datetime(2300, 1, 1), dt.datetime(2020, 2, 2)]
+    rows = []
+    for i in range(80):
+        row = list(match(1000 - 7 * i, "A", f"T{i % 5}", 1, 0))
+        row[1] = days[0] if i % 2 else days[1 + i // 2 % 4]
+        rows.append(tuple(row))
+    df = make(rows)
+    chunks = time_chunks(df, rows_per_chunk)
+    got = {r.match_id: r.position for r in with_position(df, chunks).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or days[0], r[0]))
+    assert got == {r[0]: i for i, r in enumerate(order)}
+    assert len(chunks.cuts) <= 4 * max(80 // rows_per_chunk, 4 * 4)

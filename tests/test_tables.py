@@ -13,7 +13,7 @@ from formbook.operators import split as sp
 from formbook.plans.dashboard import dashboard
 from formbook.plans.etl import run_etl
 from formbook.schemas import PLAYER_SCHEMA, ContractError
-from formbook.sources import seasons, tables
+from formbook.sources import landed, seasons, tables
 
 
 def players(spark, rows):
@@ -226,3 +226,21 @@ def test_dashboard(spark, small):
     parts = dashboard(views.matches(spark, small), 1998, views.articles(spark, small), ["the"])
     assert set(parts) == {"standings", "fixtures", "results", "news"}
     assert parts["news"].count() == 10 and parts["standings"].count() > 0
+
+
+def test_corrupt_season_fails_alone(spark, tmp_path):
+    """A season that is no Parquet file is reported; the others are read."""
+    (tmp_path / "1").mkdir()
+    (tmp_path / "1" / "part.parquet").write_text("no parquet")
+    spark.range(3).write.parquet(str(tmp_path / "2"))
+    rows, failed = seasons.read_seasons(spark, {1: str(tmp_path / "1"), 2: str(tmp_path / "2")})
+    assert (rows.count(), failed) == (3, [1])
+
+
+def test_broken_and_pretty_documents(spark, tmp_path):
+    pretty = "{\"matches\": [\n {\"id\": 7, \"status\": \"FINISHED\"}\n]}"
+    (tmp_path / "pretty.json").write_text(pretty)
+    assert [r.match_id for r in landed.read_landed_matches(spark, str(tmp_path), multi_line=True).collect()] == [7]
+    (tmp_path / "broken.json").write_text('{"matches": [{"id": ')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        landed.read_landed_matches(spark, str(tmp_path), multi_line=True).collect()
