@@ -5,6 +5,7 @@ share prefixes and suffixes, and the number of words passed on the way to a fina
 index of the word's output. Tasks memory-map it; words outside are merged pair by pair.
 """
 
+import heapq
 import json
 import mmap
 import re
@@ -15,6 +16,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from formbook.llm.scan import slices
 
-LEXICON_WORDS = 30_000
+LEXICON_WORDS = 100_000
 COUNTED = 200_000  # different words a task counts before it passes them on
-MEMO = 200_000  # different words a task remembers
+MEMO = 300_000  # different words a task remembers
+LONG_WORD = 64  # bytes; longer words are merged with a heap
 
 _LOWER_ALONE = "Σ"  # the only letter whose lower case depends on its neighbours
 
@@ -60,9 +63,10 @@ class Tokenizer:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
         self.inner = [vocab[c] for c in BYTE_CHARS]
         self.last = [vocab[c + self.end] for c in BYTE_CHARS]
-        self.merges = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+        self.ranks, self.merged = {}, []
+        for a, b in model["merges"]:
+            self.ranks.setdefault(vocab[a] << 32 | vocab[b], len(self.merged))
+            self.merged.append(vocab[a + b])
         self._assigned: set[str] = set()
         self._exact = None
 
@@ -98,18 +102,40 @@ class Tokenizer:
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word: the pair merged earliest in training goes first, leftmost first."""
         ids = [*(self.inner[b] for b in word[:-1]), self.last[word[-1]]]
-        known = self.merges.get
-        while len(ids) > 1:
-            best, at = None, 0
-            for i in range(len(ids) - 1):
-                found = known((ids[i], ids[i + 1]))
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        if len(ids) > LONG_WORD:
+            return self._merge_long(ids)
+        rank, none = self.ranks.get, len(self.merged)
+        ranks = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            ids[i : i + 2] = [self.merged[best]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] << 32 | ids[i], none)
+            if i < len(ranks):
+                ranks[i] = rank(ids[i] << 32 | ids[i + 1], none)
         return ids
 
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs, for words of any length."""
+        n, rank = len(ids), self.ranks.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank(ids[i] << 32 | ids[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            best, i, left, right = heapq.heappop(heap)
+            j = after[i]
+            if j >= n or ids[i] != left or ids[j] != right:
+                continue  # one side has been merged meanwhile
+            ids[i], ids[j], after[i] = self.merged[best], -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a in (before[i], i):
+                b = after[a] if a >= 0 else n
+                if b < n and (r := rank(ids[a] << 32 | ids[b])) is not None:
+                    heapq.heappush(heap, (r, a, ids[a], ids[b]))
+        return [x for x in ids if x >= 0]
+
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     """Minimal acyclic transducer of ``words`` as one block of bytes."""
@@ -230,25 +256,26 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
     def encode(batches):
         tokenizer, words = Tokenizer(path), Lexicon(shared.value)
         tokens = tokenizer.tokens
-        memo: dict[str, tuple[list[int], str]] = {}
-        special = {s: ([i], s) for s, i in tokenizer.special.items()}
+        ids_of: dict[str, list[int]] = {}  # words met so far
+        text_of: dict[str, str] = {}
         for batch in slices(batches):
             flat, ends, texts = array("i"), [0], []
             for body in batch.column("_text").to_pylist():
                 decoded = []
                 for mark, pieces in tokenizer.parts(body or ""):
-                    for piece in pieces:
-                        known = memo.get(piece)
-                        if known is None:
-                            data = piece.encode()
-                            ids = words.ids(data) or tokenizer.merge(data)
-                            if len(memo) >= MEMO:
-                                memo.clear()
-                            known = memo[piece] = (ids, " ".join([tokens[i] for i in ids]))
-                        flat.extend(known[0])
-                        decoded.append(known[1])
+                    if len(ids_of) > MEMO:
+                        ids_of.clear()
+                        text_of.clear()
+                    for piece in set(pieces):
+                        if piece in ids_of:
+                            continue
+                        data = piece.encode()
+                        ids_of[piece] = ids = words.ids(data) or tokenizer.merge(data)
+                        text_of[piece] = " ".join([tokens[i] for i in ids])
+                    flat.extend(chain.from_iterable(map(ids_of.__getitem__, pieces)))
+                    decoded.extend(map(text_of.__getitem__, pieces))
                     if mark:
-                        flat.extend(special[mark][0])
+                        flat.append(tokenizer.special[mark])
                         decoded.append(mark)
                 ends.append(len(flat))
                 texts.append(" ".join(decoded))

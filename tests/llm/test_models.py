@@ -161,6 +161,14 @@ def test_bpe_equals_library(docs, most):
     assert bpe.encoded(frame.limit(0), tokenizer_file()).collect() == []
 
 
+def test_both_ways_to_merge_agree():
+    tokenizer, rng = bpe.Tokenizer(tokenizer_file()), random.Random(6)
+    for _ in range(500):
+        word = "".join(rng.choice("aeinrstthé") for _ in range(rng.randint(1, 60))).encode()
+        ids = [*(tokenizer.inner[b] for b in word[:-1]), tokenizer.last[word[-1]]]
+        assert tokenizer.merge(word) == tokenizer._merge_long(ids)
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [i, i + 1] for i, w in enumerate(["tap", "taps", "top", "tops", "é", "", "stops"])}
     lexicon = bpe.Lexicon(bpe.compile_lexicon(words))
