@@ -16,7 +16,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,13 @@ from pyspark.sql import DataFrame, functions as F
 from formbook.llm.scan import slices
 
 LEXICON_WORDS = 100_000
-COUNTED = 200_000  # different words a task counts before it passes them on
-MEMO = 300_000  # different words a task remembers
+COUNTED = 200_000  # different chunks a task counts before it passes their words on
+MEMO = 200_000  # different chunks a task remembers
+MEMO_CHARS = 20_000_000  # and their characters in all
 LONG_WORD = 64  # bytes; longer words are merged with a heap
 
+_ODD_SPACE = re.compile("[\x1c-\x1f]").search  # space to ``str.split``, not to the tokenizer
+_UNSPACED = regex.compile(r"\S+").findall
 _LOWER_ALONE = "Σ"  # the only letter whose lower case depends on its neighbours
 
 
@@ -54,7 +57,9 @@ class Tokenizer:
             spec = json.load(f)
         model = spec["model"]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern).findall
+        self._find = regex.compile(pattern).findall
+        ascii_pattern = pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+        self._find_ascii = re.compile(ascii_pattern, re.ASCII).findall  # the same on ASCII text, and faster
         self.end = model["end_of_word_suffix"]
         vocab = model["vocab"]
         self.tokens = {i: t for t, i in vocab.items()}
@@ -70,34 +75,43 @@ class Tokenizer:
         self._assigned: set[str] = set()
         self._exact = None
 
-    def pieces(self, text: str) -> list[str]:
-        """Words of a text without special tokens, normalised."""
+    def chunks(self, text: str) -> list[str | bytes]:
+        """Runs without white space of a text without special tokens, normalised; no word reaches over white space."""
         if not text.isascii():
             fresh = set(text) - self._assigned
             if fresh:
                 # Libraries differ on code points that this Python's Unicode does not know.
                 if any(unicodedata.category(c) == "Cn" for c in fresh):
-                    return self._library_pieces(text)
+                    return self._library_words(text)
                 self._assigned |= fresh
             text = unicodedata.normalize("NFC", text)
             if _LOWER_ALONE in text:
-                return self.words("".join(c.lower() for c in text))
-        return self.words(text.lower())
-
-    def _library_pieces(self, text: str) -> list[str]:
-        """The same by the tokenizers library, whose Unicode tables decide on unknown code points."""
+                text = "".join(c.lower() for c in text)
+        text = text.lower()
+        return _UNSPACED(text) if _ODD_SPACE(text) else text.split()
+
+    def words(self, chunk: str | bytes) -> list[bytes]:
+        """Words of a chunk; bytes are a word already."""
+        if isinstance(chunk, bytes):
+            return [chunk]
+        if chunk.isascii():
+            return [w.encode() for w in self._find_ascii(chunk)]
+        return [w.encode() for w in self._find(chunk)]
+
+    def _library_words(self, text: str) -> list[bytes]:
+        """Words by the tokenizers library, whose Unicode tables decide on unknown code points."""
         if self._exact is None:
             import tokenizers
 
             self._exact = tokenizers.Tokenizer.from_file(self.path)
             self._back = {c: b for b, c in enumerate(BYTE_CHARS)}
         found = self._exact.pre_tokenizer.pre_tokenize_str(self._exact.normalizer.normalize_str(text))
-        return [bytes(self._back[c] for c in piece).decode() for piece, _ in found]
+        return [bytes(self._back[c] for c in piece) for piece, _ in found]
 
-    def parts(self, text: str) -> Iterable[tuple[str | None, list[str]]]:
-        """Special tokens (with no words) and the words between them, in order."""
+    def parts(self, text: str) -> Iterable[tuple[str | None, list[str | bytes]]]:
+        """Special tokens (with no chunks) and the chunks between them, in order."""
         for i, part in enumerate(self.cut(text)):
-            yield (part, []) if i % 2 else (None, self.pieces(part))
+            yield (part, []) if i % 2 else (None, self.chunks(part))
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word: the pair merged earliest in training goes first, leftmost first."""
@@ -137,6 +151,12 @@ class Tokenizer:
         return [x for x in ids if x >= 0]
 
 
+@lru_cache(maxsize=2)
+def tokenizer_of(path: str) -> Tokenizer:
+    """One per file and Python worker."""
+    return Tokenizer(path)
+
+
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     """Minimal acyclic transducer of ``words`` as one block of bytes."""
     states: list[tuple[bool, tuple]] = []  # final, ((label, state), ...)
@@ -217,15 +237,20 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
     """The ``most`` most frequent words of all texts, counted over the whole corpus."""
 
     def count(batches):
-        tokenizer, counter = Tokenizer(path), Counter()
+        tokenizer, counter = tokenizer_of(path), Counter()
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(counter)), pa.array(list(counter.values()))], ["word", "n"])
+            words = Counter()
+            for chunk, n in counter.items():
+                for word in tokenizer.words(chunk):
+                    words[word] += n
+            names = pa.array([w.decode() for w in words], pa.string())
+            return pa.RecordBatch.from_arrays([names, pa.array(words.values(), pa.int64())], ["word", "n"])
 
         for batch in slices(batches):
             for body in batch.column(0).to_pylist():
-                for _, words in tokenizer.parts(body or ""):
-                    counter.update(words)
+                for _, chunks in tokenizer.parts(body or ""):
+                    counter.update(chunks)
                 if len(counter) > COUNTED:
                     yield out()
                     counter.clear()
@@ -254,33 +279,45 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
     shared = docs.sparkSession.sparkContext.broadcast(lexicon(docs, path, text, most))  # ``most`` words
 
     def encode(batches):
-        tokenizer, words = Tokenizer(path), Lexicon(shared.value)
+        tokenizer, words = tokenizer_of(path), Lexicon(shared.value)
         tokens = tokenizer.tokens
-        ids_of: dict[str, list[int]] = {}  # words met so far
-        text_of: dict[str, str] = {}
+        ids_of: dict[str | bytes, bytes] = {}  # chunks met so far: ids as 32-bit integers
+        text_of: dict[str | bytes, str] = {}
+        word_ids: dict[bytes, list[int]] = {}
+        held = 0
+
+        def learn(chunk):
+            ids = []
+            for word in tokenizer.words(chunk):
+                if word not in word_ids:
+                    word_ids[word] = words.ids(word) or tokenizer.merge(word)
+                ids += word_ids[word]
+            ids_of[chunk] = array("i", ids).tobytes()
+            text_of[chunk] = " ".join([tokens[i] for i in ids])
+
         for batch in slices(batches):
-            flat, ends, texts = array("i"), [0], []
+            flat, ends, texts = [], [0], []
             for body in batch.column("_text").to_pylist():
-                decoded = []
-                for mark, pieces in tokenizer.parts(body or ""):
-                    if len(ids_of) > MEMO:
+                parts, decoded = [], []
+                for mark, chunks in tokenizer.parts(body or ""):
+                    if len(ids_of) > MEMO or held > MEMO_CHARS:
                         ids_of.clear()
                         text_of.clear()
-                    for piece in set(pieces):
-                        if piece in ids_of:
-                            continue
-                        data = piece.encode()
-                        ids_of[piece] = ids = words.ids(data) or tokenizer.merge(data)
-                        text_of[piece] = " ".join([tokens[i] for i in ids])
-                    flat.extend(chain.from_iterable(map(ids_of.__getitem__, pieces)))
-                    decoded.extend(map(text_of.__getitem__, pieces))
+                        word_ids.clear()
+                        held = 0
+                    for chunk in set(chunks).difference(ids_of):
+                        learn(chunk)
+                        held += len(chunk)
+                    parts.extend(map(ids_of.__getitem__, chunks))
+                    decoded.extend(map(text_of.__getitem__, chunks))
                     if mark:
-                        flat.append(tokenizer.special[mark])
+                        parts.append(array("i", [tokenizer.special[mark]]).tobytes())
                         decoded.append(mark)
-                ends.append(len(flat))
+                flat.append(b"".join(parts))
+                ends.append(ends[-1] + len(flat[-1]) // 4)
                 texts.append(" ".join(decoded))
             ends = np.array(ends, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(flat, np.int32)))
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(flat), np.int32)))
             n = pa.array(np.diff(ends).astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("_row"), n, ids, pa.array(texts, pa.string())], ["_row", *added])
 
