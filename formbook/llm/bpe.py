@@ -20,16 +20,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from formbook.llm.scan import slices
+from formbook.llm.scan import as_bytes, groups_of, slices
 
 LEXICON_WORDS = 100_000
 COUNTED = 200_000  # different chunks a task counts before it passes their words on
 MEMO = 200_000  # different chunks a task remembers
 MEMO_CHARS = 20_000_000  # and their characters in all
 LONG_WORD = 64  # bytes; longer words are merged with a heap
+BLOCK = 4096  # words merged side by side
+NO_ID = (1 << 31) - 1
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]").search  # space to ``str.split``, not to the tokenizer
 _UNSPACED = regex.compile(r"\S+").findall
@@ -72,6 +75,8 @@ class Tokenizer:
         for a, b in model["merges"]:
             self.ranks.setdefault(vocab[a] << 32 | vocab[b], len(self.merged))
             self.merged.append(vocab[a + b])
+        self._pairs = np.array(sorted(self.ranks), np.int64)
+        self._pair_ranks = np.array([self.ranks[p] for p in self._pairs.tolist()], np.int64)
         self._assigned: set[str] = set()
         self._exact = None
 
@@ -130,6 +135,52 @@ class Tokenizer:
                 ranks[i] = rank(ids[i] << 32 | ids[i + 1], none)
         return ids
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; the number of merges where a pair has none."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self._pairs, pair), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == pair, self._pair_ranks[at], len(self.merged))
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` for many words: each round merges one pair in every word of a block."""
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        while order and len(words[order[-1]]) > LONG_WORD:
+            k = order.pop()
+            out[k] = self.merge(words[k])
+        for lo in range(0, len(order), BLOCK):
+            self._merge_block(words, order[lo : lo + BLOCK], out)
+        return out
+
+    def _merge_block(self, words: list[bytes], block: list[int], out: list[list[int]]) -> None:
+        width = len(words[block[-1]])
+        data = np.frombuffer(b"".join([words[k].ljust(width, b"\0") for k in block]), np.uint8).reshape(-1, width)
+        size, col = np.array([len(words[k]) for k in block]), np.arange(width)
+        ids = np.where(col < size[:, None] - 1, np.array(self.inner)[data], np.array(self.last)[data])
+        ids[col >= size[:, None]] = NO_ID
+        ranks, which, merged = self._rank(ids[:, :-1], ids[:, 1:]), np.array(block), np.array(self.merged)
+        while len(which):
+            row = np.arange(len(which))
+            if ids.shape[1] > 1:
+                best = ranks.argmin(1)  # the leftmost of equals
+                rank = ranks[row, best]
+                more = rank < len(merged)
+            else:
+                more = np.zeros(len(which), bool)
+            done = ids[~more]
+            for k, found, n in zip(which[~more].tolist(), done.tolist(), (done != NO_ID).sum(1).tolist()):
+                out[k] = found[:n]
+            if not more.any():
+                return
+            ids, ranks, which, best, rank = ids[more], ranks[more], which[more], best[more], rank[more]
+            row, col, at = np.arange(len(which)), col[:-1], best[:, None]
+            ids[row, best] = merged[rank]
+            ids = np.take_along_axis(ids, col + (col > at), 1)
+            ranks = np.take_along_axis(ranks, col[:-1] + (col[:-1] >= at), 1)
+            for there, left in ((best > 0, best - 1), (best < len(col) - 1, best)):
+                r, c = row[there], left[there]
+                ranks[r, c] = self._rank(ids[r, c], ids[r, c + 1])
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs, for words of any length."""
         n, rank = len(ids), self.ranks.get
@@ -184,23 +235,22 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     close(0, previous)
     states.append((open_[0][0], tuple(open_[0][1])))
     count = [0] * len(states)  # words that end in or below a state; targets come before
-    first, labels, targets, passed = array("i", [0]), bytearray(), array("i"), array("i")
+    edges_of, targets, passed = array("q"), array("i"), array("i")  # by state and label
     for i, (final, edges) in enumerate(states):
         count[i] = int(final)
         for label, target in edges:
-            labels.append(label)
+            edges_of.append(i << 8 | label)
             targets.append(target)
             passed.append(count[i])
             count[i] += count[target]
-        first.append(len(targets))
     finals = bytes(final for final, _ in states)
     starts = array("i", [0])
     ids = array("i")
     for word in order:
         ids.extend(words[word])
         starts.append(len(ids))
-    blocks = [first.tobytes(), targets.tobytes(), passed.tobytes(), starts.tobytes(), ids.tobytes(), bytes(labels), finals]
-    return struct.pack("<7q", *map(len, blocks)) + b"".join(blocks)
+    blocks = [edges_of.tobytes(), targets.tobytes(), passed.tobytes(), starts.tobytes(), ids.tobytes(), finals]
+    return struct.pack("<6q", *map(len, blocks)) + b"".join(blocks)
 
 
 class Lexicon:
@@ -211,26 +261,34 @@ class Lexicon:
             f.write(data)
             f.flush()
             self._map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        view, at, blocks = memoryview(self._map), 56, []
-        for i, n in enumerate(struct.unpack("<7q", self._map[:56])):
-            blocks.append(view[at : at + n].cast("i") if i < 5 else view[at : at + n])
+        at, blocks, kinds = 48, [], (np.int64, np.int32, np.int32, np.int32, np.int32, np.bool_)
+        for kind, n in zip(kinds, struct.unpack("<6q", self._map[:48])):
+            blocks.append(np.frombuffer(self._map, kind, n // np.dtype(kind).itemsize, at))
             at += n
-        self._first, self._targets, self._passed, self._starts, self._ids, _, self._finals = blocks
-        self._find = self._map.find
-        self._labels_at = 56 + sum(4 * len(b) for b in blocks[:5])
-
-    def ids(self, word: bytes) -> list[int] | None:
-        """Token ids of a word; None if it is not in the lexicon."""
-        state, index, base = len(self._finals) - 1, 0, self._labels_at
-        for i in range(len(word)):
-            edge = self._find(word[i : i + 1], base + self._first[state], base + self._first[state + 1])
-            if edge < 0:
-                return None
-            index += self._passed[edge - base]
-            state = self._targets[edge - base]
-        if not self._finals[state]:
-            return None
-        return self._ids[self._starts[index] : self._starts[index + 1]].tolist()
+        self._edges, self._targets, self._passed, self._starts, self._ids, self._finals = blocks
+
+    def ids(self, words: list[bytes]) -> list[list[int] | None]:
+        """Token ids of each word; None if it is not in the lexicon. All words walk the automaton together."""
+        data, size = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words], np.int64)
+        at = np.cumsum(size) - size
+        state, index = np.full(len(words), len(self._finals) - 1), np.zeros(len(words), np.int64)
+        on, i = np.flatnonzero(size), 0
+        while len(on) and len(self._edges):
+            key = state[on] << 8 | data[at[on] + i]
+            edge = np.minimum(np.searchsorted(self._edges, key), len(self._edges) - 1)
+            there = self._edges[edge] == key
+            state[on[~there]] = -1
+            on, edge = on[there], edge[there]
+            index[on] += self._passed[edge]
+            state[on] = self._targets[edge]
+            i += 1
+            on = on[size[on] > i]
+        state[on] = -1  # words with letters, and a lexicon without
+        out: list[list[int] | None] = [None] * len(words)
+        found = np.flatnonzero((state >= 0) & self._finals[state])
+        for k, lo, hi in zip(found.tolist(), self._starts[index[found]].tolist(), self._starts[index[found] + 1].tolist()):
+            out[k] = self._ids[lo:hi].tolist()
+        return out
 
 
 def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
@@ -263,9 +321,17 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
 
 
 def lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> bytes:
-    tokenizer = Tokenizer(path)
+    tokenizer = tokenizer_of(path)
     words = [w.encode() for w in frequent_words(docs, path, text, most)]
-    return compile_lexicon({w: tokenizer.merge(w) for w in words})
+    return compile_lexicon(dict(zip(words, tokenizer.merge_all(words))))
+
+
+def short_batches(batches) -> Iterable[pa.RecordBatch]:
+    """The batches in slices of about a megabyte of ``_text``; a longer text comes alone."""
+    for batch in batches:
+        sizes = as_bytes(batch.column("_text"))
+        for lo, hi in groups_of(pc.binary_length(sizes).to_numpy(zero_copy_only=False)):
+            yield batch.slice(lo, hi - lo)
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
@@ -286,34 +352,38 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
         word_ids: dict[bytes, list[int]] = {}
         held = 0
 
-        def learn(chunk):
-            ids = []
-            for word in tokenizer.words(chunk):
-                if word not in word_ids:
-                    word_ids[word] = words.ids(word) or tokenizer.merge(word)
-                ids += word_ids[word]
-            ids_of[chunk] = array("i", ids).tobytes()
-            text_of[chunk] = " ".join([tokens[i] for i in ids])
-
-        for batch in slices(batches):
+        def learn(chunks):
+            found = {c: tokenizer.words(c) for c in chunks}
+            fresh = list({w for ws in found.values() for w in ws}.difference(word_ids))
+            known = words.ids(fresh)
+            rest = [w for w, ids in zip(fresh, known) if ids is None]
+            word_ids.update(zip(fresh, known))
+            word_ids.update(zip(rest, tokenizer.merge_all(rest)))
+            for chunk, ws in found.items():
+                ids = word_ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in word_ids[w]]
+                ids_of[chunk] = array("i", ids).tobytes()
+                text_of[chunk] = " ".join([tokens[i] for i in ids])
+
+        for batch in short_batches(batches):
+            split = [list(tokenizer.parts(body or "")) for body in batch.column("_text").to_pylist()]
+            if len(ids_of) > MEMO or held > MEMO_CHARS:
+                ids_of.clear()
+                text_of.clear()
+                word_ids.clear()
+                held = 0
+            fresh = {c for parts in split for _, chunks in parts for c in chunks}.difference(ids_of)
+            learn(fresh)
+            held += sum(map(len, fresh))
             flat, ends, texts = [], [0], []
-            for body in batch.column("_text").to_pylist():
-                parts, decoded = [], []
-                for mark, chunks in tokenizer.parts(body or ""):
-                    if len(ids_of) > MEMO or held > MEMO_CHARS:
-                        ids_of.clear()
-                        text_of.clear()
-                        word_ids.clear()
-                        held = 0
-                    for chunk in set(chunks).difference(ids_of):
-                        learn(chunk)
-                        held += len(chunk)
-                    parts.extend(map(ids_of.__getitem__, chunks))
+            for parts in split:
+                ids, decoded = [], []
+                for mark, chunks in parts:
+                    ids.extend(map(ids_of.__getitem__, chunks))
                     decoded.extend(map(text_of.__getitem__, chunks))
                     if mark:
-                        parts.append(array("i", [tokenizer.special[mark]]).tobytes())
+                        ids.append(array("i", [tokenizer.special[mark]]).tobytes())
                         decoded.append(mark)
-                flat.append(b"".join(parts))
+                flat.append(b"".join(ids))
                 ends.append(ends[-1] + len(flat[-1]) // 4)
                 texts.append(" ".join(decoded))
             ends = np.array(ends, np.int32)

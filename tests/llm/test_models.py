@@ -163,8 +163,10 @@ def test_bpe_equals_library(docs, most):
 
 def test_both_ways_to_merge_agree():
     tokenizer, rng = bpe.Tokenizer(tokenizer_file()), random.Random(6)
-    for _ in range(500):
-        word = "".join(rng.choice("aeinrstthé") for _ in range(rng.randint(1, 60))).encode()
+    words = ["".join(rng.choice("aeinrstthé") for _ in range(rng.randint(1, 60))).encode() for _ in range(500)]
+    words.append(b"the" * 100)
+    assert tokenizer.merge_all(words) == [tokenizer.merge(w) for w in words]
+    for word in words:
         ids = [*(tokenizer.inner[b] for b in word[:-1]), tokenizer.last[word[-1]]]
         assert tokenizer.merge(word) == tokenizer._merge_long(ids)
 
@@ -172,6 +174,7 @@ def test_both_ways_to_merge_agree():
 def test_lexicon_is_minimal_and_exact():
     words = {w.encode(): [i, i + 1] for i, w in enumerate(["tap", "taps", "top", "tops", "é", "", "stops"])}
     lexicon = bpe.Lexicon(bpe.compile_lexicon(words))
-    assert all(lexicon.ids(w) == ids for w, ids in words.items())
-    assert [lexicon.ids(w) for w in (b"ta", b"tapss", b"s", b"x", "éé".encode())] == [None] * 5
+    assert lexicon.ids(list(words)) == list(words.values())
+    assert lexicon.ids([b"ta", b"tapss", b"s", b"x", "éé".encode()]) == [None] * 5
+    assert bpe.Lexicon(bpe.compile_lexicon({})).ids([b"", b"a"]) == [None, None]
     assert len(lexicon._finals) == 10  # a trie would have 15
