@@ -52,13 +52,13 @@ def matchweek_window(matches: DataFrame) -> DataFrame:
 def keyword_feed(
     articles: DataFrame, phrases: list[str], language: str, n: int = 10
 ) -> DataFrame:
-    """Newest ``n`` articles in a language that contain any of the phrases."""
+    """Newest ``n`` articles in a language that contain any of the phrases; equal times go by the other columns."""
     text = F.lower("text")
     found = F.lit(False)
     for phrase in phrases:
         found = found | F.contains(text, F.lit(phrase.lower()))
     return (
         articles.filter((F.col("lang") == language) & found)
-        .orderBy(F.col("published").desc())
+        .orderBy(F.col("published").desc(), *[c for c in articles.columns if c != "published"])
         .limit(n)
     )

@@ -5,6 +5,7 @@ from conftest import START, match
 from pyspark.sql import functions as F
 
 from formbook.functions.season import in_season, season_of, season_start
+from formbook.operators import fixtures
 from formbook.operators import leaderboard as lb
 from formbook.operators import metrics as mt
 from formbook.operators import quality as ql
@@ -244,3 +245,11 @@ def test_broken_and_pretty_documents(spark, tmp_path):
     (tmp_path / "broken.json").write_text('{"matches": [{"id": ')
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         landed.read_landed_matches(spark, str(tmp_path), multi_line=True).collect()
+
+
+def test_keyword_feed_breaks_ties(spark):
+    rows = [("en", "Goal late", 5, c) for c in "dbac"] + [("en", "goal", 6, "z"), ("de", "goal", 9, "y"), ("en", "none", 9, "x")]
+    articles = spark.createDataFrame(rows, "lang string, text string, published int, source string")
+    for parts in (1, 5):
+        feed = fixtures.keyword_feed(articles.repartition(parts), ["GOAL"], "en", n=3).collect()
+        assert [r.source for r in feed] == ["z", "a", "b"]
