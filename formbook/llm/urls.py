@@ -3,6 +3,7 @@
 DataFrame functions and Spark's FP-growth only.
 """
 
+import math
 import string
 from dataclasses import dataclass
 
@@ -14,7 +15,6 @@ from formbook.llm.common import staged
 BAD = "label=bad"
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 12  # tokens of one url that take part in mining
 
 
 @dataclass(frozen=True)
@@ -73,39 +73,54 @@ def mined_rules(
 ) -> DataFrame:
     """``rule_id, items, confidence, support``: token combinations that imply a bad label.
 
-    ``labelled`` has ``tokens`` and a boolean ``bad``. Only tokens in ``min_support`` of the rows take
-    part, the ``MAX_TOKENS`` rarest of them per url. A rule that contains another one is left out.
+    ``labelled`` has ``tokens`` and a boolean ``bad``. A rule that contains another one is left out. All tokens of a
+    url take part, whatever their number, except where they cannot change the rules: a rule's tokens are each frequent among bad urls, a token
+    that is a rule by itself is in no other one, and of tokens in exactly the same urls a rule holds one, so that
+    one stands for all while mining and each has its rules afterwards.
     """
     empty = labelled.sparkSession.createDataFrame([], "rule_id long, items array<string>, confidence double, support double")
     labelled = staged(labelled.filter(F.col("bad").isNotNull()).select("tokens", "bad"), "labelled")
     total = labelled.count()
     if not total:
         return empty
-    frequent = labelled.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    frequent = frequent.filter(F.col("count") >= min_support * total)
-    exploded = labelled.withColumn("row", F.monotonically_increasing_id())
-    exploded = staged(exploded, "baskets")
-    found = exploded.select("row", F.explode("tokens").alias("token")).join(frequent, "token")
-    rarest = F.slice(F.sort_array(F.collect_list(F.struct("count", "token"))), 1, MAX_TOKENS)
-    items = found.groupBy("row").agg(rarest["token"].alias("items"))
-    baskets = exploded.filter("bad").select("row", F.array(F.lit(BAD)).alias("mark"))
-    marked = items.join(baskets, "row", "left").select(
-        F.when(F.col("mark").isNotNull(), F.concat("items", "mark")).otherwise(F.col("items")).alias("items")
-    )
+    # Support is a share of all labelled urls, those without a frequent token included.
+    least = max(1, math.ceil(min_support * total - 1e-9))
+    rows = staged(labelled.withColumn("row", F.monotonically_increasing_id()), "baskets")
+    posting = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    marks = [F.sum(F.xxhash64("row", F.lit(i)).cast("decimal(20,0)")).alias(f"mark{i}") for i in (1, 2)]
+    counts = posting.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("hits"), *marks)
+    counts = counts.filter(F.col("hits") >= least).withColumn("confidence", F.col("hits") / F.col("n"))
+    counts = staged(counts, "tokens")
+    single = counts.filter(F.col("confidence") >= min_confidence)
+    single = single.select(F.array("token").alias("items"), "confidence", (F.col("hits") / total).alias("support"))
+    single = single.withColumn("rule_id", F.xxhash64("items")).select("rule_id", "items", "confidence", "support")
+    alike = counts.filter(F.col("confidence") < min_confidence).groupBy("n", "hits", "mark1", "mark2")
+    alike = staged(alike.agg(F.min("token").alias("token"), F.collect_list("token").alias("tokens")), "alike")
+    items = posting.join(alike.select("token"), "token").groupBy("row", "bad").agg(F.collect_list("token").alias("items"))
+    marked = items.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
+    marked = staged(marked, "marked")
     held = marked.count()
     if not held:
-        return empty
-    # Support is a share of all labelled urls, those without a frequent token included.
-    share = min_support * total / held
-    model = FPGrowth(itemsCol="items", minSupport=min(share, 1.0), minConfidence=min_confidence).fit(marked)
+        return single
+    # Half a url below the count, as the share is rounded up to one.
+    share = min((least - 0.5) / held, 1.0)
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(marked)
     rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
-    rules = rules.select(F.sort_array("antecedent").alias("items"), "confidence", "support")
+    rules = rules.select(F.sort_array("antecedent").alias("items"), "confidence", (F.col("support") * held / total).alias("support"))
     rules = staged(rules.withColumn("rule_id", F.xxhash64("items")), "rules")
     # Subset test through a shared token: the narrower rule adds nothing.
     by_token = rules.select(F.explode("items").alias("token"), F.col("rule_id").alias("part"), F.size("items").alias("n"))
     wide = rules.select("rule_id", F.size("items").alias("size"), F.explode("items").alias("token"))
     inner = wide.join(by_token, "token").filter("n < size").groupBy("rule_id", "part", "n").count().filter("count = n")
-    return rules.join(inner.select("rule_id").distinct(), "rule_id", "left_anti").select("rule_id", "items", "confidence", "support")
+    rules = rules.join(inner.select("rule_id").distinct(), "rule_id", "left_anti")
+    # Every choice of one token from those each item stands for.
+    options = rules.select("rule_id", "confidence", "support", F.explode("items").alias("token")).join(alike.select("token", "tokens"), "token")
+    options = options.groupBy("rule_id", "confidence", "support").agg(F.collect_list("tokens").alias("options"))
+    longer = lambda chosen, tokens: F.flatten(F.transform(chosen, lambda c: F.transform(tokens, lambda t: F.concat(c, F.array(t)))))
+    none = F.array(F.array().cast("array<string>"))
+    spread = options.select("confidence", "support", F.explode(F.aggregate("options", none, longer)).alias("items"))
+    spread = spread.withColumn("items", F.sort_array("items")).withColumn("rule_id", F.xxhash64("items"))
+    return single.unionByName(spread)
 
 
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -130,3 +130,24 @@ def test_mined_rules_against_brute_force(spark):
     got = {r.page_id: r.verdict for r in urls.judge(frame, labels, min_support=0.02, rules=()).collect()}
     assert got == {i: "block" if any(r <= sets[i] for r in rules) else "allow" for i in sets}
     assert "block" in got.values() and "allow" in got.values()
+
+
+def test_mining_uses_all_tokens_of_deep_urls(spark):
+    """The rule holds the commonest of some twenty frequent tokens and is seen in deep urls only."""
+    rows = []
+    for i in range(240):
+        a, b, deep = i % 4 < 3, i % 3 < 2, i % 5 < 2
+        path = ["a" if a else "n", "b" if b else "m"] + [f"t{j}" for j in range(16)] * deep + [f"r{i % 8}", f"s{i % 7}"]
+        rows.append((i, "http://h/" + "/".join(path), a and b and deep))
+    rows += [(1000, "http://h/a/b/x/x/x/t3", None), (1001, "http://h/a/m/x/x/x/t3", None), (1002, "http://h/a/b", None)]
+    frame = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "page_id long, bad boolean")
+    got = {r.page_id for r in urls.judge(frame, labels, min_support=0.05, rules=()).filter("verdict = 'block'").collect()}
+    assert got == {i for i, _, bad in rows if bad} | {1000}
+
+
+def test_tokens_of_the_same_urls_each_have_their_rules(spark):
+    rows = [(["x", "y", "y2", "u"], True)] * 10 + [(["x", "u"], False)] * 10 + [(["y", "y2", "v"], False)] * 10 + [(["v"], False)] * 10
+    frame = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    got = {tuple(r["items"]): (r.confidence, r.support) for r in urls.mined_rules(frame, 0.1, 0.8).collect()}
+    assert got == {tuple(sorted((a, b))): (1.0, 0.25) for a in "xu" for b in ("y", "y2")}
