@@ -2,6 +2,8 @@
 
 A document is toxic if any of its sentences is: sentence probabilities are combined by noisy-or and
 fitted to document labels alone. Sentences are then scored by themselves, which locates the offending ones.
+A sentence counts by what its features add to an empty one, so that length alone adds nothing; what is toxic
+without any feature is one leak term per document.
 """
 
 import re
@@ -22,6 +24,7 @@ THRESHOLD = 0.7
 RATE, PENALTY = 0.3, 0.05
 LEAST_Z = 3.5  # standard errors by which a feature must be commoner in toxic documents
 START = 0.5  # of a feature's log odds, where its weight starts
+BIAS = -4.0  # logit of a sentence before its features are added; what it has there does not count
 
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -38,16 +41,17 @@ def features(word: str) -> list[str]:
 
 @dataclass(frozen=True)
 class NoisyOr:
-    """Weights of features, and the bias of a sentence."""
+    """Weights of features, and the leak of a document (a logit)."""
 
     weights: dict[str, float]
-    bias: float
+    leak: float
 
-    def _sentence_logits(self, text: str, memo: dict[str, tuple]) -> list[tuple[str, float]]:
-        out = []
+    def _sentence_hazards(self, text: str, memo: dict[str, tuple]) -> list[tuple[str, float]]:
+        """Sentences and minus the log of their chance to be clean; 0 without features."""
+        out, z = [], []
         for s in sentences(text):
             seen: set[str] = set()
-            z = self.bias
+            total = BIAS
             for w in _WORD.findall(s.lower()):
                 known = memo.get(w)
                 if known is None:
@@ -58,40 +62,46 @@ class NoisyOr:
                 for f in known:
                     if f not in seen:
                         seen.add(f)
-                        z += self.weights[f]
-            out.append((s, z))
-        return out
+                        total += self.weights[f]
+            out.append(s)
+            z.append(total)
+        return list(zip(out, hazard(np.array(z, np.float64))))
 
     def score(self, text: str, memo: dict[str, tuple]) -> float:
-        """Noisy-or over the sentences; no sentence scores as one without features."""
-        z = np.array([z for _, z in self._sentence_logits(text, memo)] or [self.bias])
-        return float(-np.expm1(-np.logaddexp(0, z).sum()))
+        """Noisy-or over the leak and the sentences."""
+        total = np.logaddexp(0, self.leak) + np.sum([h for _, h in self._sentence_hazards(text, memo)])
+        return float(-np.expm1(-total))
 
     def offending(self, text: str, memo: dict[str, tuple], least: float) -> list[str]:
-        edge = np.log(least / (1 - least))
-        return [s for s, z in self._sentence_logits(text, memo) if z >= edge]
+        edge = -np.log1p(-least)
+        return [s for s, h in self._sentence_hazards(text, memo) if h >= edge]
+
+
+def hazard(z: np.ndarray) -> np.ndarray:
+    return np.maximum(np.logaddexp(0, z) - np.logaddexp(0, BIAS), 0)
 
 
 def _fit(rows: list[tuple[int, list[list[int]]]], names: list[str], start: np.ndarray) -> NoisyOr:
-    """Adam on the noisy-or likelihood, from ``start``. ``rows`` has a label and the feature numbers of each sentence."""
+    """Adam on the noisy-or likelihood, from ``start``. ``rows`` has a label and the feature numbers of each sentence that has any."""
     y = np.array([r[0] for r in rows], np.float64)
-    doc = np.repeat(np.arange(len(rows)), [max(1, len(r[1])) for r in rows])
-    cells = [s for r in rows for s in (r[1] or [[]])]
+    doc = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+    cells = [s for r in rows for s in r[1]]
     row = np.repeat(np.arange(len(cells)), list(map(len, cells)))
     column = np.array([f for s in cells for f in s], np.int64)
-    w, bias = start.copy(), -4.0
+    w, leak = start.copy(), -4.0
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for t in range(1, ROUNDS + 1):
-        z = bias + np.bincount(row, w[column], len(cells))
-        p = 1 / (1 + np.exp(-z))
-        clean = np.exp(-np.bincount(doc, np.logaddexp(0, z), len(rows)))
+        z = BIAS + np.bincount(row, w[column], len(cells))
+        p, leaking = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-leak))
+        clean = np.exp(-np.logaddexp(0, leak) - np.bincount(doc, hazard(z), len(rows)))
         toxic = np.maximum(1 - clean, 1e-9)
-        g = np.where(y[doc] > 0, -(clean / toxic)[doc] * p, p) / len(rows)
-        grad = np.append(np.bincount(column, g[row], len(names)) + PENALTY * w / len(rows), g.sum())
+        pull = np.where(y > 0, -clean / toxic, 1.0) / len(rows)
+        g = pull[doc] * p * (z > BIAS)
+        grad = np.append(np.bincount(column, g[row], len(names)) + PENALTY * w / len(rows), pull.sum() * leaking)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-        w, bias = w - step[:-1], bias - step[-1]
-    return NoisyOr({n: float(x) for n, x in zip(names, w) if abs(x) > 1e-3}, float(bias))
+        w, leak = w - step[:-1], leak - step[-1]
+    return NoisyOr({n: float(x) for n, x in zip(names, w) if abs(x) > 1e-3}, float(leak))
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_docs: int = TRAIN_DOCS) -> NoisyOr:
@@ -135,8 +145,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_doc
                     sorted({index[f] for w in set(_WORD.findall(s.lower())) for f in features(w) if f in index})
                     for s in sentences(body)
                 ]
-                # Sentences without features differ in nothing; their number is kept.
-                out.append(found)
+                # Sentences without features add nothing.
+                out.append([s for s in found if s])
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.list_(pa.list_(pa.int64())))], ["y", "cells"])
 
     held = rows.mapInArrow(sparse, "y int, cells array<array<long>>").collect()  # train_docs rows at most
@@ -145,7 +155,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_doc
 
 
 def scored(docs: DataFrame, model: NoisyOr, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``, 0 to 1. Null and empty texts have the score of an empty sentence.
+    """``docs`` with ``score``, 0 to 1. Null and empty texts have the score of the leak alone.
 
     A column named ``score`` is replaced.
     """

@@ -97,6 +97,20 @@ def test_toxicity_locates_sentences(spark):
     assert [r.score < 0.1 for r in toxicity.scored(odd, toxicity.fit(frame.limit(0))).collect()] == [True] * 3
 
 
+def test_toxicity_of_long_clean_texts(spark):
+    """Length alone is no sign of toxicity, though some toxic labels have no feature to explain them."""
+    rows = []
+    for i in range(400):
+        body = "The river runs by the stone. " * (i % 7 + 1) + "You vile gribnok there. " * (i % 4 == 0)
+        rows.append((i, body, int(i % 4 == 0 or i % 50 == 1)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    plain = "The river runs by the stone. "
+    short, long = (model.score(plain * n, {}) for n in (1, 100_000))
+    assert short == long == model.score("", {}) < 0.1
+    assert model.score(plain * 100_000 + "You vile gribnok there.", {}) > 0.9
+    assert model.offending(plain * 3 + "You vile gribnok there.", {}, 0.5) == ["You vile gribnok there"]
+
+
 def test_ann_recall(spark):
     folder = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
