@@ -6,11 +6,14 @@ the counts of a source over the shards are one multinomial draw. Draws map to bl
 pseudorandom permutations of the source's block numbers, one per pass, and meet their blocks by number.
 """
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from formbook.llm.common import staged, word_count
+from formbook.llm.common import WORD, staged, word_count
+from formbook.llm.scan import slices
 
 BLOCK_WORDS = 128
 SHARD_BLOCKS = 4096
@@ -135,6 +138,28 @@ def _streams(docs: DataFrame, key: list[str], order: Column) -> DataFrame:
     return docs.join(offsets, same, "left").withColumn("start", F.col("offset") + F.col("inside")).drop("_source", "_chunk", "chunk", "offset", "inside")
 
 
+def _placed(
+    docs: DataFrame, id: str, text: str, source: str, weights: tuple[int, ...], block_words: int, most: int, kept: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Every document at its place in its source's stream, with its ``text`` if ``kept``; and the plan of the sources."""
+    columns = [
+        F.col(id).alias("id"),
+        F.xxhash64(text).alias("hash"),
+        F.col(source).cast("string").alias("source"),
+        word_count(F.col(text).cast("string")).alias("size"),
+    ]
+    frame = staged(docs.select(*columns, *([F.col(text).cast("string").alias("text")] if kept else [])), "sizes")
+    sizes = frame.groupBy("source").agg(F.sum("size").alias("size"))
+    plan = staged(_plan(source_targets(sizes, weights, most), block_words, most), "plan")
+    # The plan has one row per source; Spark checks its size before broadcasting it.
+    per_source = plan.select(
+        F.col("source").alias("_source"), F.col("size").alias("source_size"), "target", "rank", "length", "passes"
+    )
+    placed = _streams(frame, ["id", "hash"], F.xxhash64("id", "hash"))
+    placed = placed.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return staged(placed, "streams"), plan
+
+
 def mix(
     docs: DataFrame,
     id: str = "doc_id",
@@ -147,47 +172,75 @@ def mix(
 ) -> DataFrame:
     """One row per document: ``id, hash, source, size, source_size, target, passes, taken, parts``.
 
-    Size is the number of words, ``taken`` how many of them the mix takes, repeats counted: ``passes`` times all, and
+    Size is the number of words, ``taken`` how many of them the drawn blocks hold, repeats counted: ``passes`` times all, and
     once more those in ``parts`` (word ranges ``a, b``). ``hash`` is the text's xxhash64. A source's blocks have ``block_words`` words,
     fewer if it has below 64 such blocks; its taken words are within one block of its target. Null texts
     have no words; null ids and null sources are treated as values; equal rows each have a place of their own.
     """
-    frame = docs.select(
-        F.col(id).alias("id"),
-        F.xxhash64(text).alias("hash"),
-        F.col(source).cast("string").alias("source"),
-        word_count(F.col(text).cast("string")).alias("size"),
-    )
-    frame = staged(frame, "sizes")
-    sizes = frame.groupBy("source").agg(F.sum("size").alias("size"))
-    plan = staged(_plan(source_targets(sizes, weights, most), block_words, most), "plan")
-    # The plan has one row per source; Spark checks its size before broadcasting it.
-    per_source = plan.select(
-        F.col("source").alias("_source"), F.col("size").alias("source_size"), "target", "rank", "length", "passes"
-    )
-    placed = _streams(frame, ["id", "hash"], F.xxhash64("id", "hash"))
-    placed = placed.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    placed = staged(placed, "streams")
-
+    placed, plan = _placed(docs, id, text, source, weights, block_words, most)
     # A block's number of draws beyond the whole passes is 0 or 1.
     used = draws(plan, seed=seed).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
     touched = F.expr("sequence(start div length, (start + size - 1) div length)")
-    held = placed.filter("size > 0").select("*", F.explode(touched).alias("block"))
-    extra = used.join(plan.select("rank", F.col("passes").alias("_passes")), "rank").filter("times > _passes")
-    held = held.join(extra.select("rank", "block"), ["rank", "block"])
+    held = placed.filter("size > 0").select("rank", "start", "size", "length", "passes", F.explode(touched).alias("block"))
+    held = held.join(used, ["rank", "block"])
     a = F.greatest(F.col("block") * F.col("length") - F.col("start"), F.lit(0))
     b = F.least((F.col("block") + 1) * F.col("length") - F.col("start"), F.col("size"))
-    parts = held.groupBy("rank", "start").agg(F.sort_array(F.collect_list(F.struct(a.alias("a"), b.alias("b")))).alias("parts"))
-    parts = parts.withColumnRenamed("rank", "_rank").withColumnRenamed("start", "_start")
+    again = F.when(F.col("times") > F.col("passes"), F.struct(a.alias("a"), b.alias("b")))
+    drawn = held.groupBy(F.col("rank").alias("_rank"), F.col("start").alias("_start")).agg(
+        F.sum(F.col("times") * (b - a)).alias("taken"), F.sort_array(F.collect_list(again)).alias("parts")
+    )
     mine = (F.col("rank") == F.col("_rank")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0)
     none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    joined = placed.join(parts, mine, "left").withColumn("parts", F.coalesce("parts", none))
-    again = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + p["b"] - p["a"])
-    return joined.withColumn("taken", F.col("passes") * F.col("size") + again).select(
+    joined = placed.join(drawn, mine, "left").withColumn("parts", F.coalesce("parts", none))
+    return joined.withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).select(
         "id", "hash", "source", "size", "source_size", "target", "passes", "taken", "parts"
     )
 
 
+def shards(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = (1, 2, 3),
+    block_words: int = BLOCK_WORDS,
+    most: int = MOST_PASSES,
+    shard_blocks: int = SHARD_BLOCKS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix as packed blocks: ``shard, slot, source, pass, block, n_words, text``, one row per draw.
+
+    Shards have ``shard_blocks`` blocks on average, slots count from 0 in random order. ``block`` is the number of a block in
+    its source's stream, ``text`` its words joined by a space, over the ends of documents. The words of a document in all
+    rows together are those ``mix`` takes.
+    """
+    placed, plan = _placed(docs, id, text, source, weights, block_words, most, kept=True)
+    word = re.compile(WORD)
+
+    def cut(batches):
+        for batch in slices(batches):
+            out = ([], [], [], [], [])
+            for body, rank, length, start in zip(*(c.to_pylist() for c in batch.columns)):
+                words = word.findall(body)
+                for block in range(start // length, (start + len(words) - 1) // length + 1):
+                    some = words[max(0, block * length - start) : (block + 1) * length - start]
+                    for column, value in zip(out, (rank, block, start, len(some), " ".join(some))):
+                        column.append(value)
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, out, kinds)), ["rank", "block", "start", "n", "piece"])
+
+    pieces = placed.filter("size > 0").select("text", "rank", "length", "start")
+    pieces = pieces.mapInArrow(cut, "rank int, block long, start long, n long, piece string")
+    packed = pieces.groupBy("rank", "block").agg(
+        F.sum("n").alias("n_words"),
+        F.array_join(F.sort_array(F.collect_list(F.struct("start", "piece")))["piece"], " ").alias("text"),
+    )
+    place = Window.partitionBy("shard").orderBy("slot", "rank", "pass", "block")
+    dealt = draws(plan, shard_blocks, seed).withColumn("slot", F.row_number().over(place) - 1)
+    made = dealt.join(packed, ["rank", "block"]).join(plan.select("rank", "source"), "rank")
+    return made.select("shard", "slot", "source", "pass", "block", "n_words", "text")
+
+
 def mixed_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix as documents: a row per whole pass, and one with the words of the further draws joined by a space.
 

@@ -61,6 +61,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_mixing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.shards(docs).select("shard", "slot", "source", "pass", "block", "n_words", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_suffix_array": op5_suffix_array,
     "op6_mixing": op6_mixing,
+    "op6_mixing_shards": op6_mixing_shards,
     "op7_toxicity": op7_toxicity,
     "op8_ann": op8_ann,
     "op9_bpe": op9_bpe,

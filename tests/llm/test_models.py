@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -59,6 +60,34 @@ def test_mix_meets_targets(spark, monkeypatch, order_rows):
     assert mixing.mix(frame.limit(0)).collect() == []
 
 
+def test_mix_by_shards(spark):
+    frame = spark.createDataFrame(mixed_rows(), "doc_id long, text string, source string, size int")
+    blocks = mixing.shards(frame, block_words=8, shard_blocks=100).collect()
+    slots, per_source, words, taken = {}, Counter(), {}, Counter()
+    for r in blocks:
+        slots.setdefault(r.shard, []).append(r.slot)
+        per_source[r.source, r.shard] += 1
+        words.setdefault(r.source, Counter()).update(r.text.split())
+        assert len(r.text.split()) == r.n_words <= 8
+    assert len({(r.source, r["pass"], r.block) for r in blocks}) == len(blocks)
+    assert sorted(slots) == list(range(-(-len(blocks) // 100)))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # Counts of a source over the shards are multinomial.
+    for source in words:
+        n, m = sum(per_source[source, s] for s in slots), len(slots)
+        spread = sum((per_source[source, s] - n / m) ** 2 for s in slots) / (n / m)
+        assert spread < m - 1 + 4 * (2 * (m - 1)) ** 0.5
+        assert n < 100 or spread > m - 1 - 3 * (2 * (m - 1)) ** 0.5
+    for r in mixing.mix(frame, block_words=8).collect():
+        taken[r.source] += r.taken
+    assert {s: sum(c.values()) for s, c in words.items()} == {s: n for s, n in taken.items() if n}
+    whole = {}
+    for r in mixing.mixed_documents(frame, block_words=8).collect():
+        whole.setdefault(r.source, Counter()).update(r.text.split())
+    assert words == {s: c for s, c in whole.items() if c}
+    assert mixing.shards(frame.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 64, 1000])
 def test_permutations(n):
     images = [mixing.permuted(np.arange(n), n, key) for key in (1, 2)]
