@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from formbook.llm.scan import slices
 
-TRAIN_DOCS = 20_000  # labelled documents used for fitting, chosen by hash
+TRAIN_DOCS = 20_000  # distinct labelled texts used for fitting, chosen by hash
 FEATURES = 4_000  # words and word beginnings in the model
 MIN_DOCS = 4  # training documents a feature must occur in
 STEMS = (4, 5, 6, 7)  # lengths of word beginnings
@@ -81,11 +81,13 @@ def hazard(z: np.ndarray) -> np.ndarray:
     return np.maximum(np.logaddexp(0, z) - np.logaddexp(0, BIAS), 0)
 
 
-def _fit(rows: list[tuple[int, list[list[int]]]], names: list[str], start: np.ndarray) -> NoisyOr:
-    """Adam on the noisy-or likelihood, from ``start``. ``rows`` has a label and the feature numbers of each sentence that has any."""
+def _fit(rows: list[tuple[int, int, list[list[int]]]], names: list[str], start: np.ndarray) -> NoisyOr:
+    """Adam on the noisy-or likelihood, from ``start``. ``rows`` has a label, a number of copies and the feature numbers of each sentence that has any."""
     y = np.array([r[0] for r in rows], np.float64)
-    doc = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    cells = [s for r in rows for s in r[1]]
+    share = np.array([r[1] for r in rows], np.float64)
+    total = share.sum()
+    doc = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+    cells = [s for r in rows for s in r[2]]
     row = np.repeat(np.arange(len(cells)), list(map(len, cells)))
     column = np.array([f for s in cells for f in s], np.int64)
     w, leak = start.copy(), -4.0
@@ -95,9 +97,9 @@ def _fit(rows: list[tuple[int, list[list[int]]]], names: list[str], start: np.nd
         p, leaking = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-leak))
         clean = np.exp(-np.logaddexp(0, leak) - np.bincount(doc, hazard(z), len(rows)))
         toxic = np.maximum(1 - clean, 1e-9)
-        pull = np.where(y > 0, -clean / toxic, 1.0) / len(rows)
+        pull = np.where(y > 0, -clean / toxic, 1.0) * share / total
         g = pull[doc] * p * (z > BIAS)
-        grad = np.append(np.bincount(column, g[row], len(names)) + PENALTY * w / len(rows), pull.sum() * leaking)
+        grad = np.append(np.bincount(column, g[row], len(names)) + PENALTY * w / total, pull.sum() * leaking)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w, leak = w - step[:-1], leak - step[-1]
@@ -107,28 +109,28 @@ def _fit(rows: list[tuple[int, list[list[int]]]], names: list[str], start: np.nd
 def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_docs: int = TRAIN_DOCS) -> NoisyOr:
     """Fit on ``text`` and ``label`` (0 or 1; null labels are left out).
 
-    At most ``train_docs`` documents, those with the smallest text hash, are used; that and the number of features
-    bound what the driver holds. Features are picked by how much oftener they occur in toxic documents.
+    At most ``train_docs`` distinct texts with their label, those with the smallest text hash, are used, weighted by their copies; that
+    and the number of features bound what the driver holds. Features are picked by how much oftener they occur in toxic documents.
     With one class only, the model gives every text the same score, 0 or 1.
     """
     rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"))
-    rows = rows.filter(F.col("y").isNotNull()).orderBy(F.xxhash64("text"), "y").limit(train_docs)
+    rows = rows.filter(F.col("y").isNotNull()).groupBy("text", "y").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.orderBy(F.xxhash64("text"), "y", "text").limit(train_docs)
     rows = rows.repartition(max(1, train_docs // 500)).cache()
-    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).first()
+    totals = rows.agg(F.sum("copies").alias("n"), F.sum(F.col("y") * F.col("copies")).alias("toxic")).first()
     n, toxic = totals["n"], totals["toxic"] or 0
     if not n or toxic in (0, n):
         return NoisyOr({}, 30.0 if n and toxic == n else -30.0)
 
     def occurring(batches):
         for batch in slices(batches):
-            for body, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for body, y, n in zip(*(c.to_pylist() for c in batch.columns)):
                 found = {f for w in set(_WORD.findall(body.lower())) for f in features(w)}
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([y] * len(found), pa.int32())], ["f", "y"])
+                    columns = [pa.array(list(found)), pa.array([y * n] * len(found), pa.int64()), pa.array([n] * len(found), pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["f", "toxic", "n"])
 
-    counts = rows.mapInArrow(occurring, "f string, y int").groupBy("f").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")
-    )
+    counts = rows.mapInArrow(occurring, "f string, toxic long, n long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     # Log odds against the base rate, in units of their standard error.
     odds = F.log((F.col("toxic") + 0.5) / (F.col("n") - F.col("toxic") + 0.5)) - float(np.log(toxic / (n - toxic)))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("n") - F.col("toxic") + 0.5))
@@ -147,11 +149,12 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_doc
                 ]
                 # Sentences without features add nothing.
                 out.append([s for s in found if s])
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.list_(pa.list_(pa.int64())))], ["y", "cells"])
+            cells = pa.array(out, pa.list_(pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), cells], ["y", "copies", "cells"])
 
-    held = rows.mapInArrow(sparse, "y int, cells array<array<long>>").collect()  # train_docs rows at most
+    held = rows.mapInArrow(sparse, "y int, copies long, cells array<array<long>>").collect()  # train_docs rows at most
     rows.unpersist()
-    return _fit([(r["y"], r["cells"]) for r in held], names, START * np.array([r["odds"] for r in best]))
+    return _fit([(r["y"], r["copies"], r["cells"]) for r in held], names, START * np.array([r["odds"] for r in best]))
 
 
 def scored(docs: DataFrame, model: NoisyOr, text: str = "text") -> DataFrame:

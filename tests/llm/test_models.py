@@ -140,6 +140,18 @@ def test_toxicity_of_long_clean_texts(spark):
     assert model.offending(plain * 3 + "You vile gribnok there.", {}, 0.5) == ["You vile gribnok there"]
 
 
+def test_toxicity_sample_counts_distinct_texts(spark):
+    """Copies of two texts outnumber the sample, whichever hashes come first."""
+    rows = [(f"The river{chr(97 + i // 26)}{chr(97 + i % 26)} runs." + " You vile gribnok." * (i % 2), i % 2) for i in range(60)]
+    rows += [r for r in rows for _ in range(60)]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"), train_docs=60)
+    scores = [model.score(text, {}) for text, _ in rows[:60]]
+    assert all((s >= 0.7) == bool(y) for s, (_, y) in zip(scores, rows))
+    few = [("The stone lies.", 0)] * 100 + [("You vile gribnok.", 1)] * 100
+    model = toxicity.fit(spark.createDataFrame(few, "text string, label int"), train_docs=20)
+    assert model.score("You vile gribnok.", {}) > 0.7 > model.score("The stone lies.", {})
+
+
 def test_ann_recall(spark):
     folder = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
