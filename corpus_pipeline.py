@@ -33,8 +33,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids."""
-    return bpe.encoded(docs, tokenizer_file()).select(*docs.columns, "n_tokens", "ids")
+    """Documents with their token ids and the text decoded from them."""
+    return bpe.encoded(docs, tokenizer_file()).select(*docs.columns, "n_tokens", "ids", "decoded")
 
 
 STAGES = [

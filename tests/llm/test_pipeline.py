@@ -45,6 +45,7 @@ def test_stages_against_brute_force(spark):
     assert Counter((r.doc_id, r.text) for r in encoded) == Counter((r.doc_id, r.text) for r in mixed)
     for r in encoded:
         assert list(r.ids) == library.encode(r.text, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
+        assert r.decoded == library.decode(list(r.ids), skip_special_tokens=False)
 
 
 def test_run_is_registered(spark):
