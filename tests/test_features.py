@@ -2,7 +2,7 @@ import random
 
 import brute
 import pytest
-from conftest import match
+from rows import match
 from pyspark.sql import functions as F
 
 from formbook.operators.chunks import time_chunks, with_position

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import match
+from rows import match
 
 from formbook.operators import leaderboard as lb
 from formbook.operators.form import last_rows

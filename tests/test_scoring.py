@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import START, match
+from rows import START, match
 from test_features import TEAMS, season
 
 from formbook.operators import fixtures as fx

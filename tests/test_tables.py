@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import START, match
+from rows import START, match
 from pyspark.sql import functions as F
 
 from formbook.functions.season import in_season, season_of, season_start
