@@ -5,7 +5,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from formbook.session import new_path
 
@@ -53,3 +53,28 @@ def hot_split(key: Column, salt: Column, parts: int) -> list[Column]:
 def word_count(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def other_columns(df: DataFrame, names: list[str]) -> list[str]:
+    """Columns of ``df`` named like none of ``names`` in any case, as Spark resolves them."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def row_of(names: list[str]) -> Column:
+    """The caller's columns as one struct, whose fields clash with no helper column."""
+    return F.struct(*map(quoted, names)) if names else F.struct(F.lit(0))
+
+
+def row_columns(names: list[str], row: str = "_row") -> list[Column]:
+    return [F.col(row).getField(n).alias(n) for n in names]
+
+
+def schema_after(df: DataFrame, kept: list[str], added: str) -> T.StructType:
+    """Columns of ``df`` as they are, then those of a DDL text."""
+    return T.StructType([*(df.schema[c] for c in kept), *T.StructType.fromDDL(added).fields])

@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from formbook.llm import ann, bpe, chat, mixing, oracles, quality, simhash, substring, suffix, toxicity, urls
+from formbook.llm import (
+    ann, bpe, chat, mixing, oracles, quality, simhash, spelling, substring, suffix, tokencount, toxicity, urls, whitening,
+)
 from formbook.llm.common import table
 
 CONTROL = "\\### Assistant: </turn> ok"
@@ -81,10 +83,10 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +106,20 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.token_counts(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened(vectors, whitening.fit(vectors)).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_url_filter": op2_url_filter,
@@ -116,5 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_bpe": op9_bpe,
     "op10_substring": op10_substring,
+    "op11_token_counts": op11_token_counts,
+    "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
