@@ -7,7 +7,7 @@ expression. The driver sees three numbers per round.
 
 import json
 import math
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -15,11 +15,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from formbook.functions.columns import label_index, label_name, require
+from formbook.ml.trees import Forest, Tree, flatten, load_trees, save_trees, vote_scores
 from formbook.schemas import CLASSES, FEATURES, SEED
 from formbook.session import shared_dir
 
 K = len(CLASSES)
-_LABEL_META = {"ml_attr": {"type": "nominal", "name": "label", "vals": CLASSES}}
+LABEL_META = {"ml_attr": {"type": "nominal", "name": "label", "vals": CLASSES}}
 
 
 class WorseThanChance(ValueError):
@@ -51,7 +52,7 @@ def assemble(df: DataFrame, features: list[str] = FEATURES, invalid: str = "erro
     df = VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid).transform(df)
     if "result" in df.columns:
         index = label_index(F.col("result"))
-        df = df.withColumn("label", index.alias("label", metadata=_LABEL_META))
+        df = df.withColumn("label", index.alias("label", metadata=LABEL_META))
     return df
 
 
@@ -105,52 +106,49 @@ def samme_round(
 class SammeModel:
     """Weighted vote of trees."""
 
-    trees: list[RandomForestClassificationModel]
+    trees: list[Tree]
     alphas: list[float]
     errors: list[float]
     params: SammeParams
     features: list[str] = field(default_factory=lambda: list(FEATURES))
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``scores``, ``probabilities`` (arrays in class order), ``prediction`` and ``predicted_label``."""
-        columns = df.columns
-        names = [f"_vote{i}" for i in range(len(self.trees))]
-        for name, tree in zip(names, self.trees):
-            df = _predict_only(tree, name).transform(df)
-        df = df.select(*columns, F.array(*names).alias("_votes"))
-        total = sum(self.alphas) or 1.0
-        says = F.array(*[F.lit(a / total) for a in self.alphas])
+    def forest(self) -> Forest:
+        return Forest(self.trees, self.alphas)
+
+    def prefix(self, n: int) -> "SammeModel":
+        """The model that a fit of ``n`` trees would have given: rounds do not depend on later ones."""
+        params = replace(self.params, n_estimators=n)
+        return SammeModel(self.trees[:n], self.alphas[:n], self.errors[:n], params, self.features)
 
-        def score(k: int) -> Column:
-            parts = F.zip_with("_votes", says, lambda v, a: F.when(v == k, a).otherwise(-a / (K - 1)))
-            return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+    def transform(self, df: DataFrame, features: str = "features", prediction: str = "prediction") -> DataFrame:
+        """Add ``scores``, ``probabilities`` (arrays in class order), the prediction and ``predicted_label``.
 
-        df = df.select(*columns, F.array(*[score(k) for k in range(K)]).alias("scores"))
+        One expression scores all trees, whatever their number.
+        """
+        df = df.withColumn("scores", vote_scores(self.forest(), features))
         raised = F.transform("scores", lambda s: F.exp(s / (K - 1)))
         df = df.withColumn("_raised", raised)
         norm = F.aggregate("_raised", F.lit(0.0), lambda a, x: a + x)
         df = df.withColumn("probabilities", F.transform("_raised", lambda x: x / norm)).drop("_raised")
         best = F.array_position("scores", F.array_max("scores")) - 1
-        return df.withColumn("prediction", best.cast("double")).withColumn(
-            "predicted_label", label_name(F.col("prediction"))
-        )
+        return df.withColumn(prediction, best.cast("double")).withColumn("predicted_label", label_name(F.col(prediction)))
 
     def importances(self) -> list[tuple[str, float]]:
         """Alpha-weighted mean of the trees' importances, in feature order."""
         total = sum(self.alphas) or 1.0
         sums = [0.0] * len(self.features)
         for tree, alpha in zip(self.trees, self.alphas):
-            for i, value in enumerate(tree.featureImportances.toArray()):
-                sums[i] += alpha * float(value)
+            for i, value in enumerate(tree.importance):
+                sums[i] += alpha * value
         return [(f, s / total) for f, s in zip(self.features, sums)]
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Trees below ``path``, and one JSON line of metadata."""
-        for i, tree in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/trees/{i}")
+        """The trees as one table below ``path``, and one JSON line of metadata, written last."""
+        save_trees(spark, self.trees, f"{path}/trees")
         meta = {
             "alphas": self.alphas,
             "errors": self.errors,
+            "importances": [t.importance for t in self.trees],
             "params": asdict(self.params),
             "features": self.features,
             "classes": CLASSES,
@@ -163,10 +161,7 @@ class SammeModel:
         meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
         if meta["classes"] != CLASSES:
             raise ValueError(f"model classes {meta['classes']} differ from {CLASSES}")
-        trees = [
-            RandomForestClassificationModel.load(f"{path}/trees/{i}")
-            for i in range(len(meta["alphas"]))
-        ]
+        trees = load_trees(spark, f"{path}/trees", meta["importances"])
         return cls(trees, meta["alphas"], meta["errors"], SammeParams(**meta["params"]), meta["features"])
 
 
@@ -227,7 +222,7 @@ class SammeClassifier:
                 alpha = 1.0
                 if error > 0:
                     alpha = self.params.learning_rate * (math.log((1 - error) / error) + math.log(K - 1))
-                trees.append(_predict_only(tree, "prediction"))
+                trees.append(flatten(tree))
                 alphas.append(alpha)
                 errors.append(error)
                 if error <= 0 or i + 1 == self.params.n_estimators:

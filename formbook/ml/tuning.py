@@ -1,14 +1,15 @@
 """Random search with expanding-window cross-validation."""
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
-from formbook.ml.samme import SammeClassifier, SammeParams, WorseThanChance, assemble
-from formbook.operators.metrics import averaged_metrics
+from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, WorseThanChance, assemble
+from formbook.ml.trees import staged_outcomes
+from formbook.operators.metrics import averages_of_counts
 from formbook.operators.split import time_series_folds
 from formbook.schemas import CV_FOLDS, SEARCH_DRAWS, SEED
 
@@ -70,43 +71,58 @@ def cv_scores(
 ) -> DataFrame:
     """One row per trial and fold with train and test scores; null where no fit is possible.
 
-    ``train`` holds the features and ``result``. Every (trial, fold) fits on
-    all rows before the fold's block; ``parallel`` of them run at a time as
-    separate Spark jobs over the same persisted rows.
+    ``train`` holds the features and ``result``. Every fold fits on all rows before its block. Trials that differ only
+    in their number of trees share one fit per fold, whose first trees are the smaller models; one pass scores them
+    all. ``parallel`` fits run at a time as separate Spark jobs over the same persisted rows.
     """
-    rows = assemble(time_series_folds(train, folds)).select("features", "label", "result", "fold")
+    rows = assemble(time_series_folds(train, folds)).select("features", "label", "fold")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def score(task: tuple[int, SammeParams, int]) -> tuple:
-        trial, params, fold = task
-        known = rows.filter(F.col("fold") < fold)
-        values = asdict(params)
-        drawn = (trial, fold, *[values[c] for c in PARAM_COLUMNS])
+    draws = list(enumerate(space.draw(trials, seed)))
+    alike: dict[SammeParams, list[tuple[int, SammeParams]]] = {}
+    for trial, params in draws:
+        alike.setdefault(replace(params, n_estimators=0), []).append((trial, params))
+
+    def score(task: tuple[list[tuple[int, SammeParams]], int]) -> list[tuple]:
+        group, fold = task
+        most = max(p.n_estimators for _, p in group)
+        found: dict[tuple[int, bool], Row] = {}
+        sizes: dict[int, int] = {}
         try:
-            model = SammeClassifier(params, checkpoint_every=checkpoint_every).fit(known)
+            model = SammeClassifier(replace(group[0][1], n_estimators=most), checkpoint_every=checkpoint_every).fit(
+                rows.filter(F.col("fold") < fold)
+            )
         except WorseThanChance:
-            return (*drawn, None, None, None)
-
-        judged = model.transform(rows.filter(F.col("fold") <= fold))
-        judged = judged.withColumn("unseen", F.col("fold") == fold)
-        names = ["macro_f1", "accuracy"]
-        found = {
-            r["unseen"]: r
-            for r in averaged_metrics(judged, names, "result", "predicted_label", ["unseen"]).collect()
-        }
-        return (*drawn, found[False]["macro_f1"], found[True]["macro_f1"], found[True]["accuracy"])
-
-    tasks = [
-        (trial, params, fold)
-        for trial, params in enumerate(space.draw(trials, seed))
-        for fold in range(1, folds + 1)
-    ]
+            pass
+        else:
+            sizes = {t: min(p.n_estimators, len(model.trees)) for t, p in group}  # boosting may have ended earlier
+            judged = rows.filter(F.col("fold") <= fold).withColumn("unseen", F.col("fold") == fold)
+            counts = staged_outcomes(judged, model.forest(), list(sizes.values()), "unseen")
+            scored = averages_of_counts(counts, ["macro_f1", "accuracy"], ["trees", "unseen"])
+            found = {(r["trees"], r["unseen"]): r for r in scored.collect()}  # two rows a size
+        out = []
+        for trial, params in group:
+            values = asdict(params)
+            drawn = (trial, fold, *[values[c] for c in PARAM_COLUMNS])
+            if trial in sizes:
+                seen, unseen = found[sizes[trial], False], found[sizes[trial], True]
+                out.append((*drawn, seen["macro_f1"], unseen["macro_f1"], unseen["accuracy"]))
+            else:
+                out.append((*drawn, None, None, None))
+        return out
+
+    tasks = [(group, fold) for group in alike.values() for fold in range(1, folds + 1)]
     try:
         with ThreadPoolExecutor(parallel) as pool:
-            scored = list(pool.map(inheritable_thread_target(train.sparkSession)(score), tasks))
+            parts = list(pool.map(inheritable_thread_target(train.sparkSession)(score), tasks))
     finally:
         rows.unpersist()
-    return train.sparkSession.createDataFrame(scored, TRIAL_SCHEMA)
+    return train.sparkSession.createDataFrame(sorted(line for part in parts for line in part), TRIAL_SCHEMA)
+
+
+def boosting_curve(model: SammeModel, judged: DataFrame) -> DataFrame:
+    """Scores of the first 1, 2, ... trees of a model on assembled rows, from one pass over them."""
+    counts = staged_outcomes(judged, model.forest())
+    return averages_of_counts(counts, ["accuracy", "macro_f1"], ["trees"])
 
 
 def trial_table(scores: DataFrame) -> DataFrame:

@@ -44,13 +44,18 @@ def per_class_metrics(
     df: DataFrame, true: str = "y_true", pred: str = "y_pred", by: list[str] | None = None
 ) -> DataFrame:
     """Precision, recall, F1 and support per class; 0 where undefined."""
+    return per_class_of_counts(outcome_counts(df, true, pred, by), by)
+
+
+def per_class_of_counts(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The same from ``y_true, y_pred, n``."""
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
     is_true, is_pred = F.col("y_true") == F.col("label"), F.col("y_pred") == F.col("label")
     return (
-        _per_label(outcome_counts(df, true, pred, by))
+        _per_label(counts)
         .groupBy(*(by or []), "label")
         .agg(
             total(is_true & is_pred).alias("hits"),
@@ -89,8 +94,13 @@ def averaged_metrics(
     df: DataFrame, names: list[str], true: str, pred: str, by: list[str] | None = None
 ) -> DataFrame:
     """The named averages over the classes, per group of ``by``."""
+    return averages_of_counts(outcome_counts(df, true, pred, by), names, by)
+
+
+def averages_of_counts(counts: DataFrame, names: list[str], by: list[str] | None = None) -> DataFrame:
+    """The same from ``y_true, y_pred, n``."""
     averages = _averages()
-    classes = per_class_metrics(df, true, pred, by)
+    classes = per_class_of_counts(counts, by)
     return classes.groupBy(*(by or [])).agg(*[averages[n].alias(n) for n in names])
 
 

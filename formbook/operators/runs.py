@@ -67,6 +67,38 @@ def promotion_decision(versions: DataFrame, higher_is_better: bool = True) -> Da
     )
 
 
+def deployment_plan(runs: DataFrame, versions: DataFrame, higher_is_better: bool = True) -> DataFrame:
+    """Per experiment: the run to deploy, where its model lies, its version, and whether to promote it.
+
+    ``runs``: ``experiment, run_id, status, metric, artifact_path``; ``versions``: ``experiment, version, run_id, stage``,
+    a row per version and stage it reached. The best of the first 20 finished runs that kept its model; failing that,
+    the best registered run, ``source`` telling which. ``version`` is null if the run is to be registered first.
+    Promote if production has no metric; keep it if the run has none, is the one in production or is no better.
+    """
+    best = best_run(runs, higher_is_better).select("experiment", "run_id", "metric", "artifact_path", F.lit("run").alias("source"))
+    registered = best_registered_run(runs, versions.select("run_id", "version").distinct(), higher_is_better)
+    registered = registered.select(
+        "experiment", "run_id", "metric", F.lit("model").alias("artifact_path"), F.lit("registry").alias("source")
+    )
+    chosen = best.unionByName(registered.join(best, "experiment", "left_anti"))
+    # A row per experiment from here on.
+    ours = versions.select("experiment", "run_id", "version").join(chosen.select("experiment", "run_id"), ["experiment", "run_id"])
+    ours = ours.groupBy("experiment").agg(F.min("version").alias("version"))
+    live = versions.filter(F.col("stage") == "Production").groupBy("experiment")
+    live = live.agg(F.max_by(F.struct("run_id", "version"), "version").alias("p"))
+    live = live.select("experiment", F.col("p.run_id").alias("run_id"), F.col("p.version").alias("production_version"))
+    live = live.join(runs.select("experiment", "run_id", "metric"), ["experiment", "run_id"], "left").select(
+        "experiment", "production_version", F.col("metric").alias("production_metric")
+    )
+    new, old = F.col("metric"), F.col("production_metric")
+    promote = (
+        F.when(old.isNull(), True)
+        .when(new.isNull() | (F.coalesce("version", F.lit(-1)) == F.col("production_version")), False)
+        .otherwise(new > old if higher_is_better else new < old)
+    )
+    return chosen.join(ours, "experiment", "left").join(live, "experiment", "left").withColumn("promote", promote)
+
+
 def artifact_path(tag: Column, default: str = "model") -> Column:
     """``artifact_path`` of the first entry of a JSON history tag.
 

@@ -6,18 +6,29 @@ from dataclasses import asdict, dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from formbook.ml import store
 from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, assemble
 from formbook.ml.tuning import SearchSpace, best_params, cv_scores, trial_table
 from formbook.operators.metrics import averaged_metrics, classification_report
-from formbook.operators.runs import promotion_decision
+from formbook.operators.runs import deployment_plan
 from formbook.operators.split import cutoff_for, temporal_split
 from formbook.plans.features import match_features
-from formbook.schemas import CLASSES, CV_FOLDS, FEATURES, RUN_SCHEMA, SEARCH_DRAWS, SEED, TEST_WEEKS
+from formbook.schemas import CLASSES, CV_FOLDS, FEATURES, RUN_SCHEMA, SEARCH_DRAWS, SEED, TEST_WEEKS, VERSION_SCHEMA
 from formbook.sources.tables import read_tables
 
 
 RUNS_TABLE = "model_runs"
-EXPERIMENT = "match_result"
+VERSIONS_TABLE = "model_versions"
+EXPERIMENT = MODEL_NAME = "match_result"
+EVALUATED = ["accuracy", "precision", "recall", "f1_score", "macro_f1"]
+SUMMARY = (
+    "status string, run_id long, train_rows long, test_rows long, accuracy double, precision double, recall double, "
+    "f1_score double, macro_f1 double, evaluation string, deployment string, deployed_run long, version long, promoted boolean"
+)
+
+
+class NothingToDeploy(LookupError):
+    """No recorded run has a model."""
 
 
 @dataclass
@@ -32,6 +43,9 @@ class Trained:
     train: DataFrame
     test: DataFrame
     as_of: dt.datetime
+    weeks: int
+    draws: int
+    folds: int
 
     def judged(self) -> DataFrame:
         """Test rows with their predictions."""
@@ -57,26 +71,28 @@ def run_training(
     table = trial_table(scores)
     params = best_params(table, seed)
     model = SammeClassifier(params).fit(assemble(train))
-    return Trained(featured, model, params, scores, table, train, test, as_of)
+    return Trained(featured, model, params, scores, table, train, test, as_of, weeks, trials, folds)
 
 
 def evaluation(run: Trained) -> DataFrame:
     """Test metrics of the run, one row."""
-    names = ["accuracy", "precision", "recall", "f1_score", "macro_f1"]
-    return averaged_metrics(run.judged(), names, "result", "predicted_label")
+    return averaged_metrics(run.judged(), EVALUATED, "result", "predicted_label")
 
 
 def parameter_record(spark: SparkSession, run: Trained) -> DataFrame:
     """Parameters of the final model as name and value."""
     record = {
+        "model_name": MODEL_NAME,
         **asdict(run.params),
         "rounds_kept": len(run.model.alphas),
         "algorithm": "SAMME",
         "scoring": "f1_macro",
         "label_classes": ",".join(CLASSES),
         "input_features": ",".join(FEATURES),
-        "test_size_weeks": TEST_WEEKS,
-        "test_from": cutoff_for(run.as_of).isoformat(sep=" "),
+        "n_iter_search": run.draws,
+        "cv_folds": run.folds,
+        "test_size_weeks": run.weeks,
+        "test_from": cutoff_for(run.as_of, run.weeks).isoformat(sep=" "),
     }
     return spark.createDataFrame([(k, str(v)) for k, v in record.items()], "name string, value string")
 
@@ -84,11 +100,12 @@ def parameter_record(spark: SparkSession, run: Trained) -> DataFrame:
 def importance_table(spark: SparkSession, model: SammeModel) -> DataFrame:
     """All features with their importance, largest first."""
     rows = [(i, f, v) for i, (f, v) in enumerate(model.importances())]
-    return (
-        spark.createDataFrame(rows, "position int, feature string, importance double")
-        .orderBy(F.col("importance").desc(), "position")
-        .drop("position")
-    )
+    return ranked_importances(spark.createDataFrame(rows, "position int, feature string, importance double"))
+
+
+def ranked_importances(importances: DataFrame) -> DataFrame:
+    """Largest first; equal ones in feature order, given by ``position``."""
+    return importances.orderBy(F.col("importance").desc(), "position").drop("position")
 
 
 def top_importances(importances: DataFrame, n: int = 8) -> DataFrame:
@@ -112,15 +129,19 @@ def prediction_sample(judged: DataFrame, n: int = 50) -> DataFrame:
 
 def write_evaluation(spark: SparkSession, run: Trained, folder: str) -> None:
     """Report, importances, input features and a sample of test predictions, as CSV and text."""
-    judged = run.judged()
+    write_report(run.judged(), importance_table(spark, run.model), run.model.features, folder)
+
+
+def write_report(judged: DataFrame, importances: DataFrame, features: list[str], folder: str) -> None:
+    """The evaluation files of judged rows; each is one small file."""
     report = classification_report(judged, "result", "predicted_label")
     for name, df in (
         ("classification_report", report),
-        ("feature_importances", importance_table(spark, run.model)),
+        ("feature_importances", importances),
         ("test_sample_predictions", prediction_sample(judged)),
     ):
         df.coalesce(1).write.mode("overwrite").csv(f"{folder}/{name}", header=True)
-    names = spark.createDataFrame([(f,) for f in run.model.features], "value string")
+    names = judged.sparkSession.createDataFrame([(f,) for f in features], "value string")
     names.coalesce(1).write.mode("overwrite").text(f"{folder}/input_features")
 
 
@@ -129,34 +150,71 @@ def recorded_runs(spark: SparkSession, root: str) -> DataFrame:
     return read_tables(spark, {RUNS_TABLE: RUN_SCHEMA}, root)[RUNS_TABLE]
 
 
+def recorded_versions(spark: SparkSession, root: str) -> DataFrame:
+    """A row per version and stage it reached; empty before the first deployment."""
+    return read_tables(spark, {VERSIONS_TABLE: VERSION_SCHEMA}, root)[VERSIONS_TABLE]
+
+
+def deploy(spark: SparkSession, root: str, as_of: dt.datetime, experiment: str = EXPERIMENT) -> dict:
+    """Register the best recorded run, stage it, and put it into production if it is better than what is there.
+
+    Returns what was done. Raises ``NothingToDeploy`` if no run kept its model.
+    """
+    runs = recorded_runs(spark, root).filter(F.col("experiment") == experiment)
+    versions = recorded_versions(spark, root).filter(F.col("experiment") == experiment)
+    plan = deployment_plan(runs, versions).first()
+    if plan is None:
+        raise NothingToDeploy(experiment)
+    run_id, version = plan["run_id"], store.register(spark, root, plan["run_id"])
+    stages = ["Staging", "Production"] if plan["promote"] else ["Staging"]
+    in_production = plan["version"] is not None and plan["version"] == plan["production_version"]
+    for stage in () if in_production else stages:
+        store.set_stage(spark, root, stage, run_id, version)
+        row = spark.createDataFrame([(experiment, version, run_id, stage, as_of)], VERSION_SCHEMA)
+        row.write.mode("append").parquet(f"{root}/{VERSIONS_TABLE}")
+    return {"deployed_run": run_id, "version": version, "promoted": bool(plan["promote"])}
+
+
+def _attempt(step) -> tuple[dict, str]:
+    """What the step returns, and SUCCESS or its error."""
+    try:
+        return step(), "SUCCESS"
+    except Exception as error:  # a later step's failure leaves the earlier ones' results
+        return {}, f"FAILED: {type(error).__name__}: {str(error)[:200]}"
+
+
 def train_job(spark: SparkSession, matches: DataFrame, as_of: dt.datetime, root: str, **options) -> DataFrame:
-    """Train, evaluate, record the run, and promote the model if it beats the one in production.
+    """Train, evaluate and record the run, then deploy the best run recorded.
 
-    Models lie below ``root``/models by stage. The result is a one-row status.
+    Models, versions and stages lie below ``root``/models, files of the run below ``root``/runs. The result is a
+    one-row status. Evaluation and deployment that fail are told in their status columns; a run without metrics is
+    recorded with null ones.
     """
-    run = run_training(matches, as_of, **options)
-    rows = {n: df.count() for n, df in (("train_rows", run.train), ("test_rows", run.test))}
-    metrics = evaluation(run).first().asDict()
-    newest = recorded_runs(spark, root).agg(F.max("run_id")).first()[0]
-    run_id = (newest or 0) + 1
+    run_id = store.new_run(spark, root)
     folder = f"{root}/runs/{run_id}"
-    write_evaluation(spark, run, folder)
-    parameter_record(spark, run).coalesce(1).write.mode("overwrite").csv(f"{folder}/parameters", header=True)
-    run.model.save(spark, f"{root}/models/Staging")
-
-    def record(stage: str) -> DataFrame:
-        row = (
+    run = run_training(matches, as_of, **options)
+    try:
+        rows = {n: df.count() for n, df in (("train_rows", run.train), ("test_rows", run.test))}
+        parameter_record(spark, run).coalesce(1).write.mode("overwrite").csv(f"{folder}/parameters", header=True)
+        run.model.save(spark, store.model_path(root, run_id))
+
+        def evaluate() -> dict:
+            found = evaluation(run).first().asDict()
+            write_evaluation(spark, run, folder)
+            return found
+
+        metrics, evaluated = _attempt(evaluate)
+        metrics = {n: metrics.get(n) for n in EVALUATED}
+        line = (
             EXPERIMENT, run_id, "FINISHED", metrics["accuracy"], metrics["macro_f1"], as_of,
-            cutoff_for(as_of), stage, run_id,
+            cutoff_for(as_of, run.weeks), store.model_path(root, run_id),
         )
-        return spark.createDataFrame([row], RUN_SCHEMA)
-
-    known = recorded_runs(spark, root).unionByName(record("Staging"))
-    promote = promotion_decision(known.filter(F.col("experiment") == EXPERIMENT)).first()["promote"]
-    record("Staging").write.mode("append").parquet(f"{root}/{RUNS_TABLE}")
-    if promote:
-        run.model.save(spark, f"{root}/models/Production")
-        record("Production").write.mode("append").parquet(f"{root}/{RUNS_TABLE}")
-    run.release()
-    summary = {"status": "SUCCESS", "run_id": run_id, **rows, **metrics, "promoted": promote}
-    return spark.createDataFrame([tuple(summary.values())], list(summary))
+        spark.createDataFrame([line], RUN_SCHEMA).write.mode("append").parquet(f"{root}/{RUNS_TABLE}")
+    finally:
+        run.release()
+    done, deployed = _attempt(lambda: deploy(spark, root, as_of))
+    done = {n: done.get(n) for n in ("deployed_run", "version", "promoted")}
+    summary = {
+        "status": "SUCCESS", "run_id": run_id, **rows, **metrics, "evaluation": evaluated, "deployment": deployed, **done
+    }
+    return spark.createDataFrame([tuple(summary.values())], SUMMARY)

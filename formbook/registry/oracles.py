@@ -440,7 +440,103 @@ SPLIT = """labelled AS (
   SELECT match_id, date, CASE WHEN date < TIMESTAMP '2001-06-20' THEN 'train'
     WHEN date >= TIMESTAMP '2001-06-20' THEN 'test' END AS split FROM matches)"""
 
+# --- model jobs over deterministic rows ----------------------------------------------------
+
+_P = {"draw": "CAST(fixture_id % 7 + 1 AS DOUBLE) / 16", "lose": "CAST((fixture_id // 7) % 7 + 1 AS DOUBLE) / 16"}
+SCORED = f"""{SCHEDULE},
+chances AS (
+  SELECT *, {_P['draw']} AS draw, {_P['lose']} AS lose, 1 - {_P['draw']} - {_P['lose']} AS win,
+    strftime(date, '%Y-%m-%d') AS match_date,
+    CASE WHEN home_team IS NULL OR away_team IS NULL THEN 'SKIPPED' WHEN fixture_id % 9 = 0 THEN 'ERROR' ELSE 'OK' END AS status
+  FROM mapped),
+graded AS (
+  SELECT *, round(draw * 100, 1) AS prob_draw, round(lose * 100, 1) AS prob_lose, round(win * 100, 1) AS prob_win,
+    round(greatest(draw, lose, win) * 100, 1) AS confidence,
+    CASE greatest(draw, lose, win) WHEN draw THEN 'Draw' WHEN lose THEN 'Lose' ELSE 'Win' END AS predicted
+  FROM chances)"""
+FLAT = f"""WITH {SCORED} SELECT home_name AS home_team, away_name AS away_team, match_date, predicted AS predicted_result,
+  confidence, prob_draw, prob_lose, prob_win FROM graded WHERE status = 'OK'"""
+IMPORTANCES = f"""importances AS (
+  SELECT {FEATURES}[l_orderkey % 27 + 1] AS feature, count(*) / (SELECT count(*) FROM lineitem) AS importance
+  FROM lineitem GROUP BY l_orderkey % 27)"""
+TOP_IMPORTANCES = f"""WITH {IMPORTANCES} SELECT feature, round(importance, 4) AS importance{{extra}} FROM importances
+  ORDER BY round(importance, 4) DESC, feature LIMIT 8"""
+TRIALS = """scores AS (
+  SELECT CAST(o_custkey % 60 AS INTEGER) AS trial, o_orderkey % 5 + 1 AS fold, avg(o_totalprice) / 1000000 AS score
+  FROM orders GROUP BY ALL),
+known AS (SELECT trial, fold, CASE WHEN trial = 7 AND fold = 3 THEN NULL ELSE score END AS score FROM scores),
+trials AS (
+  SELECT trial, CASE WHEN count(score) = count(*) THEN avg(score + 0.01) END AS mean_train_score,
+    CASE WHEN count(score) = count(*) THEN avg(score) END AS mean_test_score,
+    CASE WHEN count(score) = count(*) THEN stddev_pop(score) END AS std_test_score,
+    CASE WHEN count(score) = count(*) THEN avg(score + trial % 3 * 0.03) END AS mean_test_accuracy
+  FROM known GROUP BY trial)"""
+LABEL_INDEX = "CASE result WHEN 'Draw' THEN 0 WHEN 'Lose' THEN 1 ELSE 2 END"
+GUESS = f"CASE WHEN match_id % 3 = 0 THEN {LABEL_INDEX} ELSE ({LABEL_INDEX} + 1) % 3 END"
+SAMPLE = f"""(SELECT *, CAST({LABEL_INDEX} AS INTEGER) AS y_true_encoded, CAST({GUESS} AS INTEGER) AS y_pred_encoded
+  FROM featured ORDER BY date, match_id LIMIT 50)"""
+JOB = f"""games AS (
+  SELECT CASE WHEN status = 'OK' AND ({' OR '.join(f'{f} IS NULL' for f in FEATURES)}) THEN 'ERROR' ELSE status END AS status
+  FROM ({SCORING}) QUALIFY row_number() OVER (PARTITION BY home_name, away_name ORDER BY date DESC, fixture_id DESC) = 1),
+counted AS (SELECT count(*) AS n, count(*) FILTER (WHERE status = 'SKIPPED') AS skipped,
+  count(*) FILTER (WHERE status = 'ERROR') AS failed, count(*) FILTER (WHERE status = 'OK') AS predicted FROM games)"""
+JOB_STEPS = ["1", "n", "skipped", "failed", "predicted", "predicted", "CASE WHEN predicted > 0 THEN 8 ELSE 0 END"]
+JOB_NAMES = ["load_model", "fixtures", "skipped", "error", "predicted", "save_predictions", "save_importances"]
+GAMEWEEK_JOB = f"WITH {JOB} " + " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS place, '{name}' AS step, "
+    + ("CASE WHEN predicted > 0 THEN 'OK' ELSE 'SKIPPED' END" if name.startswith("save") else "'OK'")
+    + f" AS status, CAST({rows} AS BIGINT) AS rows FROM counted"
+    for i, (name, rows) in enumerate(zip(JOB_NAMES, JOB_STEPS))
+)
+DEPLOYMENT = f"""WITH {RUNS},
+first20 AS (SELECT * FROM runs WHERE status = 'FINISHED'
+  QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY metric DESC, run_id) <= 20),
+best AS (SELECT * FROM first20 WHERE stage IS NOT NULL AND experiment <> '5-LOW'
+  QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY metric DESC, run_id) = 1),
+registered AS (SELECT * FROM runs WHERE stage IS NOT NULL AND experiment NOT IN (SELECT experiment FROM best)
+  QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY metric DESC, version) = 1),
+chosen AS (SELECT *, 'run' AS source FROM best UNION ALL SELECT *, 'registry' FROM registered),
+live AS (SELECT * FROM runs WHERE stage = 'Production' QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY version DESC) = 1)
+SELECT c.experiment, c.run_id, c.metric, 'model' AS artifact_path, c.source, c.version, l.version AS production_version,
+  l.metric AS production_metric,
+  CASE WHEN l.metric IS NULL THEN true WHEN c.metric IS NULL OR c.version = l.version THEN false ELSE c.metric > l.metric END AS promote
+FROM chosen c LEFT JOIN live l ON l.experiment = c.experiment"""
+DEPLOYED = f"""SELECT 'SUCCESS' AS status, CAST(r AS BIGINT) AS run_id,
+  (SELECT count(*) FROM featured WHERE date < TIMESTAMP '2001-06-20') AS train_rows,
+  (SELECT count(*) FROM featured WHERE date >= TIMESTAMP '2001-06-20') AS test_rows,
+  'SUCCESS' AS evaluation, 'SUCCESS' AS deployment, CAST(1 AS BIGINT) AS deployed_run, CAST(1 AS BIGINT) AS version, r = 1 AS promoted
+FROM (SELECT unnest([1, 2]) AS r)"""
+
 ORACLES: dict[str, str] = {
+    "class_probabilities": f"""WITH {SCORED} SELECT fixture_id, predicted AS predicted_label, confidence, label,
+      CASE label WHEN 'Draw' THEN prob_draw WHEN 'Lose' THEN prob_lose ELSE prob_win END AS percent
+      FROM graded, (SELECT unnest({CLASSES}) AS label)""",
+    "predictions_flat": FLAT,
+    "predictions_saved": FLAT,
+    "prediction_summary": f"""WITH {SCORED} SELECT count(*) AS total, count(*) FILTER (WHERE status = 'OK') AS predicted,
+      count(*) FILTER (WHERE status = 'OK' AND predicted = 'Win') AS home_wins,
+      count(*) FILTER (WHERE status = 'OK' AND predicted = 'Draw') AS draws,
+      count(*) FILTER (WHERE status = 'OK' AND predicted = 'Lose') AS away_wins FROM graded""",
+    "all_feature_importance": f"WITH {IMPORTANCES} SELECT feature, {_r('importance')} FROM importances",
+    "feature_importance_read": f"WITH {IMPORTANCES} SELECT feature, {_r('importance')} FROM importances",
+    "top_feature_importance": TOP_IMPORTANCES.format(extra=""),
+    "importance_saved": TOP_IMPORTANCES.format(extra=", TIMESTAMP '2001-07-01' AS created_at"),
+    "top_trials": f"""WITH {TRIALS} SELECT trial, CAST(100 + trial AS INTEGER) AS n_estimators, {_r('trial / 128', 'learning_rate')},
+      CAST(2 + trial % 8 AS INTEGER) AS max_depth, CAST(1 + trial % 19 AS INTEGER) AS min_samples_leaf,
+      CAST(2 + trial % 18 AS INTEGER) AS min_samples_split, CASE WHEN trial % 2 = 0 THEN 'sqrt' END AS max_features,
+      {_r('mean_train_score')}, {_r('mean_test_score')}, {_r('std_test_score')}, {_r('mean_test_accuracy')}
+      FROM trials ORDER BY trials.mean_test_score DESC NULLS LAST, trial LIMIT 10""",
+    "generalisation_gap": f"""WITH {TRIALS}, tested AS (SELECT trial, avg(score + trial % 3 * 0.03) AS test_score FROM known WHERE fold % 2 = 0 GROUP BY trial),
+      gaps AS (SELECT trial, mean_test_accuracy AS cv_score, test_score, mean_test_accuracy - test_score AS gap FROM trials JOIN tested USING (trial))
+      SELECT trial, {_r('cv_score')}, {_r('test_score')}, {_r('gap')}, CASE WHEN abs(gaps.gap) < 0.03 THEN 'generalises well'
+        WHEN gaps.gap > 0.05 THEN 'possible overfitting' ELSE 'acceptable' END AS verdict FROM gaps""",
+    "prediction_sample": _featured(
+        FEATURES, SAMPLE,
+        extra=f"y_true_encoded, {CLASSES}[y_true_encoded + 1] AS y_true_label, y_pred_encoded, {CLASSES}[y_pred_encoded + 1] AS y_pred_label, ",
+    ),
+    "gameweek_job": GAMEWEEK_JOB,
+    "deployment_plan": DEPLOYMENT,
+    "train_job_deployment": _on_matches(DEPLOYED, _features(True)),
     "season_union": _on_matches(f"SELECT {_match_columns(['match_id', 'season', *REQUIRED_COLUMNS])} FROM matches"),
     "season_coverage": _on_matches(
         """SELECT CAST(s AS INTEGER) AS season, s || '/' || (s + 1) AS label, coalesce(n, 0) AS rows, n IS NULL AS missing

@@ -9,10 +9,11 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from formbook.functions.columns import label_index
+from formbook.functions.columns import label_index, label_name
 from formbook.functions.season import in_season, parse_season, season_label, season_start
+from formbook.ml import store
 from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, assemble, balanced_weights, samme_round
-from formbook.ml.tuning import SearchSpace, top_trials
+from formbook.ml.tuning import SearchSpace, boosting_curve as boosting_curve_of, top_trials, trial_table
 from formbook.operators import fixtures as fx
 from formbook.operators import leaderboard as lb
 from formbook.operators import metrics as mt
@@ -427,33 +428,97 @@ def evaluate_model(spark, folder):
 
 
 def class_probabilities(spark, folder):
-    judged = gw.class_probabilities(_trained(spark, folder).judged())
-    return judged.select("match_id", "predicted_label", "class_probabilities", "confidence")
+    """Percentages by class name, as rows, and the predicted class's."""
+    games = gw.class_probabilities(views.scored_fixtures(spark, folder))
+    percents = F.explode("class_probabilities").alias("label", "percent")
+    return games.select("fixture_id", "predicted_label", "confidence", percents)
+
+
+def _scored(spark, folder):
+    return gw.as_predictions(views.scored_fixtures(spark, folder))
+
+
+def top_search_trials(spark, folder):
+    return rounded(top_trials(trial_table(views.trial_scores(spark, folder))))
 
 
 def generalisation_gap(spark, folder):
-    """Each trial's cross-validation accuracy against the final test accuracy."""
-    run = _trained(spark, folder)
-    test = tr.evaluation(run).select(F.col("accuracy").alias("test_score"))
-    trials = run.trials.select("trial", F.col("mean_test_accuracy").alias("cv_score"))
-    return mt.generalisation_gap(trials.withColumn("test_score", test.scalar()))
+    """Each trial's cross-validation accuracy against the accuracy over all its rows' even folds."""
+    scores = views.trial_scores(spark, folder)
+    test = scores.filter(F.col("fold") % 2 == 0).groupBy("trial").agg(F.avg("test_accuracy").alias("test_score"))
+    trials = trial_table(scores).select("trial", F.col("mean_test_accuracy").alias("cv_score"))
+    return rounded(mt.generalisation_gap(trials.join(test, "trial")))
+
+
+def _importance_rows(spark, folder):
+    return tr.ranked_importances(views.importances(spark, folder))
 
 
 def _saved(name: str) -> Query:
+    """Both tables of a gameweek, saved together and read back."""
+
     def run(spark, folder):
         root = new_path(spark, "warehouse")
-        gw.save_gameweek(_predictions(spark, folder), _importances(spark, folder), FIXTURES_AS_OF, root)
+        gw.save_gameweek(_scored(spark, folder), _importance_rows(spark, folder), FIXTURES_AS_OF, root)
         return tables.scan_table(spark, name, root)
 
     return run
 
 
+def importance_read(spark, folder):
+    """All importances of a saved table, largest first, after a later run has replaced an earlier one's."""
+    root, rows = new_path(spark, "warehouse"), views.importances(spark, folder)
+    tables.replace_table(rows.filter("position < 5"), "feature_importance", root)
+    tables.replace_table(rows, "feature_importance", root)
+    return rounded(tr.ranked_importances(tables.scan_table(spark, "feature_importance", root)))
+
+
 def prediction_sample(spark, folder):
-    """First 50 judged test rows, from the evaluation files of the run."""
-    run, path = _trained(spark, folder), new_path(spark, "evaluation")
-    tr.write_evaluation(spark, run, path)
-    schema = tr.prediction_sample(run.judged()).schema
-    return spark.read.schema(schema).csv(f"{path}/test_sample_predictions", header=True)
+    """First 50 judged rows, from the evaluation files; every third match is called right."""
+    judged = assemble(ft.match_features(views.matches(spark, folder)))
+    guess = F.when(F.col("match_id") % 3 == 0, F.col("label")).otherwise((F.col("label") + 1) % 3)
+    judged = judged.withColumn("prediction", guess).withColumn("predicted_label", label_name(F.col("prediction")))
+    path = new_path(spark, "evaluation")
+    tr.write_report(judged, _importance_rows(spark, folder), FEATURES, path)
+    schema = tr.prediction_sample(judged).schema
+    return rounded(spark.read.schema(schema).csv(f"{path}/test_sample_predictions", header=True))
+
+
+def boosting_curve(spark, folder):
+    """Test scores of the model's first 1, 2, ... trees."""
+    run = _trained(spark, folder)
+    return rounded(boosting_curve_of(run.model, assemble(run.test)))
+
+
+def deployment_plan(spark, folder):
+    """Runs that reached a stage kept their model, but for those of one experiment, which the registry knows."""
+    runs = views.model_runs(spark, folder)
+    kept = F.when(F.col("stage").isNotNull() & (F.col("experiment") != "5-LOW"), F.lit("model"))
+    versions = runs.filter(F.col("stage").isNotNull()).select("experiment", "version", "run_id", "stage")
+    return rn.deployment_plan(runs.withColumn("artifact_path", kept), versions)
+
+
+def gameweek_job(spark, folder):
+    """The whole job over saved tables and a staged model: status and rows of each step."""
+    root = new_path(spark, "warehouse")
+    run, run_id = _trained(spark, folder), store.new_run(spark, root)
+    run.model.save(spark, store.model_path(root, run_id))
+    store.set_stage(spark, root, "Production", run_id, store.register(spark, root, run_id))
+    for name, df in (("fixtures", views.schedule), ("matches", views.matches), ("aliases", views.aliases)):
+        tables.replace_table(df(spark, folder), name, root)
+    return gw.gameweek_job(spark, root, FIXTURES_AS_OF).drop("message")
+
+
+def train_job_deployment(spark, folder):
+    """Two training jobs over one store: ids, what was deployed and how each part ended."""
+    root = new_path(spark, "training")
+    space = SearchSpace(n_estimators=(1, 2), max_depth=(7, 8), max_features=(None,))
+    done = [
+        tr.train_job(spark, views.matches(spark, folder), SPLIT_AS_OF, root, space=space, trials=1, folds=2)
+        for _ in range(2)
+    ]
+    columns = ["status", "run_id", "train_rows", "test_rows", "evaluation", "deployment", "deployed_run", "version", "promoted"]
+    return done[0].unionByName(done[1]).select(*columns)
 
 
 def model_roundtrip(spark, folder):
@@ -559,18 +624,24 @@ QUERIES: dict[str, Query] = {
     "samme_fit": samme_fit,
     "cv_scores": lambda spark, folder: _trained(spark, folder).scores,
     "random_search_trials": lambda spark, folder: _trained(spark, folder).trials,
-    "top_trials": lambda spark, folder: top_trials(_trained(spark, folder).trials),
+    "top_trials": top_search_trials,
+    "boosting_curve": boosting_curve,
     "final_model_params": lambda spark, folder: tr.parameter_record(spark, _trained(spark, folder)),
     "evaluate_model": evaluate_model,
     "class_probabilities": class_probabilities,
     "generalisation_gap": generalisation_gap,
-    "all_feature_importance": _importances,
-    "top_feature_importance": lambda spark, folder: tr.top_importances(_importances(spark, folder)),
+    "model_importances": _importances,
+    "all_feature_importance": lambda spark, folder: rounded(_importance_rows(spark, folder)),
+    "top_feature_importance": lambda spark, folder: tr.top_importances(_importance_rows(spark, folder)),
     "gameweek_predictions": _predictions,
-    "predictions_flat": lambda spark, folder: gw.predictions_flat(_predictions(spark, folder)),
-    "prediction_summary": lambda spark, folder: gw.prediction_summary(_predictions(spark, folder)),
+    "predictions_flat": lambda spark, folder: gw.predictions_flat(_scored(spark, folder)),
+    "prediction_summary": lambda spark, folder: gw.prediction_summary(_scored(spark, folder)),
+    "predictions_saved": _saved("gameweek_predictions"),
     "importance_saved": _saved("feature_importance"),
-    "feature_importance_read": _saved("feature_importance"),
+    "feature_importance_read": importance_read,
+    "gameweek_job": gameweek_job,
+    "deployment_plan": deployment_plan,
+    "train_job_deployment": train_job_deployment,
     "prediction_sample": prediction_sample,
     "model_roundtrip": model_roundtrip,
     "train_job_summary": train_job_summary,

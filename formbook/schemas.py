@@ -164,8 +164,17 @@ RUN_SCHEMA = T.StructType(
         T.StructField("macro_f1", T.DoubleType()),
         T.StructField("as_of", T.TimestampNTZType()),
         T.StructField("test_from", T.TimestampNTZType()),
-        T.StructField("stage", T.StringType()),
+        T.StructField("artifact_path", T.StringType()),
+    ]
+)
+
+VERSION_SCHEMA = T.StructType(
+    [
+        T.StructField("experiment", T.StringType()),
         T.StructField("version", T.LongType()),
+        T.StructField("run_id", T.LongType()),
+        T.StructField("stage", T.StringType()),
+        T.StructField("as_of", T.TimestampNTZType()),
     ]
 )
 

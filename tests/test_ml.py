@@ -1,14 +1,28 @@
 import random
+import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
+from rows import MATCH_SCHEMA, match
 
+from formbook.ml import store, trees, tuning
+from formbook.ml.estimator import BoostedTrees
 from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, WorseThanChance, assemble, balanced_weights
 from formbook.ml.tuning import SearchSpace, best_params, cv_scores, top_trials, trial_table
 from formbook.operators.metrics import classification_metrics
-from formbook.plans.gameweek import class_probabilities, prediction_summary, predictions_flat, score
+from formbook.plans import train
+from formbook.plans.gameweek import class_probabilities, gameweek_job, prediction_summary, predictions_flat, score
 from formbook.plans.train import importance_table, top_importances
-from formbook.schemas import CLASSES, FEATURES
+from formbook.schemas import CLASSES, FEATURES, RUN_SCHEMA
+from formbook.sources import tables, views
 
 
 def rows(n, noise, seed=0):
@@ -132,22 +146,178 @@ def test_gameweek_scores(frame, spark):
     assert len(top) == 8 and top[0]["importance"] >= top[-1]["importance"]
 
 
-def test_train_job_promotes_only_a_better_model(spark, small, tmp_path):
-    from datetime import datetime
+SPACE = SearchSpace(n_estimators=(1, 2), max_depth=(5, 6), max_features=(None,))
+AS_OF = datetime(2001, 8, 1)
 
-    from formbook.plans.train import recorded_runs, train_job
-    from formbook.sources import views
 
-    space = SearchSpace(n_estimators=(1, 2), max_depth=(5, 6), max_features=(None,))
-    matches = views.matches(spark, small).dropna(subset=["home_goals"])
-    first, second = (
-        train_job(spark, matches, datetime(2001, 8, 1), str(tmp_path), space=space, trials=1, folds=2).first()
-        for _ in range(2)
-    )
-    assert first["promoted"] and not second["promoted"]  # the second one only equals it
+def test_train_job_promotes_only_a_better_model(spark, small, tmp_path):
+    root, matches = str(tmp_path), views.matches(spark, small).dropna(subset=["home_goals"])
+    first, second = (train.train_job(spark, matches, AS_OF, root, space=SPACE, trials=1, folds=2).first() for _ in range(2))
+    assert first["promoted"] and not second["promoted"]  # the second one only equals it, and the first stays the best
     assert (first["run_id"], second["run_id"]) == (1, 2)
-    stages = [(r["run_id"], r["stage"]) for r in recorded_runs(spark, str(tmp_path)).orderBy("run_id", "stage").collect()]
-    assert stages == [(1, "Production"), (1, "Staging"), (2, "Staging")]
+    assert [(r["deployed_run"], r["version"]) for r in (first, second)] == [(1, 1), (1, 1)]
+    assert {r["evaluation"] for r in (first, second)} == {r["deployment"] for r in (first, second)} == {"SUCCESS"}
+    stages = [(r["run_id"], r["stage"]) for r in train.recorded_versions(spark, root).orderBy("run_id", "stage").collect()]
+    assert stages == [(1, "Production"), (1, "Staging")]
+    assert [r["run_id"] for r in train.recorded_runs(spark, root).orderBy("run_id").collect()] == [1, 2]
     report = spark.read.csv(f"{tmp_path}/runs/2/classification_report", header=True)
     assert {"Draw", "Lose", "Win", "accuracy", "macro avg", "weighted avg"} == {r["label"] for r in report.collect()}
-    assert SammeModel.load(spark, f"{tmp_path}/models/Production").features == FEATURES
+    record = {r["name"]: r["value"] for r in spark.read.csv(f"{tmp_path}/runs/2/parameters", header=True).collect()}
+    assert (record["n_iter_search"], record["cv_folds"], record["model_name"]) == ("1", "2", "match_result")
+    model, held = store.load_stage(spark, root)
+    assert model.features == FEATURES and (held["run_id"], held["version"], held["stage"]) == (1, 1, "Production")
+
+
+def test_errors_after_the_fit_end_in_the_status(spark, small, tmp_path, monkeypatch):
+    def broken(*args, **kwargs):
+        raise OSError("no room")
+
+    monkeypatch.setattr(train, "write_report", broken)
+    matches = views.matches(spark, small).dropna(subset=["home_goals"])
+    done = train.train_job(spark, matches, AS_OF, str(tmp_path), space=SPACE, trials=1, folds=2, weeks=4).first()
+    assert done["evaluation"] == "FAILED: OSError: no room" and done["accuracy"] is None
+    assert done["deployment"] == "SUCCESS" and done["promoted"]  # nothing is in production yet
+    row = train.recorded_runs(spark, str(tmp_path)).first()
+    assert row["metric"] is None and row["test_from"] == AS_OF - timedelta(weeks=4)
+    monkeypatch.setattr(store, "register", broken)
+    again = train.train_job(spark, matches, AS_OF, str(tmp_path), space=SPACE, trials=1, folds=2).first()
+    assert again["deployment"] == "FAILED: OSError: no room" and again["promoted"] is None and again["run_id"] == 2
+
+
+def test_deploy_picks_the_best_run_not_the_newest(spark, frame, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(train.NothingToDeploy):
+        train.deploy(spark, root, AS_OF)
+    model = SammeClassifier(SammeParams(n_estimators=1, max_depth=1)).fit(assemble(frame(90, 0.1)))
+    for metric in (0.5, 0.7, 0.6, None):
+        run_id = store.new_run(spark, root)
+        model.save(spark, store.model_path(root, run_id))
+        line = (train.EXPERIMENT, run_id, "FINISHED", metric, metric, AS_OF, AS_OF, store.model_path(root, run_id))
+        spark.createDataFrame([line], RUN_SCHEMA).write.mode("append").parquet(f"{root}/{train.RUNS_TABLE}")
+    assert train.deploy(spark, root, AS_OF) == {"deployed_run": 2, "version": 1, "promoted": True}
+    assert train.deploy(spark, root, AS_OF) == {"deployed_run": 2, "version": 1, "promoted": False}
+    assert store.stage_metadata(spark, root, "Production")["run_id"] == 2
+    assert store.register(spark, root, 2) == 1 and store.register(spark, root, 3) == 2
+    with pytest.raises(store.NoModel):
+        store.load_stage(spark, root, "Archive")
+
+
+def test_run_ids_are_claimed_once(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        ids = list(pool.map(lambda _: store.new_run(spark, str(tmp_path)), range(24)))
+    assert sorted(ids) == list(range(1, 25))
+
+
+def test_a_stage_is_one_whole_model_during_a_save(spark, frame, tmp_path):
+    root, rows = str(tmp_path), assemble(frame(90, 0.1))
+    models = [SammeClassifier(SammeParams(n_estimators=n, max_depth=1, learning_rate=0.5)).fit(rows) for n in (1, 3)]
+    models[0].save(spark, store.model_path(root, 1))
+    store.set_stage(spark, root, "Production", 1, 1)
+    models[1].save(spark, store.model_path(root, 2))
+    assert len(store.load_stage(spark, root)[0].trees) == 1
+    half = tmp_path / "models" / "stages" / "Production" / "000000000009"
+    half.write_text('{"path": "')  # a marker whose writer died
+    assert store.load_stage(spark, root)[1]["run_id"] == 1
+    store.set_stage(spark, root, "Production", 2, 2)
+    assert len(store.load_stage(spark, root)[0].trees) == 3
+
+
+def test_gameweek_job_by_steps(spark, frame, tmp_path):
+    root = str(tmp_path)
+
+    def steps(as_of):
+        return {r["step"]: (r["status"], r["rows"]) for r in gameweek_job(spark, root, as_of).collect()}
+
+    none = steps(AS_OF)
+    assert none["load_model"] == ("FAILED", 0) and none["save_predictions"] == ("SKIPPED", 0)
+    model = SammeClassifier(SammeParams(n_estimators=2, max_depth=2, learning_rate=0.5)).fit(assemble(frame(90, 0.1)))
+    model.save(spark, store.model_path(root, 1))
+    store.set_stage(spark, root, "Production", 1, store.register(spark, root, 1))
+    assert steps(AS_OF)["fixtures"] == ("FAILED", 0)  # no tables yet
+    day = datetime(2000, 9, 1)
+    games = [match(i, "A" if i % 2 else "B", "B" if i % 2 else "A", i % 3, 1, day=213 + 7 * i) for i in range(12)]
+    tables.replace_table(spark.createDataFrame(games, MATCH_SCHEMA), "matches", root)
+    aliases = [("a", "A"), ("b", "B"), ("c", "C")]
+    tables.replace_table(spark.createDataFrame(aliases, "display_name string, source_name string"), "aliases", root)
+    week = [(1, "a", "b", day + timedelta(days=70)), (2, "a", "x", day + timedelta(days=71)), (3, "a", "c", day + timedelta(days=72))]
+    tables.replace_table(spark.createDataFrame(week, "fixture_id long, home_name string, away_name string, date timestamp_ntz"), "fixtures", root)
+    done = steps(day + timedelta(days=69))
+    assert done == {
+        "load_model": ("OK", 1), "fixtures": ("OK", 3), "skipped": ("OK", 1), "error": ("OK", 1), "predicted": ("OK", 1),
+        "save_predictions": ("OK", 1), "save_importances": ("OK", 8),
+    }
+    empty = steps(day + timedelta(days=400))
+    assert empty["fixtures"] == empty["predicted"] == ("OK", 0) and empty["save_predictions"] == ("SKIPPED", 0)
+    assert tables.scan_table(spark, "gameweek_predictions", root).count() == 1  # the empty week keeps the tables
+
+
+def test_flat_trees_vote_like_mllib(spark, frame):
+    rows = assemble(frame(300, 0.2).withColumn(FEATURES[3], F.when(F.col("match_id") % 5 > 0, F.col(FEATURES[3]))), invalid="keep")
+    known = rows.filter(f"{FEATURES[3]} is not null")
+    tree = RandomForestClassifier(numTrees=1, bootstrap=False, maxDepth=6, seed=3, featureSubsetStrategy="all").fit(known)
+    flat = trees.Forest([trees.flatten(tree)], [1.0])
+    scored = tree.transform(rows).withColumn("scores", trees.vote_scores(flat))  # NaN goes to the right in both
+    best = F.array_position("scores", F.array_max("scores")) - 1
+    assert scored.filter(best != F.col("prediction")).count() == 0 and scored.count() == 300
+
+
+def test_many_trees_are_one_expression(frame):
+    df = assemble(frame(100, 0.2))
+    model = SammeClassifier(SammeParams(n_estimators=4, max_depth=3, learning_rate=0.3)).fit(df)
+    many = SammeModel(model.trees * 150, model.alphas * 150, model.errors * 150, model.params)
+    start = time.perf_counter()
+    out = many.transform(df)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - start < 2
+    assert text.count("ArrowEvalPython") + text.count("ArrowUDF") <= 2 and text.count("UDF(") < 10
+    assert out.select("prediction").collect() == model.transform(df).select("prediction").collect()
+
+
+def test_prefixes_equal_shorter_fits(frame):
+    df = assemble(frame(200, 0.2)).cache()
+    params = SammeParams(n_estimators=5, max_depth=2, learning_rate=0.4)
+    model = SammeClassifier(params).fit(df)
+    assert SammeClassifier(replace(params, n_estimators=3)).fit(df).trees == model.prefix(3).trees
+    curve = {r["trees"]: r["accuracy"] for r in tuning.boosting_curve(model, df).collect()}
+    assert curve == pytest.approx({n: accuracy(model.prefix(n), df) for n in range(1, 6)})
+
+
+def test_shared_fits_score_like_separate_ones(frame, monkeypatch):
+    fixed = {"learning_rate": 0.4, "max_depth": 2, "min_samples_leaf": 1, "min_samples_split": 2, "max_features": None}
+    draws = [SammeParams(n_estimators=n, **fixed) for n in (4, 2, 4, 1)] + [SammeParams(n_estimators=2, **{**fixed, "max_depth": 1})]
+    fits = []
+    fit = SammeClassifier.fit
+    monkeypatch.setattr(SearchSpace, "draw", lambda self, trials, seed: draws[:trials])
+    monkeypatch.setattr(SammeClassifier, "fit", lambda self, df: (fits.append(self.params), fit(self, df))[1])
+    df = frame(150, 0.2)
+    shared = cv_scores(df, SearchSpace(), trials=5, folds=2).collect()
+    assert len(fits) == 4 and len(shared) == 10  # two distinct trees by two folds
+    fits.clear()
+    for i, params in enumerate(draws):
+        monkeypatch.setattr(SearchSpace, "draw", lambda self, trials, seed, p=params: [p])
+        alone = cv_scores(df, SearchSpace(), trials=1, folds=2).collect()
+        assert [r[1:] for r in alone] == [r[1:] for r in shared if r["trial"] == i]
+
+
+def test_estimator_in_a_saved_pipeline(frame, spark, tmp_path):
+    df = frame(200, 0.1)
+    data = assemble(df).select("match_id", *FEATURES, "label")
+    stages = [VectorAssembler(inputCols=FEATURES, outputCol="x"), BoostedTrees(featuresCol="x", numTrees=3, maxDepth=2, learningRate=0.5)]
+    Pipeline(stages=stages).save(f"{tmp_path}/plan")
+    model = Pipeline.load(f"{tmp_path}/plan").fit(data)
+    model.save(f"{tmp_path}/model")
+    again = PipelineModel.load(f"{tmp_path}/model")
+    columns = ["match_id", "probabilities", "prediction", "predicted_label"]
+    assert again.transform(data).select(*columns).collect() == model.transform(data).select(*columns).collect()
+    plain = SammeClassifier(SammeParams(n_estimators=3, max_depth=2, learning_rate=0.5)).fit(assemble(df))
+    assert model.stages[1].trees.trees == plain.trees and again.stages[1].getOrDefault("maxDepth") == 2
+
+
+def test_estimator_in_cross_validation(frame):
+    data = assemble(frame(200, 0.1)).select("features", "label")
+    boosted = BoostedTrees(numTrees=2, learningRate=0.5)
+    grid = ParamGridBuilder().addGrid(boosted.maxDepth, [1, 3]).build()
+    scorer = MulticlassClassificationEvaluator(metricName="accuracy")
+    found = CrossValidator(estimator=boosted, estimatorParamMaps=grid, evaluator=scorer, numFolds=2, seed=1).fit(data)
+    assert len(found.avgMetrics) == 2 and found.bestModel.transform(data).count() == 200
+    assert scorer.evaluate(found.bestModel.transform(data)) > 0.8

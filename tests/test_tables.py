@@ -14,7 +14,7 @@ from formbook.operators import split as sp
 from formbook.plans.dashboard import dashboard
 from formbook.plans.etl import run_etl
 from formbook.schemas import PLAYER_SCHEMA, ContractError
-from formbook.sources import landed, seasons, tables
+from formbook.sources import landed, pointers, seasons, tables
 
 
 def players(spark, rows):
@@ -253,3 +253,89 @@ def test_keyword_feed_breaks_ties(spark):
     for parts in (1, 5):
         feed = fixtures.keyword_feed(articles.repartition(parts), ["GOAL"], "en", n=3).collect()
         assert [r.source for r in feed] == ["z", "a", "b"]
+
+
+def numbered(spark, n):
+    return spark.range(n).withColumn("part", F.col("id") % 2)
+
+
+@pytest.mark.parametrize("part", [None, "part"])
+def test_a_frame_may_replace_the_table_it_reads(spark, tmp_path, part):
+    root = str(tmp_path)
+    first = tables.replace_table(numbered(spark, 10), "Counts", root, partition_by=part)
+    second = tables.replace_table(first.filter("id >= 4"), "counts", root, partition_by=part)
+    assert (first.count(), second.count()) == (10, 6)  # the old version stays for its readers
+    assert tables.replace_table(second.filter("id < 0"), "counts", root, partition_by=part).count() == 0
+    assert set(tables.scan_table(spark, "COUNTS", root).columns) == {"id", "part"}
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    tables.replace_table(numbered(spark, 3), "counts", root)
+    broken = numbered(spark, 5).withColumn("id", F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("gone")).cast("long")))
+    with pytest.raises(Exception, match="gone"):
+        tables.replace_table(broken, "counts", root)
+    assert tables.scan_table(spark, "counts", root).count() == 3
+    monkeypatch.setattr(tables, "_check", lambda *_: (_ for _ in ()).throw(tables.IncompleteWrite("counts")))
+    with pytest.raises(tables.IncompleteWrite):
+        tables.replace_table(numbered(spark, 5), "counts", root)
+    assert tables.scan_table(spark, "counts", root).count() == 3
+
+
+def test_old_versions_go_only_when_asked(spark, tmp_path):
+    for n in (1, 2, 3):
+        tables.replace_table(numbered(spark, n), "counts", str(tmp_path))
+    assert len(list((tmp_path / "counts" / "_versions").iterdir())) == 3
+    assert tables.replace_table(numbered(spark, 4), "counts", str(tmp_path), keep=2).count() == 4
+    assert len(list((tmp_path / "counts" / "_versions").iterdir())) == 2
+
+
+def test_a_plain_folder_becomes_a_replaced_table(spark, tmp_path):
+    numbered(spark, 2).write.parquet(f"{tmp_path}/counts")
+    assert tables.scan_table(spark, "counts", str(tmp_path)).count() == 2
+    tables.replace_table(numbered(spark, 7), "counts", str(tmp_path))
+    assert tables.scan_table(spark, "counts", str(tmp_path)).count() == 7
+
+
+def test_catalog_tables_are_swapped_by_a_view(spark, tmp_path):
+    name = "swap_" + tmp_path.name.replace("-", "_").lower()
+    numbered(spark, 2).write.option("path", f"{tmp_path}/plain").saveAsTable(name)
+    try:
+        first = tables.replace_table(numbered(spark, 5), name, partition_by="part")
+        assert first.count() == 5
+        assert tables.replace_table(spark.table(name).filter("id > 2"), name).count() == 2
+        with pytest.raises(Exception, match="gone"):
+            tables.replace_table(numbered(spark, 2).withColumn("id", F.raise_error(F.lit("gone")).cast("long")), name)
+        assert spark.table(name).count() == 2
+    finally:
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        for t in spark.catalog.listTables(pattern=f"{name}__v*"):
+            spark.sql(f"DROP TABLE {t.name}")
+
+
+def test_markers(spark, tmp_path):
+    folder = f"{tmp_path}/ids"
+    assert pointers.newest(spark, folder) is None
+    assert [pointers.claim(spark, folder, {"n": i}) for i in range(3)] == [1, 2, 3]
+    assert not pointers.create_only(spark, f"{folder}/000000000002", {})
+    (tmp_path / "ids" / "000000000004").write_text("")  # claimed by a writer that died
+    assert pointers.newest(spark, folder) == {"n": 2} and pointers.claim(spark, folder) == 5
+
+
+def test_deployment_plan_falls_back_and_compares(spark):
+    runs = spark.createDataFrame(
+        [("a", 1, "FINISHED", 0.5, "m/1"), ("a", 2, "FINISHED", 0.7, None), ("a", 3, "RUNNING", 0.9, "m/3"),
+         ("b", 4, "FINISHED", 0.6, None), ("c", 5, "FINISHED", None, "m/5"), ("d", 6, "FINISHED", 0.4, "m/6")],
+        "experiment string, run_id long, status string, metric double, artifact_path string",
+    )
+    versions = spark.createDataFrame(
+        [("a", 1, 3, "Production"), ("b", 2, 4, "Staging"), ("c", 3, 5, "Staging"), ("d", 4, 6, "Production")],
+        "experiment string, version long, run_id long, stage string",
+    )
+    rows = {r["experiment"]: r for r in rn.deployment_plan(runs, versions).collect()}
+    got = {e: (r["run_id"], r["source"], r["version"], r["production_metric"], r["promote"]) for e, r in rows.items()}
+    assert got == {
+        "a": (1, "run", None, 0.9, False), "b": (4, "registry", 2, None, True), "c": (5, "run", 3, None, True),
+        "d": (6, "run", 4, 0.4, False),
+    }
+    assert rn.deployment_plan(runs.limit(0), versions).count() == 0
