@@ -31,20 +31,24 @@ def latest_per_key(fixtures: DataFrame) -> DataFrame:
     return fixtures.groupBy("match_key").agg(last.alias("f")).select("match_key", "f.*")
 
 
-def matchweek_window(matches: DataFrame) -> DataFrame:
-    """All matches of the next and the previous matchday.
+def matchweeks(matches: DataFrame) -> DataFrame:
+    """``next_matchweek`` and ``previous_matchweek``, one row.
 
-    Next: matchday of the first scheduled match. Previous: highest matchday
-    among finished ones. A matchday that is both yields its rows twice.
+    Next: matchday of the first scheduled match. Previous: highest matchday among finished ones.
     """
     status = F.col("status")
     first_scheduled = F.when(
         status == "SCHEDULED", F.struct(F.col("date").isNull(), "date", "match_id", "matchday")
     )
-    weeks = matches.agg(
+    return matches.agg(
         F.min(first_scheduled)["matchday"].alias("next_matchweek"),
         F.max(F.when(status == "FINISHED", F.col("matchday"))).alias("previous_matchweek"),
-    ).unpivot([], ["next_matchweek", "previous_matchweek"], "week", "matchday")
+    )
+
+
+def matchweek_window(matches: DataFrame) -> DataFrame:
+    """All matches of the next and the previous matchday; a matchday that is both yields its rows twice."""
+    weeks = matchweeks(matches).unpivot([], ["next_matchweek", "previous_matchweek"], "week", "matchday")
     # Two rows by construction.
     return matches.join(F.broadcast(weeks), "matchday")
 

@@ -1,8 +1,8 @@
-"""Standings, matchweeks and news as one set of frames."""
+"""Standings, matchweeks, news and the matchweeks' numbers as one set of frames."""
 
 from pyspark.sql import DataFrame, functions as F
 
-from formbook.operators.fixtures import keyword_feed, matchweek_window
+from formbook.operators.fixtures import keyword_feed, matchweek_window, matchweeks
 from formbook.operators.leaderboard import league_table
 
 
@@ -16,4 +16,7 @@ def dashboard(
         "fixtures": weeks.filter(F.col("week") == "next_matchweek"),
         "results": weeks.filter(F.col("week") == "previous_matchweek"),
         "news": keyword_feed(articles, phrases, language),
+        "metadata": matchweeks(running).select(
+            F.col("next_matchweek").alias("next_mw"), F.col("previous_matchweek").alias("prev_mw")
+        ),
     }

@@ -440,6 +440,11 @@ SPLIT = """labelled AS (
   SELECT match_id, date, CASE WHEN date < TIMESTAMP '2001-06-20' THEN 'train'
     WHEN date >= TIMESTAMP '2001-06-20' THEN 'test' END AS split FROM matches)"""
 
+LEAGUE = f"""SELECT team, count(*) AS played, count(*) FILTER (WHERE points = 3) AS won, count(*) FILTER (WHERE points = 1) AS drawn,
+    count(*) FILTER (WHERE points = 0) AS lost, CAST(sum(goals) AS BIGINT) AS goals_for, CAST(sum(goals_conceded) AS BIGINT) AS goals_against,
+    CAST(sum(goals - goals_conceded) AS BIGINT) AS goal_difference, CAST(sum(points) AS BIGINT) AS points
+  FROM ({_lines("matches WHERE season = 1998 AND home_goals IS NOT NULL")}) GROUP BY team"""
+
 # --- model jobs over deterministic rows ----------------------------------------------------
 
 _P = {"draw": "CAST(fixture_id % 7 + 1 AS DOUBLE) / 16", "lose": "CAST((fixture_id // 7) % 7 + 1 AS DOUBLE) / 16"}
@@ -550,13 +555,40 @@ ORACLES: dict[str, str] = {
     "landed_matches_json": _on_matches(
         "SELECT match_id, date, status, matchday, home_team, away_team, home_goals, away_goals FROM matches"
     ),
+    "landed_documents_report": _on_matches(
+        """SELECT 'read' AS what, count(*) AS n FROM matches UNION ALL SELECT 'malformed', 2 UNION ALL SELECT 'no known field', 1"""
+    ),
+    "landed_standings": _on_matches(
+        f"""SELECT CAST(row_number() OVER (ORDER BY points DESC, goal_difference DESC, goals_for DESC, team) AS INTEGER) AS position, *
+        FROM ({LEAGUE})"""
+    ),
+    "landed_news": """SELECT CAST(row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id DESC) - 1 AS INTEGER) AS place,
+        left(text, 80) AS title, source, TIMESTAMP '2020-01-01' + to_minutes(doc_id) AS published FROM documents QUALIFY place < 10""",
+    "dashboard_bundle": _on_matches(
+        f"""SELECT part, rows, n AS next_mw, p AS prev_mw FROM (
+          SELECT 'standings' AS part, (SELECT count(*) FROM ({LEAGUE})) AS rows
+          UNION ALL SELECT 'fixtures', (SELECT count(*) FROM running, weeks WHERE matchday = n)
+          UNION ALL SELECT 'results', (SELECT count(*) FROM running, weeks WHERE matchday = p)
+          UNION ALL SELECT 'news', (SELECT least(10, count(*)) FROM documents
+            WHERE lang = 'en' AND (contains(lower(text), 'this is') OR contains(lower(text), 'and the')))), weeks""",
+        "running AS (SELECT * FROM matches WHERE season = 1998)",
+        """weeks AS (SELECT (SELECT matchday FROM running WHERE status = 'SCHEDULED' ORDER BY date, match_id LIMIT 1) AS n,
+          (SELECT max(matchday) FROM running WHERE status = 'FINISHED') AS p)""",
+    ),
     "records_json": _on_matches(
         """SELECT CAST(json_object('match_id', match_id, 'date', strftime(date, '%Y-%m-%d'), 'home_team', home_team,
         'away_team', away_team, 'home_goals', home_goals, 'away_goals', away_goals, 'status', lower(status)) AS VARCHAR) AS record FROM matches"""
     ),
     "etl_summary": _on_matches(
-        """SELECT 'SUCCESS' AS status, count(*) AS loaded_records, CAST(count(DISTINCT season) AS INTEGER) AS seasons_read,
-        CAST(max(season) + 1 AS VARCHAR) AS failed_seasons FROM matches"""
+        """SELECT 'SUCCESS' AS status, count(*) AS extracted_records, count(*) AS transformed_records, count(*) AS loaded_records,
+        CAST(count(DISTINCT season) AS INTEGER) AS seasons_read,
+        CAST(max(season) + 1 AS VARCHAR) || ',' || CAST(max(season) + 2 AS VARCHAR) AS failed_seasons,
+        CAST(1 AS INTEGER) AS files_left_out FROM matches"""
+    ),
+    "season_read_report": _on_matches(
+        """SELECT CAST(min(season) AS INTEGER) AS season, true AS single_file, 'no Parquet file' AS reason FROM matches
+        UNION ALL SELECT CAST(max(season) + 1 AS INTEGER), false, 'no rows' FROM matches
+        UNION ALL SELECT CAST(max(season) + 2 AS INTEGER), false, 'PATH_NOT_FOUND' FROM matches"""
     ),
     "drop_columns": _all("matches"),
     "column_contract": _on_matches(_contract()),
@@ -620,12 +652,7 @@ ORACLES: dict[str, str] = {
     **{f"top_teams_{s}": _top_team(s) for s in TEAM_STATS},
     "top_teams_created_chances": f"WITH {PLAYERS} SELECT rank, team, {_r('created_chances')} FROM ({_top('team, created_chances', CHANCES, 'created_chances DESC, team')})",
     "leaderboards_all": _boards(),
-    "league_table": _on_matches(
-        f"""SELECT team, count(*) AS played, count(*) FILTER (WHERE points = 3) AS won, count(*) FILTER (WHERE points = 1) AS drawn,
-          count(*) FILTER (WHERE points = 0) AS lost, CAST(sum(goals) AS BIGINT) AS goals_for, CAST(sum(goals_conceded) AS BIGINT) AS goals_against,
-          CAST(sum(goals - goals_conceded) AS BIGINT) AS goal_difference, CAST(sum(points) AS BIGINT) AS points
-        FROM ({_lines("matches WHERE season = 1998 AND home_goals IS NOT NULL")}) GROUP BY team"""
-    ),
+    "league_table": _on_matches(LEAGUE),
     "distinct_teams": _on_matches("SELECT home_team AS team FROM matches UNION SELECT away_team FROM matches"),
     "classification_metrics": f"WITH {PREDICTIONS} SELECT {_r('sum(hits) / sum(support)', 'accuracy')}, {', '.join(_r(v, n) for n, v in WEIGHTED.items())} FROM scores",
     "per_class_metrics": f"WITH {PREDICTIONS} SELECT label, hits, predicted, support, {_r('precision')}, {_r('recall')}, {_r('f1')} FROM scores",

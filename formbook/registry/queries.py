@@ -5,6 +5,7 @@ Doubles are rounded to six places, as in the oracle SQL.
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,6 +27,7 @@ from formbook.operators.timeline import team_rows
 from formbook.plans import features as ft
 from formbook.plans import gameweek as gw
 from formbook.plans import train as tr
+from formbook.plans.dashboard import dashboard
 from formbook.plans.etl import run_etl
 from formbook.plans.leaderboards import analytics_snapshot, refresh_leaderboards
 from formbook.plans.scoring import asof_features, scoring_features, upcoming
@@ -60,13 +62,17 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def _season_files(spark: SparkSession, folder: str) -> dict[int, str]:
-    """Matches landed as one folder per season, plus one season that never arrived."""
+    """Matches landed as one folder per season; one holds a broken file too, one is empty, one never arrived."""
     path = new_path(spark, "seasons")
     extra = {c: F.lit(0) for c in DROPPABLE_COLUMNS}
     df = views.matches(spark, folder).withColumns(extra)
     df.hint("rebalance", "season").write.partitionBy("season").parquet(path)
     landed_seasons = [r["season"] for r in spark.read.parquet(path).select("season").distinct().collect()]
-    return {s: f"{path}/season={s}" for s in [*landed_seasons, max(landed_seasons) + 1]}
+    last = max(landed_seasons)
+    broken = spark.createDataFrame([("no Parquet",)], "value string").coalesce(1)
+    broken.write.mode("append").text(f"{path}/season={min(landed_seasons)}")
+    df.drop("season").limit(0).write.parquet(f"{path}/season={last + 1}")
+    return {s: f"{path}/season={s}" for s in [*landed_seasons, last + 1, last + 2]}
 
 
 def season_union(spark, folder):
@@ -78,6 +84,13 @@ def etl_summary(spark, folder):
     return run_etl(spark, _season_files(spark, folder), new_path(spark, "warehouse"))
 
 
+def season_read_report(spark, folder):
+    """What a read of the landed seasons left out, without the files' own names."""
+    _, problems = seasons.read_seasons_reported(spark, _season_files(spark, folder))
+    lines = [(season, file is not None, reason) for season, file, reason in problems]
+    return spark.createDataFrame(lines, "season int, single_file boolean, reason string")
+
+
 def season_coverage(spark, folder):
     return seasons.season_coverage(views.matches(spark, folder), 1992, dt.datetime(2003, 8, 15))
 
@@ -118,6 +131,43 @@ def landed_matches_json(spark, folder):
     return landed.read_landed_matches(spark, path)
 
 
+def landed_documents_report(spark, folder):
+    """Match lists with broken documents among them: rows read, and documents left out by reason."""
+    path = new_path(spark, "landed")
+    landed.as_documents(views.matches(spark, folder)).write.json(path)
+    wrong = ['{"matches": [{"id": ', '{"other": 1}', "no JSON"]
+    spark.createDataFrame([(w,) for w in wrong], "value string").write.mode("append").text(path)
+    good, bad = landed.read_documents(spark, path, landed.LANDED_SCHEMA)
+    read = landed.match_rows_of(good).agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("what"), "n")
+    return read.unionByName(bad.groupBy(F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def landed_standings(spark, folder):
+    path = new_path(spark, "landed")
+    landed.as_standings(league_table(spark, folder)).write.json(path)
+    return landed.standings_of(landed.read_documents(spark, path, landed.STANDINGS_SCHEMA)[0])
+
+
+def landed_news(spark, folder):
+    """The first ten articles of every page of a hundred."""
+    path = new_path(spark, "landed")
+    day = F.timestamp_add("MINUTE", F.col("published"), F.lit("2020-01-01").cast("timestamp_ntz"))
+    articles = views.articles(spark, folder).select(
+        F.col("published").alias("id"), day.alias("published"), F.substring("text", 1, 80).alias("title"), "source"
+    )
+    landed.as_news(articles).write.json(path)
+    return landed.news_of(landed.read_documents(spark, path, landed.NEWS_SCHEMA)[0]).select("place", "title", "source", "published")
+
+
+def dashboard_bundle(spark, folder):
+    """Rows of every part of the dashboard, and the matchweeks' numbers."""
+    parts = dashboard(views.matches(spark, folder), SEASON, views.articles(spark, folder), FEED_PHRASES)
+    weeks = parts.pop("metadata")
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("part"), "rows") for n, df in parts.items()]
+    numbers = [weeks.select(n).scalar().alias(n) for n in ("next_mw", "prev_mw")]
+    return reduce(DataFrame.unionByName, counts).select("part", "rows", *numbers)
+
+
 def records_json(spark, folder):
     df = views.matches(spark, folder).select(
         "match_id", "date", "home_team", "away_team", "home_goals", "away_goals",
@@ -543,6 +593,7 @@ def train_job_summary(spark, folder):
 QUERIES: dict[str, Query] = {
     # sources, sinks
     "season_union": season_union,
+    "season_read_report": season_read_report,
     "season_coverage": season_coverage,
     "player_season_stats": player_season_stats,
     "scan_matches": scan_matches,
@@ -550,6 +601,10 @@ QUERIES: dict[str, Query] = {
     "analytics_snapshot": analytics,
     "predictions_by_date": predictions_by_date,
     "landed_matches_json": landed_matches_json,
+    "landed_documents_report": landed_documents_report,
+    "landed_standings": landed_standings,
+    "landed_news": landed_news,
+    "dashboard_bundle": dashboard_bundle,
     "records_json": records_json,
     "etl_summary": etl_summary,
     # projections, filters, contracts

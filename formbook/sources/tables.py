@@ -82,10 +82,10 @@ def replace_table(
     spark, name = df.sparkSession, name.lower()
     require(df, required or [], name)
     written = Observation()
-    fresh = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        fresh = fresh.hint("rebalance", partition_by)
-    writer = fresh.write.format("parquet")
+        df = df.hint("rebalance", partition_by)
+    # Counted in the tasks that write, which count once however often a task before them is repeated.
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if root:

@@ -200,7 +200,8 @@ def test_etl(spark, make, tmp_path):
     paths = season_files(make, tmp_path, {1: [match(0, "A", "B", 1, 0)], 2: [], 3: [match(1, "B", "A", 1, 0)]})
     paths[4] = f"{tmp_path}/never"
     status = run_etl(spark, paths, f"{tmp_path}/warehouse").first()
-    assert (status["status"], status["loaded_records"], status["failed_seasons"]) == ("SUCCESS", 2, "4")
+    assert (status["status"], status["loaded_records"], status["failed_seasons"]) == ("SUCCESS", 2, "2,4")  # the empty season has failed too
+    assert (status["extracted_records"], status["transformed_records"], status["files_left_out"]) == (2, 2, 0)
     loaded = tables.scan_table(spark, "matches", f"{tmp_path}/warehouse")
     assert "game_id" not in loaded.columns
     assert sorted(r["season"] for r in loaded.collect()) == [1, 3]
@@ -225,7 +226,8 @@ def test_dashboard(spark, small):
     from formbook.sources import views
 
     parts = dashboard(views.matches(spark, small), 1998, views.articles(spark, small), ["the"])
-    assert set(parts) == {"standings", "fixtures", "results", "news"}
+    assert set(parts) == {"standings", "fixtures", "results", "news", "metadata"}
+    assert parts["metadata"].columns == ["next_mw", "prev_mw"] and parts["metadata"].count() == 1
     assert parts["news"].count() == 10 and parts["standings"].count() > 0
 
 
@@ -247,6 +249,45 @@ def test_broken_and_pretty_documents(spark, tmp_path):
         landed.read_landed_matches(spark, str(tmp_path), multi_line=True).collect()
 
 
+def test_half_corrupt_season_loses_only_its_corrupt_files(spark, tmp_path):
+    folder = tmp_path / "1"
+    spark.range(0, 4000).repartition(2).write.parquet(str(folder))
+    spark.range(0, 10).filter("id < 0").coalesce(1).write.mode("append").parquet(str(folder))  # rightly empty
+    (folder / "part-x.parquet").write_text("no parquet")
+    whole = sorted(folder.glob("*.parquet"), key=lambda f: f.stat().st_size)[-1]
+    data = bytearray(whole.read_bytes())
+    data[4 : len(data) // 2] = bytes(len(data) // 2 - 4)  # pages broken, footer whole
+    whole.write_bytes(data)
+    for crc in folder.glob(".*.crc"):
+        crc.unlink()
+    spark.range(7).write.parquet(str(tmp_path / "2"))
+    rows, problems = seasons.read_seasons_reported(spark, {1: str(folder), 2: str(tmp_path / "2"), 3: str(tmp_path / "no")})
+    found = {(season, file and file.rsplit("/", 1)[-1]): reason for season, file, reason in problems}
+    assert found == {
+        (1, "part-x.parquet"): "no Parquet file", (1, whole.name): "corrupt: not all rows can be read", (3, None): "PATH_NOT_FOUND",
+    }
+    assert rows.groupBy("season").count().orderBy("season").collect() == [(1, 2000), (2, 7)]
+
+
+def test_broken_documents_are_told(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"matches": [{"id": 7}]}\n{"matches": [{"id": \n{"other": 1}\n')
+    good, bad = landed.read_documents(spark, str(tmp_path), landed.LANDED_SCHEMA)
+    assert [r.match_id for r in landed.match_rows_of(good).collect()] == [7]
+    told = sorted((r["reason"], r["document"], r["file"].rsplit("/", 1)[-1]) for r in bad.collect())
+    assert told == [("malformed", '{"matches": [{"id": ', "a.json"), ("no known field", None, "a.json")]
+
+
+def test_standings_and_news(spark, tmp_path):
+    standings = '{"standings": [{"table": [{"position": 1, "team": {"name": "A"}, "points": 9, "draw": 0}]}, {"table": []}]}'
+    (tmp_path / "s.json").write_text(standings)
+    row = landed.standings_of(landed.read_documents(spark, str(tmp_path / "s.json"), landed.STANDINGS_SCHEMA)[0]).first()
+    assert (row["position"], row["team"], row["points"], row["drawn"], row["won"]) == (1, "A", 9, 0, None)
+    items = ",".join(f'{{"title": "t{i}", "source": null, "publishedAt": "2020-01-0{i % 9 + 1}T10:00:00Z"}}' for i in range(12))
+    (tmp_path / "n.json").write_text(f'{{"articles": [{items}]}}')
+    news = landed.news_of(landed.read_documents(spark, str(tmp_path / "n.json"), landed.NEWS_SCHEMA)[0]).collect()
+    assert [r["title"] for r in news] == [f"t{i}" for i in range(10)] and news[0]["published"] == dt.datetime(2020, 1, 1, 10)
+
+
 def test_keyword_feed_breaks_ties(spark):
     rows = [("en", "Goal late", 5, c) for c in "dbac"] + [("en", "goal", 6, "z"), ("de", "goal", 9, "y"), ("en", "none", 9, "x")]
     articles = spark.createDataFrame(rows, "lang string, text string, published int, source string")
