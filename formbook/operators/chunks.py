@@ -109,6 +109,10 @@ def time_chunks(
 def with_position(df: DataFrame, chunks: TimeChunks) -> DataFrame:
     """Add ``position``, the 0-based ordinal by (date, id), and ``total`` rows."""
     order = [F.col(chunks.date).asc_nulls_last(), F.col(chunks.id)]
+    total = F.lit(chunks.rows).cast("long")
+    if not chunks:  # one chunk of bounded size
+        whole = F.row_number().over(Window.orderBy(*order)).cast("long")
+        return df.withColumn("position", whole - 1).withColumn("total", total)
     df = chunks.assign(df)
     before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sizes = df.groupBy("chunk").agg(F.count(F.lit(1)).alias("_n"))  # one row per chunk
@@ -118,6 +122,6 @@ def with_position(df: DataFrame, chunks: TimeChunks) -> DataFrame:
         df.withColumn("_row", F.row_number().over(inside))
         .join(offsets, "chunk")
         .withColumn("position", F.col("_offset") + F.col("_row") - 1)
-        .withColumn("total", F.lit(chunks.rows).cast("long"))
+        .withColumn("total", total)
         .drop("chunk", "_row", "_offset")
     )

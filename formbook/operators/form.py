@@ -61,13 +61,48 @@ def venue_form_latest(matches: DataFrame) -> DataFrame:
     )
 
 
+def form_of_teams(matches: DataFrame) -> DataFrame:
+    """One row per team: averages and points of its newest five rows, results of its newest five at each venue.
+
+    The newest five at either venue hold the newest five overall, so one pass ranks both: the first limit works before
+    the shuffle, and ten rows a team are left for the second. Null where a team has no row at a venue.
+    """
+    order = F.col("date").desc_nulls_first(), F.col("match_id").desc()
+    rows = team_rows(matches).filter(F.col("team").isNotNull())
+    at_venue = F.row_number().over(Window.partitionBy("team", "side").orderBy(*order))
+    rows = rows.withColumn("_at_venue", at_venue).filter(F.col("_at_venue") <= WINDOW)
+    recent = F.row_number().over(Window.partitionBy("team").orderBy(*order)) <= WINDOW
+    rows = rows.withColumn("_recent", recent)
+
+    def overall(stat: str) -> Column:
+        return F.when(F.col("_recent"), F.col(stat))
+
+    def venue(side: str) -> list[Column]:
+        here = F.col("side") == side
+        used = F.count(F.when(here, 1))
+
+        def count(points: int) -> Column:
+            return F.count(F.when(here & (F.col("points") == points), 1))
+
+        found = {"wins": count(3), "draws": count(1), "losses": count(0), "win_rate": F.round(count(3) / F.greatest(used, F.lit(1)), 4)}
+        return [F.when(used > 0, value).alias(f"{side}_{name}") for name, value in found.items()]
+
+    return rows.groupBy("team").agg(
+        *[F.round(F.avg(overall(s)), 4).alias(f"{s}_avg") for s in AVERAGED],
+        F.coalesce(F.sum(overall("points")), F.lit(0)).alias("points_sum"),
+        *venue("home"),
+        *venue("away"),
+    )
+
+
 def _lines(matches: DataFrame, fixtures: DataFrame) -> DataFrame:
     """Matches and fixtures on one team timeline; ``known`` marks the matches.
 
     Matches older than every fixture matter only as the newest five per team
     and side, and that limit is applied before the shuffle.
     """
-    first, last = fixtures.agg(F.min("date")).scalar(), fixtures.agg(F.max("date")).scalar()
+    span = fixtures.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last"))).scalar()
+    first, last = span["first"], span["last"]
     rows = team_rows(matches.filter(F.col("date") < last))
     newest = Window.partitionBy("team", "side").orderBy(F.col("date").desc(), F.col("match_id").desc())
     old = (

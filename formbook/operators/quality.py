@@ -2,36 +2,34 @@
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from formbook.functions.season import ntz
 from formbook.schemas import REQUIRED_COLUMNS
 
 
-def row_audit(stages: dict[str, DataFrame], before: DataFrame, notes: dict[str, str]) -> DataFrame:
-    """Rows before and after each step, with what was dropped and kept overall.
+AUDIT_SCHEMA = (
+    "step int, name string, before long, after long, dropped long, retained_pct double, note string"
+)
 
-    The steps nest, so their plans share the shuffles of the steps before.
-    """
-    counts = before.agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).alias("step"), "n")
-    for i, df in enumerate(stages.values(), 1):
-        counts = counts.unionByName(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("step"), "n"))
-    # One row per step from here on.
-    counts = counts.groupBy().pivot("step", list(range(len(stages) + 1))).agg(F.first("n"))
-    start = F.col("0")
-    steps = [
-        F.struct(
-            F.lit(i).alias("step"),
-            F.lit(name).alias("name"),
-            F.col(str(i - 1)).alias("before"),
-            F.col(str(i)).alias("after"),
-            (F.col(str(i - 1)) - F.col(str(i))).alias("dropped"),
-            F.round(100.0 * F.try_divide(F.col(str(i)), start), 2).alias("retained_pct"),
-            F.lit(notes.get(name, "")).alias("note"),
-        )
-        for i, name in enumerate(stages, 1)
+
+def audit_lines(spark: SparkSession, counts: list[tuple[str, int]], notes: dict[str, str]) -> DataFrame:
+    """Rows before and after each step, with what was dropped and kept overall; ``counts`` begins with the input's."""
+    start = counts[0][1]
+    lines = [
+        (i, name, before, after, before - after, round(100.0 * after / start, 2) if start else None, notes.get(name, ""))
+        for i, ((_, before), (name, after)) in enumerate(zip(counts, counts[1:]), 1)
     ]
-    return counts.select(F.explode(F.array(*steps)).alias("s")).select("s.*")
+    return spark.createDataFrame(lines, AUDIT_SCHEMA)
+
+
+def observed(observation: Observation) -> int:
+    """Rows that passed an observed point; none if Spark knew beforehand that there are none."""
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        return 0
 
 
 def column_contract(df: DataFrame, required: list[str] = REQUIRED_COLUMNS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from formbook.operators.quality import observed
 from formbook.schemas import REQUIRED_COLUMNS
 from formbook.sources.seasons import drop_columns, read_seasons_reported
 from formbook.sources.tables import replace_table
@@ -26,5 +27,5 @@ def run_etl(spark: SparkSession, paths: dict[int, str], root: str | None = None)
     transformed = drop_columns(extracted.observe(read, F.count(F.lit(1)).alias("rows")))
     table = replace_table(transformed, MATCH_TABLE, root, required=REQUIRED_COLUMNS, partition_by="season")
     loaded = table.count()  # from the footers; ``replace_table`` has held them against the rows sent
-    line = ("SUCCESS", read.get["rows"], loaded, loaded, len(paths) - len(failed), ",".join(map(str, failed)), left_out)
+    line = ("SUCCESS", observed(read), loaded, loaded, len(paths) - len(failed), ",".join(map(str, failed)), left_out)
     return spark.createDataFrame([line], STATUS)

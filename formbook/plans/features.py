@@ -4,12 +4,14 @@ Stages cascade: each trailing window runs over the matches that survived the
 stage before. ``mode="single_pass"`` computes all windows over all matches.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from formbook.functions.columns import flag, require, result_of
 from formbook.operators.chunks import ROWS_PER_CHUNK, TimeChunks, time_chunks
+from formbook.operators.quality import audit_lines, observed
 from formbook.operators.timeline import match_rows, team_rows
 from formbook.operators.trailing import full_sum, history_rows, match_order, part_keys
 from formbook.schemas import REQUIRED_COLUMNS, WINDOW
@@ -165,8 +167,9 @@ def feature_stages(
     mode: str = "cascaded",
     rows_per_chunk: int = ROWS_PER_CHUNK,
     chunks: TimeChunks | None = None,
+    seen: dict[str, Observation] | None = None,
 ) -> dict[str, DataFrame]:
-    """Match rows after each stage, by stage name.
+    """Match rows after each stage, by stage name; ``seen`` counts the rows of the stages it names as they pass.
 
     Tables of more than ``rows_per_chunk`` matches are cut into time chunks;
     what a further stage reads is then checkpointed, since it is read twice.
@@ -192,6 +195,8 @@ def feature_stages(
         if mode == "cascaded":
             df = add_form(df, form)
         df = df.dropna(subset=form.needed)
+        if seen and name in seen:
+            df = df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
         if mode == "cascaded" and chunks and name != last:
             df = cut(df)
         stages[name] = df
@@ -205,3 +210,23 @@ def feature_stages(
 def match_features(matches: DataFrame, mode: str = "cascaded", **options) -> DataFrame:
     """Matches with full form on both sides, plus the 27 model features."""
     return feature_stages(matches, mode, **options)["derived_features"]
+
+
+def audited_features(
+    matches: DataFrame, mode: str = "cascaded", rows_per_chunk: int = ROWS_PER_CHUNK
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The features, and what tells their row audit once an action on them has run.
+
+    Rows are counted while the features are computed, without a scan of their own: each stage is read once, or written
+    to a checkpoint where it is counted. A task repeated because its output was lost counts again.
+    """
+    chunks = time_chunks(matches, rows_per_chunk)
+    seen = {name: Observation() for name in ("rolling_averages", "points_last5", "venue_form_rolling")}
+    features = feature_stages(matches, mode, chunks=chunks, seen=seen)["derived_features"]
+
+    def audit() -> DataFrame:
+        counts = [("", chunks.rows), ("feature_engineering", chunks.rows)]
+        counts += [(name, observed(observation)) for name, observation in seen.items()]
+        return audit_lines(matches.sparkSession, [*counts, ("derived_features", counts[-1][1])], STAGES)
+
+    return features, audit

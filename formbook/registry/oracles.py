@@ -633,6 +633,7 @@ ORACLES: dict[str, str] = {
     "match_features_chunked": _featured(FEATURES, extra="result, "),
     "match_features_single_pass": _featured(FEATURES, cascaded=False, extra="result, "),
     "row_audit": _on_matches(AUDIT, _features(True)),
+    "row_audit_chunked": _on_matches(AUDIT, _features(True)),
     "result_distribution": _on_matches("SELECT result, count(*) AS n FROM basic GROUP BY result", BASIC),
     "gameweek_fixtures": f"WITH {SCHEDULE} SELECT fixture_id, home_name, away_name, date, home_name || ' vs ' || away_name AS match_key, strftime(date, '%Y-%m-%d') AS match_date FROM upcoming",
     "alias_mapped": f"WITH {SCHEDULE} SELECT * FROM mapped",

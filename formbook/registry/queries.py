@@ -284,8 +284,16 @@ def match_features_single_pass(spark, folder):
 
 
 def row_audit(spark, folder):
-    df = views.matches(spark, folder)
-    return ql.row_audit(ft.feature_stages(df), df, ft.STAGES)
+    features, audit = ft.audited_features(views.matches(spark, folder))
+    features.write.format("noop").mode("overwrite").save()
+    return audit()
+
+
+def row_audit_chunked(spark, folder):
+    """The same over time chunks, whose stages are counted as they are checkpointed."""
+    features, audit = ft.audited_features(views.matches(spark, folder), rows_per_chunk=4000)
+    features.write.format("noop").mode("overwrite").save()
+    return audit()
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -633,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "match_features_chunked": match_features_chunked,
     "match_features_single_pass": match_features_single_pass,
     "row_audit": row_audit,
+    "row_audit_chunked": row_audit_chunked,
     "result_distribution": result_distribution,
     # scoring
     "gameweek_fixtures": gameweek_fixtures,

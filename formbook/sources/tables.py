@@ -7,11 +7,11 @@ find: by a pointer in the table's folder, or by a view over a fresh catalog tabl
 import json
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from formbook.functions.columns import nan_to_null, require
+from formbook.operators.quality import observed
 from formbook.sources import pointers
 
 
@@ -97,11 +97,7 @@ def replace_table(
 
 def _check(found: DataFrame, written: Observation, name: str) -> None:
     """Rows are counted from the footers of the files."""
-    rows = found.count()
-    try:
-        expected = written.get["rows"]
-    except Py4JJavaError:  # nothing was observed: Spark knew that the frame is empty
-        expected = 0
+    rows, expected = found.count(), observed(written)
     if rows != expected:
         raise IncompleteWrite(f"{name}: {rows} rows of {expected}")
 
