@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from formbook.llm.common import other_columns, quoted, row_columns, row_of, schema_after, staged
 from formbook.llm.scan import slices
 
 TRAIN_DOCS = 20_000  # distinct labelled texts used for fitting, chosen by hash
@@ -107,14 +108,17 @@ def _fit(rows: list[tuple[int, int, list[list[int]]]], names: list[str], start:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_docs: int = TRAIN_DOCS) -> NoisyOr:
-    """Fit on ``text`` and ``label`` (0 or 1; null labels are left out).
+    """Fit on ``text`` and ``label`` (0 or 1; null labels are left out), a row ``copies`` times if there is such a column.
 
     At most ``train_docs`` distinct texts with their label, those with the smallest text hash, are used, weighted by their copies; that
     and the number of features bound what the driver holds. Features are picked by how much oftener they occur in toxic documents.
     With one class only, the model gives every text the same score, 0 or 1.
     """
-    rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"))
-    rows = rows.filter(F.col("y").isNotNull()).groupBy("text", "y").agg(F.count(F.lit(1)).alias("copies"))
+    copies = F.col("copies") if "copies" in labelled.columns else F.lit(1)
+    rows = labelled.select(
+        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"), copies.cast("long").alias("copies")
+    )
+    rows = rows.filter(F.col("y").isNotNull()).groupBy("text", "y").agg(F.sum("copies").alias("copies"))
     rows = rows.orderBy(F.xxhash64("text"), "y", "text").limit(train_docs)
     rows = rows.repartition(max(1, train_docs // 500)).cache()
     totals = rows.agg(F.sum("copies").alias("n"), F.sum(F.col("y") * F.col("copies")).alias("toxic")).first()
@@ -160,9 +164,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", train_doc
 def scored(docs: DataFrame, model: NoisyOr, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, 0 to 1. Null and empty texts have the score of the leak alone.
 
-    A column named ``score`` is replaced.
+    A column named ``score``, in any case, is replaced.
     """
-    rest = [c for c in docs.columns if c != "score"]
+    rest = other_columns(docs, ["score"])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES weights at most
 
     def score(batches):
@@ -171,10 +175,9 @@ def scored(docs: DataFrame, model: NoisyOr, text: str = "text") -> DataFrame:
             out = [shared.value.score(t or "", memo) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.float64())], ["_row", "score"])
 
-    packed = docs.select(F.struct(*rest).alias("_row"), F.col(text).cast("string").alias("_text"))
-    kind = packed.schema["_row"].dataType.simpleString()
-    done = packed.mapInArrow(score, f"_row {kind}, score double")
-    return done.select(*[F.col("_row").getField(c).alias(c) for c in rest], "score")
+    packed = docs.select(row_of(rest).alias("_row"), quoted(text).cast("string").alias("_text"))
+    done = packed.mapInArrow(score, schema_after(packed, ["_row"], "score double"))
+    return done.select(*row_columns(rest), "score")
 
 
 def offending(docs: DataFrame, model: NoisyOr, id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
@@ -196,7 +199,29 @@ def held_out(id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``text, label`` of labelled documents that are not held out. An id labelled twice is toxic if any label says so."""
+def training_rows(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS
+) -> DataFrame:
+    """``text, label, copies``: at most ``train_docs`` distinct labelled texts of documents that are not held out.
+
+    Those of the smallest text hash, with the number of labelled documents that have them. An id labelled twice is
+    toxic if any label says so. Texts are told apart by their 64-bit hash; only hashes meet the labels, and only the
+    texts chosen are shuffled.
+    """
     marks = labels.filter(~held_out(id)).groupBy(id).agg(F.max("toxic").alias("label"))
-    return docs.select(id, text).join(marks, id).select(F.col(text).alias("text"), "label")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    hashed = docs.select(id, F.xxhash64(body).alias("h")).join(marks, id).filter(F.col("label").isNotNull())
+    found = staged(hashed.groupBy("h", "label").agg(F.count(F.lit(1)).alias("copies")), "labelled_hashes")
+    # The smallest hashes by their leading bits, of which there are 65 536, before anything is sorted.
+    lead, held, least = F.shiftright("h", 48), 0, None
+    for r in sorted(found.groupBy(lead.alias("lead")).count().collect()):
+        held += r["count"]
+        if held >= train_docs:
+            least = r["lead"]
+            break
+    if least is not None:
+        found = found.filter(lead <= least)
+    chosen = found.orderBy("h", "label").limit(train_docs)
+    wanted = F.broadcast(chosen.select("h").distinct())  # ``train_docs`` hashes at most
+    texts = docs.select(body.alias("text")).withColumn("h", F.xxhash64("text")).join(wanted, "h")
+    return texts.groupBy("h").agg(F.min("text").alias("text")).join(chosen, "h").select("text", "label", "copies")
