@@ -22,24 +22,20 @@ WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)  # every residue is a difference of two cover members
 BUCKET_BYTES = 16 << 20  # text per bucket of the hash space
 FLUSH = 1 << 20  # entries held before they are sent
+ROWS = 100_000  # positions in an output batch
 
 KEY = ["late", "id", "t1"]  # document order: null ids last, then id, then text hash
 _doc = np.dtype([("late", "i1"), ("id", "i8"), ("t1", "i8")])
 _entry = np.dtype([("h1", "u8"), ("h2", "u8"), ("doc", "i4"), ("pos", "i4"), ("n", "i1")])
-PLACES = "late byte, id long, t1 long, at binary"
+PLACES = "late byte, id long, t1 long, at int"
 
 
 def _places(docs: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of positions, packed per document."""
-    if not len(doc):
-        return
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order].astype("<i4")
-    at = np.concatenate([[0], np.flatnonzero(doc[1:] != doc[:-1]) + 1, [len(doc)]])
-    head = docs[doc[at[:-1]]]
-    blobs = [pos[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-    columns = [pa.array(np.ascontiguousarray(head[k])) for k in KEY]
-    yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], [*KEY, "at"])
+    """A row per position; their number does not depend on that of the buckets."""
+    for lo in range(0, len(doc), ROWS):
+        head = docs[doc[lo : lo + ROWS]]
+        columns = [pa.array(np.ascontiguousarray(head[k])) for k in KEY]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(pos[lo : lo + ROWS].astype(np.int32))], [*KEY, "at"])
 
 
 def _ranked(docs: np.ndarray) -> np.ndarray:
@@ -145,13 +141,13 @@ def _resolve(blobs: DataFrame, buckets: int, earliest: bool) -> DataFrame:
         if held:
             yield from _settle(held, bucket >= buckets, earliest)
 
-    dealt = blobs.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = dealt.mapInArrow(settle, PLACES)
     return found.groupBy(*KEY).agg(F.collect_list("at").alias("at"))
 
 
-def _positions(blobs: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(blobs or ()), "<i4")).astype(np.int64)
+def _positions(at: list[int] | None) -> np.ndarray:
+    return np.unique(np.array(at or (), np.int64))
 
 
 def _hashes(text: bytes, lane: int = 0) -> np.ndarray:
