@@ -2,7 +2,8 @@
 
 Each half of a vector is quantised on its own, so ``k`` centroids per half make ``k * k``
 cells. A query walks the pairs of centroids from the best summed score down, with a heap, until the cells visited hold the wanted
-share of all entries; those entries are scored exactly. Entries and queries meet in blocks of bounded size.
+share of all entries; those entries are scored exactly. Entries and queries meet in blocks of bounded size, queries of one
+cell together: a block of queries meets only the blocks of entries whose cells it has visited, and multiplies only those.
 """
 
 import heapq
@@ -10,7 +11,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from formbook.llm.common import staged
 
@@ -19,6 +20,7 @@ LEAST_CENTROIDS, MOST_CENTROIDS = 8, 64  # per half, which bounds the cells held
 SHARE = 0.8  # of the entries, scored for each query
 ENTRY_BLOCK = 16_384
 QUERY_BLOCK = 512
+HIT = np.dtype([("query", "<i8"), ("id", "<i8"), ("score", "<f8")])
 SLACK = 1e-9  # block products are rounded in another order than the final scores
 
 
@@ -99,7 +101,9 @@ def search(
     width, total = lengths["width"], lengths["count"]
     frame = frame.filter(F.size("v") == width)
     half = (width + 1) // 2
-    drawn = frame.orderBy(F.xxhash64("id"), "id").limit(sample).select("v")
+    # The smallest hashes; all but a few rows beyond ``sample`` are left out before anything is sorted.
+    edge = min(-(1 << 63) + int((1 << 64) * min(1.0, 1.2 * sample / total)), (1 << 63) - 1)
+    drawn = frame.filter(F.xxhash64("id") <= F.lit(edge)).orderBy(F.xxhash64("id"), "id").limit(sample).select("v")
     drawn = drawn.mapInArrow(
         lambda it: (pa.RecordBatch.from_arrays([pa.array([np.stack(b.column(0).to_numpy(zero_copy_only=False)).tobytes()], pa.binary())], ["v"]) for b in it if b.num_rows),
         "v binary",
@@ -126,20 +130,45 @@ def search(
     offset = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     blocks = max(1, -(-total // ENTRY_BLOCK))
 
-    # A cell's entries spread over the blocks that its range of places touches; a crowded cell has several.
+    # Cells follow each other over the blocks; a crowded cell has several, a block several small cells.
     def place(batches):
         for batch in batches:
             ids, cell = batch.column("id").to_numpy(), batch.column("cell").to_numpy()
             spread = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) / 2**53
-            at = offset[cell] + spread * sizes[cell]
-            block = np.minimum((at * blocks / total).astype(np.int32), blocks - 1)
-            for b in np.unique(block).tolist():
-                mine = block == b
-                data = b"".join(x for x, m in zip(batch.column("v").to_pylist(), mine.tolist()) if m)
-                columns = [pa.array([b], pa.int32()), pa.array([ids[mine].tobytes()], pa.binary()), pa.array([cell[mine].tobytes()], pa.binary()), pa.array([data], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "ids", "cells", "data"])
+            block = np.minimum((offset[cell] + spread * sizes[cell]) * blocks / total, blocks - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(block), *(batch.column(c) for c in ("id", "cell", "v"))], ["block", "id", "cell", "v"])
 
-    parts = index.select("id", "cell", "v").mapInArrow(place, "block int, ids binary, cells binary, data binary")
+    def pack(batches):
+        """A block's entries as rows of ``ENTRY_BLOCK`` at most: by their number, whatever tasks they come from."""
+        held, size, at = [], 0, None
+
+        def done():
+            ids, cell, data = (np.concatenate([h[k] for h in held]) for k in range(3))
+            columns = [at, ids.tobytes(), cell.tobytes(), data.tobytes()]
+            kinds = (pa.int32(), *[pa.binary()] * 3)
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, kinds)], ["block", "ids", "cells", "data"])
+
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            ids, cell = batch.column("id").to_numpy(), batch.column("cell").to_numpy()
+            data = np.frombuffer(b"".join(batch.column("v").to_pylist()), "<f8").reshape(-1, width)
+            edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for lo, hi in zip(edges, edges[1:]):
+                if held and (block[lo] != at or size + hi - lo > ENTRY_BLOCK):
+                    yield done()
+                    held, size = [], 0
+                if hi > lo:
+                    at = int(block[lo])
+                    held.append((ids[lo:hi], cell[lo:hi], data[lo:hi]))
+                    size += hi - lo
+        if held:
+            yield done()
+
+    placed = index.select("id", "cell", "v").mapInArrow(place, "block int, id long, cell long, v binary")
+    parts = placed.repartition(blocks, "block").sortWithinPartitions("block", "cell", "id")
+    parts = parts.mapInArrow(pack, "block int, ids binary, cells binary, data binary")
+    ends = np.minimum((offset + sizes) * blocks / total, blocks - 1).astype(np.int64)
+    begins = np.minimum(offset * blocks / total, blocks - 1).astype(np.int64)
 
     def probe(batches):
         for batch in batches:
@@ -152,33 +181,71 @@ def search(
                 seen = np.zeros((len(q), cells), bool)
                 for i in range(len(q)):
                     seen[i, walk(first[i], second[i], sizes, max(math.ceil(share * total), k + 1))] = True
-                columns = [ids[lo : lo + QUERY_BLOCK].tobytes(), some, np.packbits(seen, axis=1).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["qids", "qdata", "seen"])
-
-    single = index.filter("query").groupBy("id").agg(F.min("v").alias("v"))  # an id asks once
-    asked = single.mapInArrow(probe, "qids binary, qdata binary, seen binary")
-    asked = staged(asked, "queries").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+                asked = ids[lo : lo + QUERY_BLOCK]
+                # Only blocks with a cell that some query of the block has visited are met.
+                visited = np.flatnonzero(seen.any(0) & (sizes > 0))
+                met = sorted({b for c in visited.tolist() for b in range(begins[c], ends[c] + 1)})
+                columns = [int(asked[0]), asked.tobytes(), some, np.packbits(seen, axis=1).tobytes(), met]
+                kinds = (pa.int64(), *[pa.binary()] * 3, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, kinds)], ["asked", "qids", "qdata", "seen", "met"])
+
+    # An id asks once; queries of one cell come together, so that a block of them visits much the same cells.
+    single = index.filter("query").groupBy("id").agg(F.min(F.struct("v", "cell")).alias("q"))
+    single = single.select("id", F.col("q.v").alias("v"), F.col("q.cell").alias("cell"))
+    tasks = max(1, -(-total // ENTRY_BLOCK))
+    single = single.repartitionByRange(tasks, "cell", "id").sortWithinPartitions("cell", "id").select("id", "v")
+    probed = staged(single.mapInArrow(probe, "asked long, qids binary, qdata binary, seen binary, met array<int>"), "queries")
+    probes = probed.select("asked", "qids", "qdata", "seen", F.explode("met").alias("block"))
 
     def score(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 qids, q = np.frombuffer(r["qids"], "<i8"), _matrix(r["qdata"], width)
-                ids, v = np.frombuffer(r["ids"], "<i8"), _matrix(r["data"], width)
-                cell = np.frombuffer(r["cells"], "<i8")
                 seen = np.unpackbits(np.frombuffer(r["seen"], np.uint8).reshape(len(q), -1), axis=1, count=cells).astype(bool)
+                cell = np.frombuffer(r["cells"], "<i8")
+                mine = seen.any(0)[cell]  # entries of cells that no query of the block has visited are left out
+                ids, v, cell = np.frombuffer(r["ids"], "<i8")[mine], _matrix(r["data"], width)[mine], cell[mine]
+                if not len(ids):
+                    continue
                 s = np.where(seen[:, cell] & (qids[:, None] != ids), q @ v.T, -np.inf)
                 keep = min(k, len(ids))
                 edge = np.partition(s, len(ids) - keep, axis=1)[:, len(ids) - keep]
-                found = ([], [], [])
+                found = []
                 for i in range(len(q)):
                     near = np.flatnonzero((s[i] >= edge[i] - SLACK) & (s[i] > -np.inf))
                     exact = (v[near] * q[i]).sum(1)
                     best = near[o := np.lexsort((ids[near], -exact))[:k]]
-                    for column, value in zip(found, (np.full(len(best), qids[i]), ids[best], exact[o])):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["query_id", "vec_id", "score"])
-
-    met = asked.join(parts, "block").select("qids", "qdata", "seen", "ids", "cells", "data")
-    hits = met.mapInArrow(score, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return hits.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                    part = np.zeros(len(best), HIT)
+                    part["query"], part["id"], part["score"] = qids[i], ids[best], exact[o]
+                    found.append(part)
+                hits = pa.array([np.concatenate(found).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r["asked"]], pa.int64()), hits], ["asked", "hits"])
+
+    def best(batches):
+        """Running best of a block of queries over the blocks of entries; a task holds one block's."""
+        held, at = None, None
+
+        def done():
+            lead = np.concatenate([[True], held["query"][1:] != held["query"][:-1]])
+            starts = np.flatnonzero(lead)
+            rank = np.arange(len(held)) - starts[np.cumsum(lead) - 1] + 1
+            columns = [held["query"], rank.astype(np.int32), held["id"], held["score"]]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["query_id", "rank", "vec_id", "score"])
+
+        for batch in batches:
+            for asked, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                hits = np.frombuffer(blob, HIT)
+                if held is not None and asked != at:
+                    yield done()
+                    held = None
+                both = hits if held is None else np.concatenate([held, hits])
+                both = both[np.lexsort((both["id"], -both["score"], both["query"]))]
+                lead = np.concatenate([[True], both["query"][1:] != both["query"][:-1]]) if len(both) else np.zeros(0, bool)
+                place = np.arange(len(both)) - np.flatnonzero(lead)[np.cumsum(lead) - 1]
+                held, at = both[place < k], asked
+        if held is not None:
+            yield done()
+
+    met = probes.join(parts, "block").select("asked", "qids", "qdata", "seen", "ids", "cells", "data")
+    hits = met.mapInArrow(score, "asked long, hits binary")
+    return hits.repartition("asked").sortWithinPartitions("asked").mapInArrow(best, kind)
