@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from formbook.llm.common import staged
+from formbook.llm.common import other_columns, quoted, row_columns, row_of, schema_after, staged
 from formbook.llm.scan import as_bytes, byte_values, rolling, slices, sliding_min
 
 LENGTH = 200
@@ -187,10 +187,11 @@ def _pairs(ranges: list[list[tuple[int, int]]]) -> pa.Array:
 def repeated_ranges(
     texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
-    """``t1, ranges``: byte ranges of the texts (``t1, text`` among the columns) that lie in repeats.
+    """``t1, pieces``: pieces of the texts (``t1, text`` among the columns) with their ranges that lie in repeats.
 
-    Every row counts, so equal texts are repeats of each other. ``ranges`` (``place, d, a, b``) may overlap. Texts meet on
-    ``t1``, their xxhash64; of texts that share it by chance, ``d`` tells which one a range belongs to.
+    Every row counts, so equal texts are repeats of each other. ``pieces`` (``place, d, ranges``) overlap, and their ranges
+    start at the piece. Texts meet on ``t1``, their xxhash64; of texts that share it by chance, ``d`` tells which one a
+    piece belongs to.
     """
 
     def hashes(batches):
@@ -219,11 +220,13 @@ def repeated_ranges(
     again = texts.select("text").mapInArrow(hashes, "m long").groupBy("m").agg(F.count(F.lit(1)).alias("c"))
     located = texts.select("t1", "text").mapInArrow(locate, "m long, d long, t1 long, place long")
     # Equal pieces have the same ``m`` and the same digest ``d``.
-    places = staged(located.join(again.filter("c > 1").select("m"), "m", "left_semi"), "places")
+    # Copies of a text have the same places: one row each, with the number of copies.
+    places = located.join(again.filter("c > 1").select("m"), "m", "left_semi")
+    places = staged(places.groupBy("m", "d", "t1", "place").agg(F.count(F.lit(1)).alias("n")), "places")
     key, found = ["m", "d"], f"m long, d long, ranges {RANGES}"
     size = (F.expr(f"place & {(1 << PLACE_BITS) - 1}L") + length - 1).alias("size")
     owner = F.min(F.struct("t1", "place", size)).alias("owner")
-    distinct = places.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), owner).repartition("m")
+    distinct = places.groupBy(*key).agg(F.sum("n").alias("c"), owner).repartition("m")
     groups = distinct.groupBy("m").agg(F.count(F.lit(1)).alias("k"), F.sum("owner.size").alias("bytes"))
     distinct = staged(distinct.join(groups, "m"), "distinct")
 
@@ -300,34 +303,38 @@ def repeated_ranges(
                     at = pa.array(np.arange(lo, lo + n))
                     yield pa.RecordBatch.from_arrays([*same, pa.array(w[0]), pa.array(w[1]), at], [*key, "w1", "w2", "at"])
 
-    opened = pieces.filter("crowded").select(*key, "piece").mapInArrow(
-        windows, "m long, d long, w1 long, w2 long, at long"
-    ).distinct()
-    seen = opened.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    span = F.struct(F.col("at").alias("a"), (F.col("at") + length).alias("b"))
-    packed = opened.join(seen, ["w1", "w2"]).groupBy(*key).agg(F.collect_list(span).alias("ranges"))
+    opened = staged(
+        pieces.filter("crowded").select(*key, "piece").mapInArrow(windows, "m long, d long, w1 long, w2 long, at long").distinct(),
+        "windows",
+    )
+    # A window found everywhere is one row of ``seen``; both sides are read from files, so the join may split its key.
+    seen = staged(opened.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w1", "w2"), "seen")
+    starts = opened.join(seen, ["w1", "w2"], "left_semi").groupBy(*key).agg(F.collect_list("at").alias("starts"))
+
+    def runs(batches):
+        """Windows that touch, as one range."""
+        for batch in slices(batches):
+            out = []
+            for at in batch.column("starts").to_pylist():
+                at = np.array(at, np.int64)
+                out.append(list(zip(*(x.tolist() for x in merged(at, at + length)))))
+            yield pa.RecordBatch.from_arrays([batch.column("m"), batch.column("d"), _pairs(out)], [*key, "ranges"])
+
+    packed = starts.mapInArrow(runs, found)
 
     verdict = twice.unionByName(compared).unionByName(packed)
-    shift = F.transform(
-        "ranges",
-        lambda r: F.struct("place", "d", (r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")),
-    )
-    at = F.expr(f"shiftright(place, {PLACE_BITS})")
-    placed = places.join(verdict, key).withColumn("at", at).select("t1", F.explode(shift).alias("r"))
-    return placed.groupBy("t1").agg(F.collect_set("r").alias("ranges"))
+    placed = places.select(*key, "t1", "place").join(verdict, key)
+    # Ranges stay those of their piece, one array for each piece of a text.
+    return placed.groupBy("t1").agg(F.collect_list(F.struct("place", "d", "ranges")).alias("pieces"))
 
 
-def _own(text: bytes, ranges: list[dict] | None, length: int) -> list[tuple[int, int]]:
+def _own(text: bytes, pieces: list[dict] | None, length: int) -> list[tuple[int, int]]:
     """The ranges that belong to ``text``, told by the digests of their pieces."""
-    known: dict[tuple[int, int], bool] = {}
     out = []
-    for r in ranges or ():
-        at, n = r["place"] >> PLACE_BITS, r["place"] & (1 << PLACE_BITS) - 1
-        mine = known.get((r["place"], r["d"]))
-        if mine is None:
-            mine = known[r["place"], r["d"]] = _digest(text[at : at + n + length - 1]) == r["d"]
-        if mine:
-            out.append((r["a"], r["b"]))
+    for p in pieces or ():
+        at, n = p["place"] >> PLACE_BITS, p["place"] & (1 << PLACE_BITS) - 1
+        if _digest(text[at : at + n + length - 1]) == p["d"]:
+            out += [(at + r["a"], at + r["b"]) for r in p["ranges"]]
     return out
 
 
@@ -343,21 +350,18 @@ def remove_repeats(
 
     ``kept`` replaces the text column. It is binary, since a cut may fall inside a character; with
     ``as_text`` it is a string without the halves of cut characters. Null text counts as empty. Other columns stay;
-    those with the names added here are replaced. Rows of equal text repeat each other.
+    those with the names added here, in any case, are replaced. Rows of equal text repeat each other.
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept"]
-    rest = [c for c in docs.columns if c not in (text, *added)]
-    packed = docs.select(
-        F.struct(*rest).alias("row") if rest else F.struct(F.lit(0)).alias("row"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-    )
+    rest = other_columns(docs, [text, *added])
+    packed = docs.select(row_of(rest).alias("row"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
     packed = packed.select("row", "text", F.xxhash64("text").alias("t1"))
     ranges = repeated_ranges(packed, length, gram, group_bytes)
 
     def apply(batches):
         for batch in slices(batches):
             out = ([], [], [], [])
-            for data, spans in zip(as_bytes(batch.column("text")).to_pylist(), batch.column("ranges").to_pylist()):
+            for data, spans in zip(as_bytes(batch.column("text")).to_pylist(), batch.column("pieces").to_pylist()):
                 flat = np.array(_own(data, spans, length), np.int64).reshape(-1, 2)
                 starts, ends = merged(flat[:, 0], flat[:, 1])
                 edges = [0, *np.column_stack([starts, ends]).ravel().tolist(), len(data)]
@@ -369,8 +373,7 @@ def remove_repeats(
             new = [pa.array(x, t) for x, t in zip(out, types)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *new], ["row", *added])
 
-    joined = packed.join(ranges, "t1", "left").select("row", "text", "ranges")
-    kind = packed.schema["row"].dataType.simpleString()
+    joined = packed.join(ranges, "t1", "left").select("row", "text", "pieces")
     last = "string" if as_text else "binary"
-    done = joined.mapInArrow(apply, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept {last}")
-    return done.select(*[F.col("row").getField(c).alias(c) for c in rest], *added)
+    done = joined.mapInArrow(apply, schema_after(packed, ["row"], f"n_bytes long, n_removed long, n_spans long, kept {last}"))
+    return done.select(*row_columns(rest, "row"), *added)
