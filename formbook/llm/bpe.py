@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from formbook.llm.common import other_columns, quoted, row_columns, row_of, schema_after
 from formbook.llm.scan import as_bytes, groups_of, slices
 
 LEXICON_WORDS = 100_000
@@ -338,10 +339,10 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
     """``docs`` with ``n_tokens``, ``ids`` and ``decoded``, the tokens joined by a space.
 
     Special tokens in a text become their ids. Null text counts as empty. ``path`` is a tokenizer file that every executor reads.
-    Columns of the names added here are replaced.
+    Columns of the names added here, in any case, are replaced.
     """
     added = ["n_tokens", "ids", "decoded"]
-    rest = [c for c in docs.columns if c not in added]
+    rest = other_columns(docs, added)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon(docs, path, text, most))  # ``most`` words
 
     def encode(batches):
@@ -391,8 +392,6 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
             n = pa.array(np.diff(ends).astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("_row"), n, ids, pa.array(texts, pa.string())], ["_row", *added])
 
-    row = F.struct(*rest) if rest else F.struct(F.lit(0))
-    packed = docs.select(row.alias("_row"), F.col(text).cast("string").alias("_text"))
-    kind = packed.schema["_row"].dataType.simpleString()
-    done = packed.mapInArrow(encode, f"_row {kind}, n_tokens long, ids array<int>, decoded string")
-    return done.select(*[F.col("_row").getField(c).alias(c) for c in rest], *added)
+    packed = docs.select(row_of(rest).alias("_row"), quoted(text).cast("string").alias("_text"))
+    done = packed.mapInArrow(encode, schema_after(packed, ["_row"], "n_tokens long, ids array<int>, decoded string"))
+    return done.select(*row_columns(rest), *added)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from formbook.llm.common import WORD, staged, word_count
+from formbook.llm.common import WORD, other_columns, quoted, row_columns, row_of, staged, word_count
 from formbook.llm.scan import slices
 
 BLOCK_WORDS = 128
@@ -244,14 +244,17 @@ def shards(
 def mixed_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix as documents: a row per whole pass, and one with the words of the further draws joined by a space.
 
-    The other columns are those of the document; documents of which the mix takes nothing have no row.
+    The other columns are those of the document, whatever their names; documents of which the mix takes nothing have no
+    row, nor do those with null or empty text. Rows equal in id, text and source each get one plan of theirs.
     """
-    words = F.regexp_extract_all(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     taken = mix(docs, id, text, source, **options).filter("taken > 0")
     # Equal rows have equal keys; their plans are numbered so that each row meets one.
     number = Window.partitionBy("_id", "_hash", "_from").orderBy("_order")
-    keyed = docs.withColumns(
-        {"_id": F.col(id), "_hash": F.xxhash64(text), "_from": F.col(source).cast("string"), "_order": F.lit(0)}
+    rest = other_columns(docs, [text])
+    keyed = docs.select(
+        row_of(rest).alias("_row"), quoted(text).cast("string").alias("_text"), quoted(id).alias("_id"),
+        F.xxhash64(quoted(text)).alias("_hash"), quoted(source).cast("string").alias("_from"), F.lit(0).alias("_order"),
     ).withColumn("_n", F.row_number().over(number))
     plans = taken.select(
         F.col("id").alias("_id2"), F.col("hash").alias("_hash2"), F.col("source").alias("_from2"), "passes", "parts",
@@ -268,7 +271,9 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", sou
     )
     joined = keyed.join(plans, same).withColumn("_words", F.when(F.size("parts") > 0, words))
     copies = F.concat(
-        F.array_repeat(F.col(text).cast("string"), F.col("passes").cast("int")),
+        F.array_repeat(F.col("_text"), F.col("passes").cast("int")),
         F.when(F.size("parts") > 0, F.array(piece)).otherwise(F.array().cast("array<string>")),
     )
-    return joined.withColumn(text, F.explode(copies)).select(*docs.columns)
+    done = joined.select("_row", F.explode(copies).alias("_text"))
+    fields = dict(zip(rest, row_columns(rest)))
+    return done.select(*[fields.get(c, F.col("_text").alias(c)) for c in docs.columns])

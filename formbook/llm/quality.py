@@ -7,7 +7,7 @@ the spread of rates between hosts.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formbook.llm.common import SPACE_CLASS, WORD, staged
+from formbook.llm.common import SPACE_CLASS, WORD, other_columns, quoted, row_columns, row_of, staged
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -18,9 +18,9 @@ MAX_HOST_RATE = 0.5
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``.
 
-    Words are runs outside ``[\\x20\\x09-\\x0D]``; null text has none. Columns of these names are replaced.
+    Words are runs outside ``[\\x20\\x09-\\x0D]``; null text has none. Columns of these names, in any case, are replaced.
     """
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    body = F.coalesce(F.col("_text"), F.lit(""))
     lines = F.filter(F.split(body, "\n", -1), lambda x: F.translate(x, " \t\r\x0b\x0c", "") != "")
     pairs = F.arrays_zip(
         F.col("_words").alias("a"),
@@ -52,8 +52,9 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     none = F.array().cast("array<int>")
     named = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rest = other_columns(docs, named)
     return (
-        docs.drop(*[c for c in named if c != text])
+        docs.select(row_of(rest).alias("_row"), quoted(text).cast("string").alias("_text"))
         .withColumn("_words", F.regexp_extract_all(body, F.lit(WORD), F.lit(0)))
         .withColumn("_lines", lines)
         .withColumn("_windows", windows)
@@ -68,7 +69,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("n_symbols", (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn("n_repeat_words", covered.cast("long"))
-        .drop("_words", "_lines", "_windows", "_ranked", "_starts")
+        .select(*row_columns(rest), *named)
     )
 
 
@@ -113,7 +114,8 @@ def judge(
     """``docs`` without text, with the statistics, ``base_failed``, ``host_rate`` and ``kept``.
 
     A document is kept if it passes the base rules and its host's shrunk failure rate is at most ``max_rate``. Null hosts have
-    no verdict: their documents stand for themselves. Repeated rows count as often as they occur.
+    no verdict: their documents stand for themselves. Repeated rows count as often as they occur. Columns named like the
+    added ones are replaced.
     """
     base = staged(with_base_rules(statistics(docs, text).drop(text), **rules), "quality")
     rates = host_rates(base, host).select(F.col("host").alias(host), F.col("rate").alias("host_rate"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formbook.llm.common import staged
+from formbook.llm.common import quoted, row_columns, row_of, staged
 from formbook.llm.graph import components
 from formbook.llm.scan import as_bytes, groups_of
 
@@ -155,9 +155,12 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", **opti
     found = near_duplicates(docs, id, text, **options)
     least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "hash")).alias("kept"))
     kept = least.select(F.col("kept.id").alias("_id"), F.col("kept.hash").alias("_hash"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(text).cast("string")))
-    same = F.col(id).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id, "_key"]).drop("_key")
+    keyed = docs.select(
+        row_of(docs.columns).alias("_row"), quoted(id).alias("_own"), F.xxhash64(quoted(text).cast("string")).alias("_key")
+    )
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+    single = keyed.join(kept, same, "left_semi").dropDuplicates(["_own", "_key"])
+    return single.select(*row_columns(docs.columns))
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formbook.llm.common import staged
+from formbook.llm.common import other_columns, quoted, row_columns, row_of, staged
 
 BAD = "label=bad"
 MIN_SUPPORT = 0.002
@@ -150,21 +150,25 @@ def judge(
 
     The longest listed rule decides; elsewhere a mined rule blocks and everything else is allowed. ``labels`` has the id column and a
     boolean ``bad``; an id labelled twice is bad if any label is. Null ids have no label. Pages of equal token sets are matched once. Null and
-    malformed urls have no tokens and are allowed. Columns of the names added here are replaced.
+    malformed urls have no tokens and are allowed. Columns of the names added here, in any case, are replaced.
     """
     added = ["host", "path", "rule", "verdict", "confidence"]
-    frame = parsed(pages.drop(*[c for c in added if c != url]), url)
-    frame = frame.withColumn("_tokens", F.sort_array(tokens(url))).withColumn("_listed", listed_rule(rules))
+    rest = other_columns(pages, added)
+    frame = pages.select(row_of(rest).alias("_row"), quoted(id).alias("_id"), quoted(url).alias("url"))
+    frame = parsed(frame).withColumn("_tokens", F.sort_array(tokens("url"))).withColumn("_listed", listed_rule(rules))
     frame = staged(frame, "urls")
     labels = labels.groupBy(F.col(id).alias("_id")).agg(F.max("bad").alias("bad"))
-    labelled = frame.select(F.col(id).alias("_id"), F.col("_tokens").alias("tokens")).join(labels, "_id")
+    labelled = frame.select("_id", F.col("_tokens").alias("tokens")).join(labels, "_id")
     mined = mined_rules(labelled, min_support, min_confidence)
     sets = frame.select(F.xxhash64("_tokens").alias("key"), F.col("_tokens").alias("tokens")).dropDuplicates(["key"])
     found = matches(sets, mined).withColumnRenamed("key", "_key")
     judged = frame.withColumn("_key", F.xxhash64("_tokens")).join(found, "_key", "left")
     verdict = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
-    return (
-        judged.withColumn("rule", F.col("_listed.rule"))
-        .withColumn("verdict", F.coalesce("_listed.verdict", verdict))
-        .drop("_tokens", "_listed", "_key")
+    return judged.select(
+        *row_columns(rest),
+        "host",
+        "path",
+        F.col("_listed.rule").alias("rule"),
+        F.coalesce("_listed.verdict", verdict).alias("verdict"),
+        "confidence",
     )
