@@ -60,33 +60,47 @@ def selected(data: bytes, length: int, gram: int) -> np.ndarray:
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Order of all suffixes by their first ``depth`` symbols at least, and the ranks by prefix length."""
+    """Order of all suffixes by their first ``depth`` symbols at least, and the ranks by prefix length.
+
+    A rank is the first place of those equal. Prefixes double; only suffixes that are still equal to another are
+    sorted again, within their places.
+    """
     n = len(symbols)
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank = rank.astype(np.int32)
-    levels, reach = [(1, rank)], 1
+    levels = [(1, symbols.astype(np.int32))]
+    bits = int(symbols.max() + 1).bit_length()
+    reach = next(p for p in (4, 2, 1) if p * bits < 63)
+    padded = np.zeros(n + reach, np.int64)
+    padded[:n] = symbols + 1
+    key = np.zeros(n, np.int64)
+    for k in range(reach):  # the first symbols as one number
+        key = key << bits | padded[k : k + n]
+    order = np.argsort(key, kind="stable")
+    ranked, slots = key[order], np.arange(n)
+    lead, rank = np.ones(n, bool), np.empty(n, np.int32)
     while True:
-        key = rank.astype(np.int64) * (n + 1)
-        if reach < n:
-            key[:-reach] += rank[reach:] + 1
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        fresh = np.zeros(n, np.int32)
-        np.cumsum(ranked[1:] != ranked[:-1], out=fresh[1:])
-        rank = np.empty(n, np.int32)
-        rank[order] = fresh
-        reach *= 2
-        if fresh[-1] == n - 1 or reach > depth:
+        fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        lead[slots] = fresh
+        rank[order[slots]] = np.maximum.accumulate(np.where(fresh, slots, 0))
+        slots = np.flatnonzero(~(lead & np.append(lead[1:], True)))
+        if not len(slots) or reach > depth:
             return order, levels
-        levels.append((reach, rank))
+        if reach > levels[-1][0]:
+            levels.append((reach, rank.copy()))
+        same = order[slots]
+        after = np.minimum(same + reach, n - 1)
+        key = rank[same].astype(np.int64) * (n + 1) + np.where(same + reach < n, rank[after] + 1, 0)
+        sort = np.argsort(key, kind="stable")
+        order[slots], ranked = same[sort], key[sort]
+        reach *= 2
 
 
 def common_prefixes(order: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
     """Length of the common prefix of each suffix in ``order`` with the one before it; 0 for the first."""
     a, b, n = order[:-1].copy(), order[1:].copy(), len(levels[0][1])
-    got = np.zeros(len(a), np.int64)
+    got, longer = np.zeros(len(a), np.int64), None
     for reach, rank in reversed(levels):
-        while True:
+        left = longer // reach - 1 if longer else n  # as often as the next longer prefix can hide this one
+        while left:
             inside = (a < n) & (b < n)
             same = np.zeros(len(a), bool)
             same[inside] = rank[a[inside]] == rank[b[inside]]
@@ -95,8 +109,8 @@ def common_prefixes(order: np.ndarray, levels: list[tuple[int, np.ndarray]]) ->
             got[same] += reach
             a[same] += reach
             b[same] += reach
-            if reach != levels[-1][0]:
-                break
+            left -= 1
+        longer = reach
     return np.concatenate([[0], got])
 
 
