@@ -24,10 +24,12 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from formbook.llm.common import other_columns, quoted, row_columns, row_of, schema_after
+from formbook.llm.common import is_frequent, other_columns, quoted, row_columns, row_of, schema_after, staged
 from formbook.llm.scan import as_bytes, groups_of, slices
 
-LEXICON_WORDS = 100_000
+LEXICON_WORDS = 200_000
+LEXICON_BYTES = 1 << 25  # of its words in all
+LEXICON_LENGTH = 4096  # bytes of one of them
 COUNTED = 200_000  # different chunks a task counts before it passes their words on
 MEMO = 200_000  # different chunks a task remembers
 MEMO_CHARS = 20_000_000  # and their characters in all
@@ -293,7 +295,10 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The ``most`` most frequent words of all texts, counted over the whole corpus."""
+    """At most ``most`` words, the most frequent of all texts, counted over the whole corpus.
+
+    Words as frequent as a word left out may be left out as well: whole bins of frequency are taken.
+    """
 
     def count(batches):
         tokenizer, counter = tokenizer_of(path), Counter()
@@ -317,8 +322,9 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
             yield out()
 
     counts = docs.select(F.col(text).cast("string")).mapInArrow(count, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [r["word"] for r in top.select("word").collect()]  # ``most`` words
+    words = staged(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    top = words.filter(is_frequent(words, "word", most, LEXICON_BYTES, LEXICON_LENGTH))
+    return [r["word"] for r in top.select("word").orderBy("word").collect()]  # within the bounds above
 
 
 def lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> bytes:

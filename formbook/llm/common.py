@@ -78,3 +78,21 @@ def row_columns(names: list[str], row: str = "_row") -> list[Column]:
 def schema_after(df: DataFrame, kept: list[str], added: str) -> T.StructType:
     """Columns of ``df`` as they are, then those of a DDL text."""
     return T.StructType([*(df.schema[c] for c in kept), *T.StructType.fromDDL(added).fields])
+
+
+def is_frequent(counts: DataFrame, column: str, most: int, most_bytes: int, longest: int) -> Column:
+    """Condition of the most frequent of the texts in ``column``, by ``n``, within all three bounds.
+
+    Whole bins of frequency, 16 between a number and its double, are taken from the top. ``counts`` should be staged.
+    """
+    size, number = F.octet_length(column), F.floor(F.log2("n") * 16)
+    bins = counts.filter(size <= longest).groupBy(number.alias("bin")).agg(
+        F.count(F.lit(1)).alias("texts"), F.sum(size).alias("bytes")
+    )
+    least, texts, held = None, 0, 0
+    for r in sorted(bins.collect(), reverse=True):  # a thousand rows at most
+        texts, held = texts + r["texts"], held + r["bytes"]
+        if texts > most or held > most_bytes:
+            break
+        least = r["bin"]
+    return F.lit(False) if least is None else (size <= longest) & (number >= least)

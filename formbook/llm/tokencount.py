@@ -5,7 +5,6 @@ of frequency times pieces: frequent pre-tokens come from a dictionary of bounded
 frequent pre-token is shuffled per document, and no token id is kept.
 """
 
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -15,10 +14,10 @@ from functools import lru_cache
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from formbook.llm.bpe import BYTE_CHARS, short_batches
-from formbook.llm.common import other_columns, quoted, row_columns, row_of, schema_after, staged
+from formbook.llm.common import is_frequent, other_columns, quoted, row_columns, row_of, schema_after, staged
 from formbook.llm.scan import as_bytes
 
 TOKEN_LIMIT = 1024
@@ -28,7 +27,6 @@ HEAD_LENGTH = 4096  # and bytes of one of them
 COUNTED = 200_000  # different chunks a task counts before it passes their pre-tokens on
 MEMO = 200_000  # different chunks a task remembers
 MEMO_CHARS = 20_000_000  # and their characters in all
-BINS = 16  # bins of frequency between a number and its double
 
 # Fixed value: how byte-level tokenizers of this kind cut text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -133,25 +131,6 @@ def with_pieces(tokens: DataFrame, path: str) -> DataFrame:
     return tokens.mapInArrow(split, "token string, n long, pieces int")
 
 
-def _bin() -> Column:
-    return F.floor(F.log2("n") * BINS)
-
-
-def _is_head(tokens: DataFrame, most: int) -> Column:
-    """Condition of the most frequent pre-tokens, within all three bounds."""
-    short = F.octet_length("token") <= HEAD_LENGTH
-    bins = tokens.filter(short).groupBy(_bin().alias("bin")).agg(
-        F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("token")).alias("bytes")
-    )
-    least, words, size = math.inf, 0, 0
-    for r in sorted(bins.collect(), reverse=True):  # at most 63 * BINS rows
-        words, size = words + r["words"], size + r["bytes"]
-        if words > most or size > HEAD_BYTES:
-            break
-        least = r["bin"]
-    return short & (_bin() >= least) if least < math.inf else F.lit(False)
-
-
 def _frequencies(docs: DataFrame, path: str, text: str, rest: list[str], head: dict[str, int]) -> DataFrame:
     """A row per document: pieces of its frequent pre-tokens, and the frequencies of the others."""
     known = docs.sparkSession.sparkContext.broadcast(head)
@@ -220,7 +199,7 @@ def token_counts(
     """
     rest = other_columns(docs, [text, "n_bytes", "n_tokens", "over_limit"])
     tokens = staged(with_pieces(distinct_pre_tokens(docs, path, text), path), "pre_tokens")
-    is_head = _is_head(tokens, most)
+    is_head = is_frequent(tokens, "token", most, HEAD_BYTES, HEAD_LENGTH)
     head = {r["token"]: r["pieces"] for r in tokens.filter(is_head).select("token", "pieces").collect()}  # bounded above
     counted = staged(_frequencies(docs, path, text, rest, head), "token_frequencies")
     tail = counted.select("_key", F.explode("_tail").alias("t")).select("_key", "t.token", "t.n")
