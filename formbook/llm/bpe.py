@@ -102,6 +102,8 @@ class Tokenizer:
         """Words of a chunk; bytes are a word already."""
         if isinstance(chunk, bytes):
             return [chunk]
+        if chunk.isalpha():  # letters are one word
+            return [chunk.encode()]
         if chunk.isascii():
             return [w.encode() for w in self._find_ascii(chunk)]
         return [w.encode() for w in self._find(chunk)]
@@ -354,8 +356,9 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
     def encode(batches):
         tokenizer, words = tokenizer_of(path), Lexicon(shared.value)
         tokens = tokenizer.tokens
-        ids_of: dict[str | bytes, bytes] = {}  # chunks met so far: ids as 32-bit integers
-        text_of: dict[str | bytes, str] = {}
+        code: dict[str | bytes, int] = {}  # chunks met so far, and their places in the two lists
+        ids_at: list[bytes] = []  # ids as 32-bit integers
+        text_at: list[str] = []
         word_ids: dict[bytes, list[int]] = {}
         held = 0
 
@@ -368,25 +371,26 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
             word_ids.update(zip(rest, tokenizer.merge_all(rest)))
             for chunk, ws in found.items():
                 ids = word_ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in word_ids[w]]
-                ids_of[chunk] = array("i", ids).tobytes()
-                text_of[chunk] = " ".join([tokens[i] for i in ids])
+                code[chunk] = len(ids_at)
+                ids_at.append(array("i", ids).tobytes())
+                text_at.append(tokens[ids[0]] if len(ids) == 1 else " ".join([tokens[i] for i in ids]))
 
         for batch in short_batches(batches):
             split = [list(tokenizer.parts(body or "")) for body in batch.column("_text").to_pylist()]
-            if len(ids_of) > MEMO or held > MEMO_CHARS:
-                ids_of.clear()
-                text_of.clear()
-                word_ids.clear()
+            if len(code) > MEMO or held > MEMO_CHARS:
+                for memo in (code, ids_at, text_at, word_ids):
+                    memo.clear()
                 held = 0
-            fresh = {c for parts in split for _, chunks in parts for c in chunks}.difference(ids_of)
+            fresh = set().union(*[chunks for parts in split for _, chunks in parts]).difference(code)
             learn(fresh)
             held += sum(map(len, fresh))
             flat, ends, texts = [], [0], []
             for parts in split:
                 ids, decoded = [], []
                 for mark, chunks in parts:
-                    ids.extend(map(ids_of.__getitem__, chunks))
-                    decoded.extend(map(text_of.__getitem__, chunks))
+                    at = list(map(code.__getitem__, chunks))
+                    ids.extend(map(ids_at.__getitem__, at))
+                    decoded.extend(map(text_at.__getitem__, at))
                     if mark:
                         ids.append(array("i", [tokenizer.special[mark]]).tobytes())
                         decoded.append(mark)
