@@ -359,15 +359,13 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
         code: dict[str | bytes, int] = {}  # chunks met so far, and their places in the two lists
         ids_at: list[bytes] = []  # ids as 32-bit integers
         text_at: list[str] = []
-        word_ids: dict[bytes, list[int]] = {}
         held = 0
 
         def learn(chunks):
             found = {c: tokenizer.words(c) for c in chunks}
-            fresh = list({w for ws in found.values() for w in ws}.difference(word_ids))
-            known = words.ids(fresh)
-            rest = [w for w, ids in zip(fresh, known) if ids is None]
-            word_ids.update(zip(fresh, known))
+            fresh = list({w for ws in found.values() for w in ws})
+            word_ids = dict(zip(fresh, words.ids(fresh)))
+            rest = [w for w, ids in word_ids.items() if ids is None]
             word_ids.update(zip(rest, tokenizer.merge_all(rest)))
             for chunk, ws in found.items():
                 ids = word_ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in word_ids[w]]
@@ -378,7 +376,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
         for batch in short_batches(batches):
             split = [list(tokenizer.parts(body or "")) for body in batch.column("_text").to_pylist()]
             if len(code) > MEMO or held > MEMO_CHARS:
-                for memo in (code, ids_at, text_at, word_ids):
+                for memo in (code, ids_at, text_at):
                     memo.clear()
                 held = 0
             fresh = set().union(*[chunks for parts in split for _, chunks in parts]).difference(code)
