@@ -11,7 +11,7 @@ from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, WorseTha
 from formbook.ml.trees import staged_outcomes
 from formbook.operators.metrics import averages_of_counts
 from formbook.operators.split import time_series_folds
-from formbook.schemas import CV_FOLDS, SEARCH_DRAWS, SEED
+from formbook.schemas import CV_FOLDS, FEATURES, SEARCH_DRAWS, SEED
 
 
 @dataclass(frozen=True)
@@ -68,14 +68,15 @@ def cv_scores(
     seed: int = SEED,
     parallel: int = 4,
     checkpoint_every: int = 10,
+    features: list[str] = FEATURES,
 ) -> DataFrame:
     """One row per trial and fold with train and test scores; null where no fit is possible.
 
-    ``train`` holds the features and ``result``. Every fold fits on all rows before its block. Trials that differ only
+    ``train`` holds the ``features`` and ``result``. Every fold fits on all rows before its block. Trials that differ only
     in their number of trees share one fit per fold, whose first trees are the smaller models; one pass scores them
     all. ``parallel`` fits run at a time as separate Spark jobs over the same persisted rows.
     """
-    rows = assemble(time_series_folds(train, folds)).select("features", "label", "fold")
+    rows = assemble(time_series_folds(train, folds), features).select("features", "label", "fold")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     draws = list(enumerate(space.draw(trials, seed)))
     alike: dict[SammeParams, list[tuple[int, SammeParams]]] = {}
@@ -88,9 +89,8 @@ def cv_scores(
         found: dict[tuple[int, bool], Row] = {}
         sizes: dict[int, int] = {}
         try:
-            model = SammeClassifier(replace(group[0][1], n_estimators=most), checkpoint_every=checkpoint_every).fit(
-                rows.filter(F.col("fold") < fold)
-            )
+            boosting = SammeClassifier(replace(group[0][1], n_estimators=most), features, checkpoint_every)
+            model = boosting.fit(rows.filter(F.col("fold") < fold))
         except WorseThanChance:
             pass
         else:

@@ -49,7 +49,7 @@ class Trained:
 
     def judged(self) -> DataFrame:
         """Test rows with their predictions."""
-        return self.model.transform(assemble(self.test))
+        return self.model.transform(assemble(self.test, self.model.features))
 
     def release(self) -> None:
         self.featured.unpersist()
@@ -64,13 +64,30 @@ def run_training(
     seed: int = SEED,
     weeks: int = TEST_WEEKS,
 ) -> Trained:
-    """Features, split by time, search on the training part, one final fit."""
-    featured = match_features(matches).persist(StorageLevel.MEMORY_AND_DISK)
+    """Features of the matches, then ``train_on`` them."""
+    return train_on(match_features(matches), as_of, space, trials, folds, seed, weeks)
+
+
+def train_on(
+    featured: DataFrame,
+    as_of: dt.datetime,
+    space: SearchSpace = SearchSpace(),
+    trials: int = SEARCH_DRAWS,
+    folds: int = CV_FOLDS,
+    seed: int = SEED,
+    weeks: int = TEST_WEEKS,
+    features: list[str] = FEATURES,
+) -> Trained:
+    """Split by time, search on the training part, one final fit.
+
+    ``featured`` holds ``match_id``, ``date``, ``result`` and the ``features``.
+    """
+    featured = featured.persist(StorageLevel.MEMORY_AND_DISK)
     train, test = temporal_split(featured, as_of, weeks)
-    scores = cv_scores(train, space, trials, folds, seed)
+    scores = cv_scores(train, space, trials, folds, seed, features=features)
     table = trial_table(scores)
     params = best_params(table, seed)
-    model = SammeClassifier(params).fit(assemble(train))
+    model = SammeClassifier(params, features).fit(assemble(train, features))
     return Trained(featured, model, params, scores, table, train, test, as_of, weeks, trials, folds)
 
 
@@ -88,7 +105,7 @@ def parameter_record(spark: SparkSession, run: Trained) -> DataFrame:
         "algorithm": "SAMME",
         "scoring": "f1_macro",
         "label_classes": ",".join(CLASSES),
-        "input_features": ",".join(FEATURES),
+        "input_features": ",".join(run.model.features),
         "n_iter_search": run.draws,
         "cv_folds": run.folds,
         "test_size_weeks": run.weeks,

@@ -31,9 +31,9 @@ from formbook.plans.dashboard import dashboard
 from formbook.plans.etl import run_etl
 from formbook.plans.leaderboards import analytics_snapshot, refresh_leaderboards
 from formbook.plans.scoring import asof_features, scoring_features, upcoming
+from formbook.registry import stumps
 from formbook.schemas import (
-    DROPPABLE_COLUMNS, FEATURES, PLAYER_STATS, RAW_STAT_COLUMNS, REQUIRED_COLUMNS, TEAM_STATS,
-
+    CLASSES, DROPPABLE_COLUMNS, FEATURES, PLAYER_STATS, RAW_STAT_COLUMNS, REQUIRED_COLUMNS, TEAM_STATS,
 )
 from formbook.session import new_path
 from formbook.sources import landed, seasons, tables, views
@@ -440,6 +440,43 @@ def retrain_gate(spark, folder):
 
 # --- model ---------------------------------------------------------------------------------
 
+_stump_runs: dict[tuple[str, str], tr.Trained] = {}
+
+
+def _stumps(spark: SparkSession, folder: str) -> tr.Trained:
+    """The whole training on two features of three values, with trees of one split, which SQL can follow."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stump_runs:
+        _stump_runs[key] = tr.train_on(
+            views.goal_rows(spark, folder), SPLIT_AS_OF, stumps.SPACE, stumps.TRIALS, stumps.FOLDS,
+            features=views.GOAL_FEATURES,
+        )
+    return _stump_runs[key]
+
+
+def stump_rounds(spark, folder):
+    """Split, error and say of each tree; no split where both sides vote alike."""
+    model = _stumps(spark, folder).model
+    lines = []
+    for i, (tree, error, alpha) in enumerate(zip(model.trees, model.errors, model.alphas)):
+        cut = tree.feature[0] >= 0
+        name = model.features[tree.feature[0]] if cut else None
+        lines.append((i, name, tree.threshold[0] if cut else None, error, alpha))
+    return rounded(spark.createDataFrame(lines, "round int, feature string, threshold double, error double, alpha double"))
+
+
+def stump_predictions(spark, folder):
+    """Test rows scored by the staged model, read back from the model store."""
+    root, run = new_path(spark, "warehouse"), _stumps(spark, folder)
+    run_id = store.new_run(spark, root)
+    run.model.save(spark, store.model_path(root, run_id))
+    store.set_stage(spark, root, "Production", run_id, store.register(spark, root, run_id))
+    model, _ = store.load_stage(spark, root, "Production")
+    judged = model.transform(assemble(run.test, model.features))
+    chances = [F.col("probabilities")[i].alias(f"prob_{c.lower()}") for i, c in enumerate(CLASSES)]
+    return rounded(judged.select("match_id", "result", "predicted_label", *chances))
+
+
 # Small budget for the registered queries; the library defaults are the full one.
 SPACE = SearchSpace(n_estimators=(2, 4), max_depth=(7, 10), max_features=(None,), learning_rate=(0.2, 0.5))
 _runs: dict[tuple[str, str], tr.Trained] = {}
@@ -685,6 +722,14 @@ QUERIES: dict[str, Query] = {
     "samme_round": _round("y_pred_weak"),
     "samme_round_at_chance": _round("y_pred"),
     "assembled": assembled,
+    "stump_rows": views.goal_rows,
+    "stump_rounds": stump_rounds,
+    "stump_cv_scores": lambda spark, folder: rounded(_stumps(spark, folder).scores),
+    "stump_search_trials": lambda spark, folder: rounded(_stumps(spark, folder).trials),
+    "stump_params": lambda spark, folder: tr.parameter_record(spark, _stumps(spark, folder)),
+    "stump_importances": lambda spark, folder: rounded(tr.importance_table(spark, _stumps(spark, folder).model)),
+    "stump_evaluation": lambda spark, folder: rounded(tr.evaluation(_stumps(spark, folder))),
+    "stump_predictions": stump_predictions,
     "samme_fit": samme_fit,
     "cv_scores": lambda spark, folder: _trained(spark, folder).scores,
     "random_search_trials": lambda spark, folder: _trained(spark, folder).trials,

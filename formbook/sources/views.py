@@ -5,6 +5,7 @@ These give every operator an input of the right shape and of any size.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from formbook.functions.columns import result_of
 from formbook.functions.season import season_start
 from formbook.operators.fixtures import with_match_key
 from formbook.operators.names import map_fixtures
@@ -205,3 +206,17 @@ def trial_scores(spark: SparkSession, folder: str) -> DataFrame:
         known.alias("test_macro_f1"),
         (known + F.col("trial") % 3 * 0.03).alias("test_accuracy"),
     )
+
+
+#: Features of ``goal_rows``, each of three values.
+GOAL_FEATURES = ["home_scored", "away_scored"]
+
+
+def goal_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Played matches with their result and each side's goals, two and more as one.
+
+    Trees of one split on these can be followed by hand, and in SQL.
+    """
+    played = matches(spark, folder).filter(F.col("home_goals").isNotNull())
+    capped = [F.least(f"{side}_goals", F.lit(2)).cast("double").alias(f"{side}_scored") for side in ("home", "away")]
+    return played.select("match_id", "date", result_of(F.col("home_goals"), F.col("away_goals")).alias("result"), *capped)
