@@ -64,25 +64,29 @@ def tokens(url: str = "url") -> Column:
         ("p:", F.split("path", r"[/._-]+")),
         ("q:", F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1))),
     )
-    marked = [F.transform(F.filter(x, lambda t: t != ""), lambda t, k=k: F.concat(F.lit(k), t)) for k, x in kinds]
-    return F.array_distinct(F.concat(*marked))
 
+    def marked(kind: str, pieces: Column) -> Column:
+        return F.transform(F.filter(pieces, lambda t: t != ""), lambda t: F.concat(F.lit(kind), t))
 
-def mined_rules(
+    return F.array_distinct(F.concat(*[marked(k, x) for k, x in kinds]))
+
+
+def class_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
-) -> DataFrame:
-    """``rule_id, items, confidence, support``: token combinations that imply a bad label.
+) -> tuple[DataFrame, DataFrame]:
+    """``rule_id, items, confidence, support`` and ``token, item``: combinations of token classes that imply a bad label.
 
-    ``labelled`` has ``tokens`` and a boolean ``bad``. A rule that contains another one is left out. All tokens of a
-    url take part, whatever their number, except where they cannot change the rules: a rule's tokens are each frequent among bad urls, a token
-    that is a rule by itself is in no other one, and of tokens in exactly the same urls a rule holds one, so that
-    one stands for all while mining and each has its rules afterwards.
+    ``labelled`` has ``tokens`` and a boolean ``bad``. Tokens in exactly the same labelled urls are one class, named by its smallest
+    token; a rule fits a url that has some token of each of its classes. A rule that contains another one is left out. All tokens of a
+    url take part, whatever their number, except where they cannot change the rules: a rule's tokens are each frequent
+    among bad urls, and a token that is a rule by itself is in no other one.
     """
-    empty = labelled.sparkSession.createDataFrame([], "rule_id long, items array<string>, confidence double, support double")
+    session = labelled.sparkSession
+    empty = session.createDataFrame([], "rule_id long, items array<string>, confidence double, support double")
     labelled = staged(labelled.filter(F.col("bad").isNotNull()).select("tokens", "bad"), "labelled")
     total = labelled.count()
     if not total:
-        return empty
+        return empty, session.createDataFrame([], "token string, item string")
     # Support is a share of all labelled urls, those without a frequent token included.
     least = max(1, math.ceil(min_support * total - 1e-9))
     rows = staged(labelled.withColumn("row", F.monotonically_increasing_id()), "baskets")
@@ -91,17 +95,20 @@ def mined_rules(
     counts = posting.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("hits"), *marks)
     counts = counts.filter(F.col("hits") >= least).withColumn("confidence", F.col("hits") / F.col("n"))
     counts = staged(counts, "tokens")
-    single = counts.filter(F.col("confidence") >= min_confidence)
-    single = single.select(F.array("token").alias("items"), "confidence", (F.col("hits") / total).alias("support"))
+    alone = F.col("confidence") >= min_confidence
+    single = counts.filter(alone).select(F.array("token").alias("items"), "confidence", (F.col("hits") / total).alias("support"))
     single = single.withColumn("rule_id", F.xxhash64("items")).select("rule_id", "items", "confidence", "support")
-    alike = counts.filter(F.col("confidence") < min_confidence).groupBy("n", "hits", "mark1", "mark2")
-    alike = staged(alike.agg(F.min("token").alias("token"), F.collect_list("token").alias("tokens")), "alike")
-    items = posting.join(alike.select("token"), "token").groupBy("row", "bad").agg(F.collect_list("token").alias("items"))
+    mark = ["n", "hits", "mark1", "mark2"]
+    alike = counts.filter(~alone).groupBy(*mark).agg(F.min("token").alias("item"))
+    classes = counts.filter(~alone).join(alike, mark).select("token", "item")
+    classes = staged(classes.unionByName(counts.filter(alone).select("token", F.col("token").alias("item"))), "classes")
+    items = posting.join(alike.select(F.col("item").alias("token")), "token")
+    items = items.groupBy("row", "bad").agg(F.collect_list("token").alias("items"))
     marked = items.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
     marked = staged(marked, "marked")
     held = marked.count()
     if not held:
-        return single
+        return single, classes
     # Half a url below the count, as the share is rounded up to one.
     share = min((least - 0.5) / held, 1.0)
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(marked)
@@ -113,27 +120,40 @@ def mined_rules(
     wide = rules.select("rule_id", F.size("items").alias("size"), F.explode("items").alias("token"))
     inner = wide.join(by_token, "token").filter("n < size").groupBy("rule_id", "part", "n").count().filter("count = n")
     rules = rules.join(inner.select("rule_id").distinct(), "rule_id", "left_anti")
-    # Every choice of one token from those each item stands for.
-    options = rules.select("rule_id", "confidence", "support", F.explode("items").alias("token")).join(alike.select("token", "tokens"), "token")
+    return single.unionByName(rules.select(*single.columns)), classes
+
+
+def mined_rules(
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+) -> DataFrame:
+    """The rules of ``class_rules`` written out token by token: every choice of one token from each class of a rule.
+
+    Their number is the product of the classes' sizes, so this is for reading rules; matching goes by class.
+    """
+    rules, classes = class_rules(labelled, min_support, min_confidence)
+    tokens_of = classes.groupBy("item").agg(F.collect_list("token").alias("tokens"))
+    options = rules.select("rule_id", "confidence", "support", F.explode("items").alias("item")).join(tokens_of, "item")
     options = options.groupBy("rule_id", "confidence", "support").agg(F.collect_list("tokens").alias("options"))
     longer = lambda chosen, tokens: F.flatten(F.transform(chosen, lambda c: F.transform(tokens, lambda t: F.concat(c, F.array(t)))))
     none = F.array(F.array().cast("array<string>"))
     spread = options.select("confidence", "support", F.explode(F.aggregate("options", none, longer)).alias("items"))
     spread = spread.withColumn("items", F.sort_array("items")).withColumn("rule_id", F.xxhash64("items"))
-    return single.unionByName(spread)
+    return spread.select("rule_id", "items", "confidence", "support")
 
 
-def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def matches(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
     """``key, confidence``: urls (``key, tokens``) that some rule fits, through an inverted index.
 
-    A rule is indexed by its rarest token alone and verified on the whole token set.
+    A url's tokens become their classes first. A rule is indexed by its rarest class alone and verified on all classes of the url.
     """
-    terms = rules.select("rule_id", "items", "confidence", F.explode("items").alias("token"))
-    posting = urls.select("key", "tokens", F.explode("tokens").alias("token"))
-    counts = posting.join(terms.select("token").distinct(), "token").groupBy("token").count()
-    rarest = terms.join(counts, "token").groupBy("rule_id").agg(F.min(F.struct("count", "token"))["token"].alias("token"))
-    index = rules.join(rarest, "rule_id").select("token", "items", "confidence")
-    hit = posting.join(index, "token").filter(F.size(F.array_except("items", "tokens")) == 0)
+    held = urls.select("key", F.explode("tokens").alias("token")).join(classes, "token")
+    held = staged(held.groupBy("key").agg(F.collect_set("item").alias("held")), "held")
+    posting = held.select("key", "held", F.explode("held").alias("item"))
+    terms = rules.select("rule_id", F.explode("items").alias("item"))
+    counts = posting.join(terms.select("item").distinct(), "item").groupBy("item").count()
+    rarest = terms.join(counts, "item").groupBy("rule_id").agg(F.min(F.struct("count", "item"))["item"].alias("item"))
+    index = rules.join(rarest, "rule_id").select("item", "items", "confidence")
+    hit = posting.join(index, "item").filter(F.size(F.array_except("items", "held")) == 0)
     return hit.groupBy("key").agg(F.max("confidence").alias("confidence"))
 
 
@@ -159,9 +179,9 @@ def judge(
     frame = staged(frame, "urls")
     labels = labels.groupBy(F.col(id).alias("_id")).agg(F.max("bad").alias("bad"))
     labelled = frame.select("_id", F.col("_tokens").alias("tokens")).join(labels, "_id")
-    mined = mined_rules(labelled, min_support, min_confidence)
+    mined, classes = class_rules(labelled, min_support, min_confidence)
     sets = frame.select(F.xxhash64("_tokens").alias("key"), F.col("_tokens").alias("tokens")).dropDuplicates(["key"])
-    found = matches(sets, mined).withColumnRenamed("key", "_key")
+    found = matches(sets, mined, classes).withColumnRenamed("key", "_key")
     judged = frame.withColumn("_key", F.xxhash64("_tokens")).join(found, "_key", "left")
     verdict = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return judged.select(

@@ -151,3 +151,27 @@ def test_tokens_of_the_same_urls_each_have_their_rules(spark):
     frame = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
     got = {tuple(r["items"]): (r.confidence, r.support) for r in urls.mined_rules(frame, 0.1, 0.8).collect()}
     assert got == {tuple(sorted((a, b))): (1.0, 0.25) for a in "xu" for b in ("y", "y2")}
+
+
+def test_many_tokens_of_the_same_urls_are_matched_without_writing_rules_out(spark):
+    """Three kinds of urls, each with 200 tokens of its own; bad are those that have all three kinds: 8 million choices, one rule."""
+    kinds = [[f"{k}{i}" for i in range(200)] for k in "abc"]
+    rows = []
+    for i in range(80):
+        chosen = [k for j, k in enumerate(kinds) if i >> j & 1]
+        rows.append((i, "http://h/" + "/".join(t for k in chosen for t in k), i & 7 == 7))
+    rows += [(1000, "http://h/a7/b190/c3", None), (1001, "http://h/a7/a8/c3", None), (1002, "http://h/", None)]
+    frame = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "page_id long, bad boolean")
+    judged = urls.judge(frame, labels, min_support=0.05, rules=())
+    assert {r.page_id for r in judged.filter("verdict = 'block'").collect()} == {i for i, _, bad in rows if bad} | {1000}
+    tokens = urls.parsed(frame).withColumn("tokens", urls.tokens()).join(labels, "page_id").select("tokens", "bad")
+    rules, classes = urls.class_rules(tokens, 0.05)
+    assert [r["items"] for r in rules.collect()] == [["p:a0", "p:b0", "p:c0"]]
+    assert classes.count() == 601  # and the host
+
+
+def test_tokens_carry_their_kind_and_no_place(spark):
+    frame = spark.createDataFrame([("http://a.b/a/c.d?a=1&c=2#x",), ("http://b.a/d/c/a?c&a",), (None,)], "url string")
+    got = [sorted(r[0]) for r in urls.parsed(frame).select(urls.tokens()).collect()]
+    assert got == [["h:a", "h:b", "p:a", "p:c", "p:d", "q:a", "q:c"]] * 2 + [[]]
