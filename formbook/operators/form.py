@@ -7,7 +7,9 @@ from formbook.operators.chunks import ROWS_PER_CHUNK, time_chunks
 from formbook.operators.timeline import team_rows
 from formbook.operators.trailing import full_sum, history_rows, match_order, part_keys
 from formbook.schemas import WINDOW
+from formbook.session import staged
 
+TIMELINE = ["match_id", "date", "side", "team", "goals", "goals_conceded", "xg", "ppda", "deep_completions", "points", "old", "known"]
 AVERAGED = ["goals", "goals_conceded", "xg", "ppda", "deep_completions"]
 
 
@@ -130,16 +132,17 @@ def form_before(
     Returns one row per fixture and side: matches found, averages, points and
     venue results; null unless all five exist with known values. No pair of
     fixture and match is formed: both lie on one timeline, and each fixture
-    takes over the newest state before it.
+    takes over the newest state before it. A timeline of more than one chunk is written once, when this is called, and all
+    later steps read only that: what is old comes as five rows per team and side, so its size follows the fixtures and the matches among them.
     """
     stats = [*AVERAGED, "points"]
-    lines = _lines(matches, fixtures)
+    lines = _lines(matches, fixtures).select(*TIMELINE)
     # Rows older than every fixture are few per team; only the others can crowd a task.
     cuts = time_chunks(lines.filter(~F.col("old")), rows_per_chunk, late="known")
     known = F.col("known")
     if cuts:
         by = ["chunk", "team"]
-        lines = cuts.assign(lines)
+        lines = staged(cuts.assign(lines), "timeline")
         # Overall form needs the history of both sides wherever a team appears.
         sides = F.explode(F.array(F.lit("home"), F.lit("away"))).alias("side")
         starts = lines.select("chunk", "team").distinct().select("chunk", "team", sides)

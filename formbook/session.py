@@ -35,3 +35,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read from there, so that later uses do not compute it again."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
