@@ -31,7 +31,7 @@ LEXICON_WORDS = 200_000
 LEXICON_BYTES = 1 << 25  # of its words in all
 LEXICON_LENGTH = 4096  # bytes of one of them
 COUNTED = 200_000  # different chunks a task counts before it passes their words on
-MEMO = 200_000  # different chunks a task remembers
+MEMO = 400_000  # different chunks and words a task remembers
 MEMO_CHARS = 20_000_000  # and their characters in all
 LONG_WORD = 64  # bytes; longer words are merged with a heap
 BLOCK = 4096  # words merged side by side
@@ -39,6 +39,7 @@ NO_ID = (1 << 31) - 1
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]").search  # space to ``str.split``, not to the tokenizer
 _UNSPACED = regex.compile(r"\S+").findall
+_MARKS = ".,;:!?"  # each a word of its own after letters
 _LOWER_ALONE = "Σ"  # the only letter whose lower case depends on its neighbours
 
 
@@ -98,15 +99,13 @@ class Tokenizer:
         text = text.lower()
         return _UNSPACED(text) if _ODD_SPACE(text) else text.split()
 
-    def words(self, chunk: str | bytes) -> list[bytes]:
-        """Words of a chunk; bytes are a word already."""
-        if isinstance(chunk, bytes):
+    def words(self, chunk: str | bytes) -> list[str | bytes]:
+        """Words of a chunk; bytes are a word already. A word split again is that word alone."""
+        if isinstance(chunk, bytes) or chunk.isalpha():  # letters are one word
             return [chunk]
-        if chunk.isalpha():  # letters are one word
-            return [chunk.encode()]
-        if chunk.isascii():
-            return [w.encode() for w in self._find_ascii(chunk)]
-        return [w.encode() for w in self._find(chunk)]
+        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return self._find_ascii(chunk) if chunk.isascii() else self._find(chunk)
 
     def _library_words(self, text: str) -> list[bytes]:
         """Words by the tokenizers library, whose Unicode tables decide on unknown code points."""
@@ -147,17 +146,21 @@ class Tokenizer:
         return np.where(self._pairs[at] == pair, self._pair_ranks[at], len(self.merged))
 
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
-        """``merge`` for many words: each round merges one pair in every word of a block."""
-        out: list[list[int]] = [[]] * len(words)
+        """``merge`` for many words."""
+        return [np.frombuffer(ids, np.int32).tolist() for ids in self.merge_packed(words)]
+
+    def merge_packed(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` for many words, ids as 32-bit integers: each round merges one pair in every word of a block."""
+        out = [b""] * len(words)
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         while order and len(words[order[-1]]) > LONG_WORD:
             k = order.pop()
-            out[k] = self.merge(words[k])
+            out[k] = array("i", self.merge(words[k])).tobytes()
         for lo in range(0, len(order), BLOCK):
             self._merge_block(words, order[lo : lo + BLOCK], out)
         return out
 
-    def _merge_block(self, words: list[bytes], block: list[int], out: list[list[int]]) -> None:
+    def _merge_block(self, words: list[bytes], block: list[int], out: list[bytes]) -> None:
         width = len(words[block[-1]])
         data = np.frombuffer(b"".join([words[k].ljust(width, b"\0") for k in block]), np.uint8).reshape(-1, width)
         size, col = np.array([len(words[k]) for k in block]), np.arange(width)
@@ -173,8 +176,9 @@ class Tokenizer:
             else:
                 more = np.zeros(len(which), bool)
             done = ids[~more]
-            for k, found, n in zip(which[~more].tolist(), done.tolist(), (done != NO_ID).sum(1).tolist()):
-                out[k] = found[:n]
+            flat, at = done.astype(np.int32).tobytes(), range(0, 4 * done.size, 4 * ids.shape[1])
+            for k, lo, n in zip(which[~more].tolist(), at, (4 * (done != NO_ID).sum(1)).tolist()):
+                out[k] = flat[lo : lo + n]
             if not more.any():
                 return
             ids, ranks, which, best, rank = ids[more], ranks[more], which[more], best[more], rank[more]
@@ -268,12 +272,16 @@ class Lexicon:
             self._map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         at, blocks, kinds = 48, [], (np.int64, np.int32, np.int32, np.int32, np.int32, np.bool_)
         for kind, n in zip(kinds, struct.unpack("<6q", self._map[:48])):
-            blocks.append(np.frombuffer(self._map, kind, n // np.dtype(kind).itemsize, at))
+            blocks.append((at, np.frombuffer(self._map, kind, n // np.dtype(kind).itemsize, at)))
             at += n
-        self._edges, self._targets, self._passed, self._starts, self._ids, self._finals = blocks
+        (_, self._edges), (_, self._targets), (_, self._passed), (_, self._starts), (self._first, _), (_, self._finals) = blocks
 
     def ids(self, words: list[bytes]) -> list[list[int] | None]:
-        """Token ids of each word; None if it is not in the lexicon. All words walk the automaton together."""
+        """Token ids of each word; None if it is not in the lexicon."""
+        return [ids if ids is None else np.frombuffer(ids, np.int32).tolist() for ids in self.packed(words)]
+
+    def packed(self, words: list[bytes]) -> list[bytes | None]:
+        """The same as 32-bit integers. All words walk the automaton together."""
         data, size = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words], np.int64)
         at = np.cumsum(size) - size
         state, index = np.full(len(words), len(self._finals) - 1), np.zeros(len(words), np.int64)
@@ -289,10 +297,11 @@ class Lexicon:
             i += 1
             on = on[size[on] > i]
         state[on] = -1  # words with letters, and a lexicon without
-        out: list[list[int] | None] = [None] * len(words)
+        out: list[bytes | None] = [None] * len(words)
         found = np.flatnonzero((state >= 0) & self._finals[state])
-        for k, lo, hi in zip(found.tolist(), self._starts[index[found]].tolist(), self._starts[index[found] + 1].tolist()):
-            out[k] = self._ids[lo:hi].tolist()
+        starts, ends = (self._first + 4 * self._starts[index[found] + i] for i in (0, 1))
+        for k, lo, hi in zip(found.tolist(), starts.tolist(), ends.tolist()):
+            out[k] = self._map[lo:hi]
         return out
 
 
@@ -310,7 +319,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
             for chunk, n in counter.items():
                 for word in tokenizer.words(chunk):
                     words[word] += n
-            names = pa.array([w.decode() for w in words], pa.string())
+            names = pa.array([w if isinstance(w, str) else w.decode() for w in words], pa.string())
             return pa.RecordBatch.from_arrays([names, pa.array(words.values(), pa.int64())], ["word", "n"])
 
         for batch in slices(batches):
@@ -355,50 +364,46 @@ def encoded(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_
 
     def encode(batches):
         tokenizer, words = tokenizer_of(path), Lexicon(shared.value)
-        tokens = tokenizer.tokens
-        code: dict[str | bytes, int] = {}  # chunks met so far, and their places in the two lists
-        ids_at: list[bytes] = []  # ids as 32-bit integers
-        text_at: list[str] = []
+        names = pa.array([tokenizer.tokens.get(i, "") for i in range(max(tokenizer.tokens) + 1)], pa.string())
+        special = {mark: array("i", [i]).tobytes() for mark, i in tokenizer.special.items()}
+        code: dict[str | bytes, bytes] = {}  # ids, as 32-bit integers, of the chunks and words met so far
         held = 0
 
         def learn(chunks):
-            found = {c: tokenizer.words(c) for c in chunks}
-            fresh = list({w for ws in found.values() for w in ws})
-            word_ids = dict(zip(fresh, words.ids(fresh)))
-            rest = [w for w, ids in word_ids.items() if ids is None]
-            word_ids.update(zip(rest, tokenizer.merge_all(rest)))
-            for chunk, ws in found.items():
-                ids = word_ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in word_ids[w]]
-                code[chunk] = len(ids_at)
-                ids_at.append(array("i", ids).tobytes())
-                text_at.append(tokens[ids[0]] if len(ids) == 1 else " ".join([tokens[i] for i in ids]))
+            """Adds chunks and their words to the memo; returns the characters added."""
+            parts = {c: ws for c in chunks if len(ws := tokenizer.words(c)) != 1 or ws[0] != c}
+            fresh = chunks.difference(parts).union(*parts.values()).difference(code)
+            order = list(fresh)
+            data = [w if isinstance(w, bytes) else w.encode() for w in order]
+            ids = words.packed(data)
+            rest = [k for k, found in enumerate(ids) if found is None]
+            for k, found in zip(rest, tokenizer.merge_packed([data[k] for k in rest])):
+                ids[k] = found
+            code.update(zip(order, ids))
+            for c, ws in parts.items():
+                code[c] = b"".join([code[w] for w in ws])
+            return sum(map(len, order)) + sum(map(len, parts))
 
         for batch in short_batches(batches):
             split = [list(tokenizer.parts(body or "")) for body in batch.column("_text").to_pylist()]
             if len(code) > MEMO or held > MEMO_CHARS:
-                for memo in (code, ids_at, text_at):
-                    memo.clear()
+                code.clear()
                 held = 0
-            fresh = set().union(*[chunks for parts in split for _, chunks in parts]).difference(code)
-            learn(fresh)
-            held += sum(map(len, fresh))
-            flat, ends, texts = [], [0], []
+            held += learn(set().union(*[chunks for parts in split for _, chunks in parts]).difference(code))
+            flat = []
             for parts in split:
-                ids, decoded = [], []
+                ids = []
                 for mark, chunks in parts:
-                    at = list(map(code.__getitem__, chunks))
-                    ids.extend(map(ids_at.__getitem__, at))
-                    decoded.extend(map(text_at.__getitem__, at))
+                    ids.extend(map(code.__getitem__, chunks))
                     if mark:
-                        ids.append(array("i", [tokenizer.special[mark]]).tobytes())
-                        decoded.append(mark)
+                        ids.append(special[mark])
                 flat.append(b"".join(ids))
-                ends.append(ends[-1] + len(flat[-1]) // 4)
-                texts.append(" ".join(decoded))
-            ends = np.array(ends, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(flat), np.int32)))
-            n = pa.array(np.diff(ends).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), n, ids, pa.array(texts, pa.string())], ["_row", *added])
+            n = np.array([len(ids) // 4 for ids in flat], np.int64)
+            ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            ids = pa.array(np.frombuffer(b"".join(flat), np.int32))
+            decoded = pc.binary_join(pa.ListArray.from_arrays(ends, names.take(ids)), " ")
+            columns = [batch.column("_row"), pa.array(n), pa.ListArray.from_arrays(ends, ids), decoded]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", *added])
 
     packed = docs.select(row_of(rest).alias("_row"), quoted(text).cast("string").alias("_text"))
     done = packed.mapInArrow(encode, schema_after(packed, ["_row"], "n_tokens long, ids array<int>, decoded string"))
