@@ -13,7 +13,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 from rows import MATCH_SCHEMA, match
 
-from formbook.ml import store, trees, tuning
+from formbook.ml import samme, store, trees, tuning
 from formbook.ml.estimator import BoostedTrees
 from formbook.ml.samme import SammeClassifier, SammeModel, SammeParams, WorseThanChance, assemble, balanced_weights
 from formbook.ml.tuning import SearchSpace, best_params, cv_scores, top_trials, trial_table
@@ -299,6 +299,33 @@ def test_shared_fits_score_like_separate_ones(frame, monkeypatch):
         assert [r[1:] for r in alone] == [r[1:] for r in shared if r["trial"] == i]
 
 
+def test_counted_rows_are_fitted_like_the_rows(spark, monkeypatch):
+    pick, names = random.Random(5), ["x", "y"]
+    day = datetime(2001, 1, 1)
+    data = []
+    for i in range(600):
+        x, y = pick.randrange(3), pick.randrange(3)
+        result = CLASSES[2] if x > y else CLASSES[1] if x < y else CLASSES[0]
+        data.append((i, day + timedelta(hours=i), pick.choice(CLASSES) if pick.random() < 0.2 else result, float(x), float(y)))
+    df = spark.createDataFrame(data, "match_id long, date timestamp_ntz, result string, x double, y double")
+    space = SearchSpace(n_estimators=(2, 5), max_depth=(1, 3), min_samples_leaf=(1, 2), min_samples_split=(2, 3), max_features=(None,))
+    fitted, fit = [], SammeClassifier.fit
+    monkeypatch.setattr(SammeClassifier, "fit", lambda self, rows: (fitted.append(rows.count()), fit(self, rows))[1])
+    plain, counted = (
+        train.train_on(df, datetime(2001, 3, 1), space, trials=2, folds=2, features=names, tally=tally) for tally in (False, True)
+    )
+    assert max(fitted[:5]) > 400 and max(fitted[5:]) <= 27 * 2  # cells of two features, result and fold
+    for a, b in zip(plain.scores.collect(), counted.scores.collect()):
+        assert a[:8] == b[:8] and a[8:] == pytest.approx(b[8:])
+    nodes = [[(t.feature, t.threshold, t.right, t.label) for t in run.model.trees] for run in (plain, counted)]
+    assert nodes[0] == nodes[1] and plain.model.alphas == pytest.approx(counted.model.alphas)
+    with pytest.raises(ValueError, match="minimum"):
+        fit(SammeClassifier(SammeParams(min_samples_leaf=2), names), assemble(samme.tallied(df, names), names))
+    leaves = replace(space, min_samples_leaf=(2, 3))
+    train.train_on(df, datetime(2001, 3, 1), leaves, trials=1, folds=2, features=names, tally=True)
+    assert min(fitted[-3:]) > 100  # a minimum of rows is held against the rows themselves
+
+
 def test_estimator_in_a_saved_pipeline(frame, spark, tmp_path):
     df = frame(200, 0.1)
     data = assemble(df).select("match_id", *FEATURES, "label")
