@@ -64,6 +64,21 @@ def test_crowded_day_is_split_by_id(make):
     assert computed(match_features(df, rows_per_chunk=10)) == expected
 
 
+def test_only_instants_at_a_quantile_are_counted(make, monkeypatch):
+    """A crowded instant holds a quantile, so the rows of all others need no shuffle."""
+    df = make([match(i, "A", "B", 1, 0, day=1000 if i % 5 == 0 else i) for i in range(400)])
+    counted, group = [], type(df).groupBy
+
+    def grouped(self, *keys):
+        if keys == ("at",):
+            counted.append(self.count())
+        return group(self, *keys)
+
+    monkeypatch.setattr(type(df), "groupBy", grouped)
+    chunks = time_chunks(df, 40)
+    assert len(chunks.crowded) == 1 and max(counted) <= 80 + len(chunks.cuts)
+
+
 def test_chunk_order_follows_date_and_id(make):
     df = make(season(100, TEAMS, 4, same_day=True))
     chunks = time_chunks(df, 8)
