@@ -105,6 +105,22 @@ def test_worse_than_chance(spark, frame):
         SammeClassifier(SammeParams(n_estimators=2)).fit(assemble(df))
 
 
+def test_training_ends_without_a_boostable_tree(spark, frame, tmp_path):
+    """Equal features everywhere: the search's best trial cannot be boosted on all training rows, and the job goes on."""
+    df = frame(90, 0.0).withColumns({f: F.lit(1.0) for f in FEATURES})
+    df = df.withColumn("result", F.element_at(F.array(*map(F.lit, CLASSES)), (F.col("match_id") % 3 + 1).cast("int")))
+    space = SearchSpace(n_estimators=(3, 4), max_depth=(2, 3), max_features=(None,))
+    run = train.train_on(df, datetime(2000, 1, 1) + timedelta(days=74), space, trials=1, folds=2, weeks=2)  # 60 rows, 20 a class
+    assert not run.model.boosted and len(run.model.trees) == 1 and run.model.errors == [pytest.approx(2 / 3)]
+    assert train.evaluation(run).first()["accuracy"] == pytest.approx(1 / 3)
+    record = {r["name"]: r["value"] for r in train.parameter_record(spark, run).collect()}
+    assert (record["n_estimators"], record["rounds_kept"]) == ("3", "0")
+    run.model.save(spark, str(tmp_path))
+    again = SammeModel.load(spark, str(tmp_path))
+    assert not again.boosted and {r["predicted_label"] for r in again.transform(assemble(run.test)).collect()} < set(CLASSES)
+    run.release()
+
+
 def test_balanced_weights(frame):
     weights = {r["label"]: r for r in balanced_weights(frame(300, 0.0)).collect()}
     assert sum(r["n"] * r["weight"] for r in weights.values()) == pytest.approx(300)
