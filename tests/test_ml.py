@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
-from rows import MATCH_SCHEMA, match
+from rows import MATCH_SCHEMA, START, match
 
 from formbook.ml import samme, store, trees, tuning
 from formbook.ml.estimator import BoostedTrees
@@ -200,6 +200,20 @@ def test_errors_after_the_fit_end_in_the_status(spark, small, tmp_path, monkeypa
     assert again["deployment"] == "FAILED: OSError: no room" and again["promoted"] is None and again["run_id"] == 2
 
 
+def test_train_job_ends_without_a_boostable_tree(spark, tmp_path):
+    """Trees of one leaf over as many wins as draws and losses: the job evaluates, records and deploys that leaf."""
+    games = [match(i, "A", "B", int(i % 3 == 0), int(i % 3 == 2)) for i in range(105)]  # the first 15 lack form
+    space = SearchSpace(n_estimators=(2, 3), max_depth=(2, 3), min_samples_leaf=(1000, 1001), max_features=(None,))
+    as_of = START + timedelta(days=104)
+    done = train.train_job(
+        spark, spark.createDataFrame(games, MATCH_SCHEMA), as_of, str(tmp_path), space=space, trials=1, folds=2, weeks=2
+    ).first()
+    assert (done["train_rows"], done["test_rows"], done["accuracy"]) == (75, 15, pytest.approx(1 / 3))
+    assert (done["status"], done["evaluation"], done["deployment"], done["promoted"]) == ("SUCCESS", "SUCCESS", "SUCCESS", True)
+    model, _ = store.load_stage(spark, str(tmp_path))
+    assert not model.boosted and model.errors == [pytest.approx(2 / 3)]
+
+
 def test_deploy_picks_the_best_run_not_the_newest(spark, frame, tmp_path):
     root = str(tmp_path)
     with pytest.raises(train.NothingToDeploy):
