@@ -45,3 +45,8 @@ def test_cv_scores(ask):
     assert [(r["trial"], r["fold"]) for r in found] == [(t, f) for t in range(2) for f in range(1, 4)]
     for r in found:
         assert (r["test_macro_f1"] is None) == (r["train_macro_f1"] is None) == (r["test_accuracy"] is None)
+
+
+def test_evaluate_model(ask):
+    (found,) = ask("evaluate_model")
+    assert found["accuracy"] == pytest.approx(1 / 3) and found["macro_f1"] == pytest.approx(1 / 6)  # one class for all rows
