@@ -50,3 +50,8 @@ def test_cv_scores(ask):
 def test_evaluate_model(ask):
     (found,) = ask("evaluate_model")
     assert found["accuracy"] == pytest.approx(1 / 3) and found["macro_f1"] == pytest.approx(1 / 6)  # one class for all rows
+
+
+def test_final_model_params(ask):
+    record = {r["name"]: r["value"] for r in ask("final_model_params")}
+    assert (record["rounds_kept"], record["n_estimators"], record["max_depth"]) == ("0", "2", "9")
