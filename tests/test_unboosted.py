@@ -55,3 +55,11 @@ def test_evaluate_model(ask):
 def test_final_model_params(ask):
     record = {r["name"]: r["value"] for r in ask("final_model_params")}
     assert (record["rounds_kept"], record["n_estimators"], record["max_depth"]) == ("0", "2", "9")
+
+
+def test_gameweek_job(ask):
+    found = {r["step"]: (r["status"], r["rows"]) for r in ask("gameweek_job")}
+    assert found == {
+        "load_model": ("OK", 1), "fixtures": ("OK", 1), "skipped": ("OK", 0), "error": ("OK", 0), "predicted": ("OK", 1),
+        "save_predictions": ("OK", 1), "save_importances": ("OK", 8),
+    }
