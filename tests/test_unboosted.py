@@ -9,6 +9,7 @@ import datetime as dt
 import pytest
 
 from formbook.registry.queries import QUERIES
+from formbook.schemas import CLASSES
 
 SINGLE = 456  # keys in this step keep T00 against T01, and NATION_0 against NATION_1
 FLAGS = ["R", "N", "A"]  # win, draw, loss
@@ -63,3 +64,10 @@ def test_gameweek_job(ask):
         "load_model": ("OK", 1), "fixtures": ("OK", 1), "skipped": ("OK", 0), "error": ("OK", 0), "predicted": ("OK", 1),
         "save_predictions": ("OK", 1), "save_importances": ("OK", 8),
     }
+
+
+def test_gameweek_predictions(ask):
+    (found,) = ask("gameweek_predictions")  # the week's games are of one pair, and its latest counts
+    assert (found["home_team"], found["away_team"], found["error"]) == ("T00", "T01", None)
+    chances = found["class_probabilities"]
+    assert sorted(chances) == CLASSES and chances[found["predicted_result"]] == found["confidence"] == max(chances.values())
