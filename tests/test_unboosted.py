@@ -9,7 +9,7 @@ import datetime as dt
 import pytest
 
 from formbook.registry.queries import QUERIES
-from formbook.schemas import CLASSES
+from formbook.schemas import CLASSES, FEATURES
 
 SINGLE = 456  # keys in this step keep T00 against T01, and NATION_0 against NATION_1
 FLAGS = ["R", "N", "A"]  # win, draw, loss
@@ -71,3 +71,7 @@ def test_gameweek_predictions(ask):
     assert (found["home_team"], found["away_team"], found["error"]) == ("T00", "T01", None)
     chances = found["class_probabilities"]
     assert sorted(chances) == CLASSES and chances[found["predicted_result"]] == found["confidence"] == max(chances.values())
+
+
+def test_model_importances(ask):
+    assert [tuple(r) for r in ask("model_importances")] == [(f, 0.0) for f in FEATURES]  # no split, no importance
