@@ -75,3 +75,7 @@ def test_gameweek_predictions(ask):
 
 def test_model_importances(ask):
     assert [tuple(r) for r in ask("model_importances")] == [(f, 0.0) for f in FEATURES]  # no split, no importance
+
+
+def test_model_roundtrip(ask):
+    assert sorted(tuple(r) for r in ask("model_roundtrip")) == [(c, 5, 0) for c in CLASSES]
