@@ -79,3 +79,13 @@ def test_model_importances(ask):
 
 def test_model_roundtrip(ask):
     assert sorted(tuple(r) for r in ask("model_roundtrip")) == [(c, 5, 0) for c in CLASSES]
+
+
+def test_random_search_trials(ask):
+    """A trial's means are null where one of its folds could not be fitted, and all of them then."""
+    unfit = {r["trial"] for r in ask("cv_scores") if r["test_macro_f1"] is None}
+    found = sorted(ask("random_search_trials"), key=lambda r: r["trial"])
+    assert [r["trial"] for r in found] == [0, 1]
+    for r in found:
+        means = [r[c] is None for c in ("mean_train_score", "mean_test_score", "std_test_score", "mean_test_accuracy")]
+        assert means == [r["trial"] in unfit] * 4
