@@ -89,3 +89,11 @@ def test_random_search_trials(ask):
     for r in found:
         means = [r[c] is None for c in ("mean_train_score", "mean_test_score", "std_test_score", "mean_test_accuracy")]
         assert means == [r["trial"] in unfit] * 4
+
+
+def test_train_job_deployment(ask):
+    """The first job's leaf goes into production; the second's, no better, does not take its place."""
+    assert [tuple(r) for r in ask("train_job_deployment")] == [
+        ("SUCCESS", 1, 15, 15, "SUCCESS", "SUCCESS", 1, 1, True),
+        ("SUCCESS", 2, 15, 15, "SUCCESS", "SUCCESS", 1, 1, False),
+    ]
