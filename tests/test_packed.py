@@ -150,3 +150,12 @@ def test_cv_scores_runs_the_whole_search(spark, folder):
     for r in found:
         drawn = draws[r["trial"]]
         assert (r["n_estimators"], r["max_depth"], r["max_features"]) == (drawn.n_estimators, drawn.max_depth, drawn.max_features)
+
+
+def test_evaluate_model_is_of_the_best_draw(spark, folder):
+    """The evaluated model is that of the best of fifty draws."""
+    (found,) = QUERIES["evaluate_model"](spark, folder).collect()
+    assert all(0 <= v <= 1 for v in found.asDict().values())
+    best = max(QUERIES["random_search_trials"](spark, folder).collect(), key=lambda r: (r["mean_test_score"] or -1, -r["trial"]))
+    record = {r["name"]: r["value"] for r in QUERIES["final_model_params"](spark, folder).collect()}
+    assert (record["n_estimators"], record["max_depth"]) == (str(best["n_estimators"]), str(best["max_depth"]))
