@@ -159,3 +159,8 @@ def test_evaluate_model_is_of_the_best_draw(spark, folder):
     best = max(QUERIES["random_search_trials"](spark, folder).collect(), key=lambda r: (r["mean_test_score"] or -1, -r["trial"]))
     record = {r["name"]: r["value"] for r in QUERIES["final_model_params"](spark, folder).collect()}
     assert (record["n_estimators"], record["max_depth"]) == (str(best["n_estimators"]), str(best["max_depth"]))
+
+
+def test_final_model_params_tell_the_whole_search(spark, folder):
+    record = {r["name"]: r["value"] for r in QUERIES["final_model_params"](spark, folder).collect()}
+    assert (record["n_iter_search"], record["cv_folds"]) == ("50", "5") and 100 <= int(record["n_estimators"]) < 600
