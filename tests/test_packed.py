@@ -164,3 +164,11 @@ def test_evaluate_model_is_of_the_best_draw(spark, folder):
 def test_final_model_params_tell_the_whole_search(spark, folder):
     record = {r["name"]: r["value"] for r in QUERIES["final_model_params"](spark, folder).collect()}
     assert (record["n_iter_search"], record["cv_folds"]) == ("50", "5") and 100 <= int(record["n_estimators"]) < 600
+
+
+def test_model_importances_are_of_all_trees(spark, folder):
+    """Every tree kept adds to them: more than the two or three that a cut search fits."""
+    found = [tuple(r) for r in QUERIES["model_importances"](spark, folder).collect()]
+    record = {r["name"]: r["value"] for r in QUERIES["final_model_params"](spark, folder).collect()}
+    assert sorted(f for f, _ in found) == sorted(FEATURES) and sum(v for _, v in found) == pytest.approx(1.0)
+    assert int(record["rounds_kept"]) > 3
