@@ -172,3 +172,7 @@ def test_model_importances_are_of_all_trees(spark, folder):
     record = {r["name"]: r["value"] for r in QUERIES["final_model_params"](spark, folder).collect()}
     assert sorted(f for f, _ in found) == sorted(FEATURES) and sum(v for _, v in found) == pytest.approx(1.0)
     assert int(record["rounds_kept"]) > 3
+
+
+def test_random_search_trials_has_all_draws(spark, folder):
+    assert QUERIES["random_search_trials"](spark, folder).count() == 50
