@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from formbook.ml import tuning
 from formbook.ml.packed import boost, fold_outcomes, in_tasks, pack
 from formbook.ml.samme import SammeClassifier, SammeParams, WorseThanChance, assemble
 from formbook.ml.tuning import SearchSpace, cv_scores
@@ -176,3 +177,36 @@ def test_model_importances_are_of_all_trees(spark, folder):
 
 def test_random_search_trials_has_all_draws(spark, folder):
     assert QUERIES["random_search_trials"](spark, folder).count() == 50
+
+
+def test_large_tables_are_fitted_alone_and_held_on_disk(table, spark, monkeypatch):
+    """Above the limit one fit at a time; what training persists itself takes no executor memory."""
+    stored = spark.sparkContext._jsc.sc().getPersistentRDDs
+    before = set(stored().keys().mkString(",").split(","))
+    running, most, levels = [], [], []
+    fit, tree = SammeClassifier.fit, SammeClassifier._tree
+
+    def watched(self, df):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return fit(self, df)
+        finally:
+            running.pop()
+
+    def grown(self, round_):
+        held = spark.sparkContext._jsc.getPersistentRDDs()
+        levels.extend(held[k].getStorageLevel().useMemory() for k in held if str(k) not in before)
+        return tree(self, round_)
+
+    monkeypatch.setattr(SammeClassifier, "fit", watched)
+    monkeypatch.setattr(SammeClassifier, "_tree", grown)
+    space = SearchSpace(n_estimators=(2, 3), max_depth=(2, 4), max_features=(None,), learning_rate=(0.2, 0.5))
+    df = table(300)
+    for limit, together in ((10_000, False), (10, True)):
+        most.clear(), levels.clear()
+        monkeypatch.setattr(tuning, "SIDE_BY_SIDE", limit)
+        run = train.train_on(df, dt.datetime(2001, 3, 1), space, trials=2, folds=2, features=NAMES)
+        run.release()
+        assert (max(most) == 1) == together
+    assert levels and not any(levels)
