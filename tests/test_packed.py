@@ -210,3 +210,15 @@ def test_large_tables_are_fitted_alone_and_held_on_disk(table, spark, monkeypatc
         run.release()
         assert (max(most) == 1) == together
     assert levels and not any(levels)
+
+
+def test_rows_of_rounds_are_not_persisted_inside_each_other(table, monkeypatch):
+    """Only a checkpoint starts a new generation; the text of nested ones doubled every round and filled the driver."""
+    rows = assemble(table(300), NAMES)
+    kind, kept = type(rows), []
+    persist = kind.persist
+    monkeypatch.setattr(kind, "persist", lambda self, *level: (kept.append(1), persist(self, *level))[1])
+    params = SammeParams(n_estimators=7, max_depth=3, learning_rate=0.3)
+    model = SammeClassifier(params, NAMES, checkpoint_every=3).fit(rows)
+    assert len(model.trees) == 7 and len(kept) == 3  # at first, after three rounds and after six
+    assert nodes(model) == nodes(SammeClassifier(params, NAMES).fit(rows))
